@@ -1,0 +1,69 @@
+"""End-to-end batch pipelines: inputs -> cleaned -> star rows.
+
+Two front ends feed the same ETL core (``plans.etl``):
+
+* ``testdata_inputs``: typed inputs derived from the parquet test tables;
+* ``csv_inputs``: the reference's three CSV files (all text), cleaned with
+  quarantine outputs.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkmart.operators.clean import clean_customers, clean_products, clean_transactions
+from sparkmart.plans.etl import Inputs
+from sparkmart.sources import csv as csv_src
+from sparkmart.sources import testdata
+from sparkmart.sources.calendar import DEFAULT_END, DEFAULT_START
+
+CSV_FILES = {
+    "customers": "customer_master_data",
+    "products": "product_master_data",
+    "transactions": "transactional_data",
+}
+
+
+def testdata_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    return Inputs(
+        customers=testdata.customers(spark, sf_dir),
+        products=testdata.products(spark, sf_dir),
+        transactions=testdata.transactions(spark, sf_dir),
+        calendar=testdata.TESTDATA_CALENDAR,
+    )
+
+
+@dataclass
+class CleanedCsv:
+    inputs: Inputs
+    rejects: dict[str, DataFrame]
+
+
+def csv_inputs(spark: SparkSession, folder: str,
+               calendar: tuple[str, str] = (DEFAULT_START, DEFAULT_END)) -> CleanedCsv:
+    """Read and clean the three CSV inputs found under ``folder``."""
+    base = folder.rstrip("/")
+    cust, cust_bad = clean_customers(csv_src.read_customer_master(spark, f"{base}/{CSV_FILES['customers']}"))
+    prod, prod_bad = clean_products(csv_src.read_product_master(spark, f"{base}/{CSV_FILES['products']}"))
+    tx, tx_bad = clean_transactions(csv_src.read_transactions_batch(spark, f"{base}/{CSV_FILES['transactions']}"))
+    return CleanedCsv(Inputs(cust, prod, tx, calendar),
+                      {"customers": cust_bad, "products": prod_bad, "transactions": tx_bad})
+
+
+def export_testdata_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write the test-table inputs as the reference's three CSV files.
+
+    Transactions are written globally sorted by (order, product, source
+    position) so file order reproduces the source position on re-read.
+    """
+    base = folder.rstrip("/")
+    inp = testdata_inputs(spark, sf_dir)
+    csv_src.write_csv(testdata.customers_as_csv(inp.customers.orderBy("customer_id")),
+                      f"{base}/{CSV_FILES['customers']}")
+    csv_src.write_csv(testdata.products_as_csv(inp.products.orderBy("product_id")),
+                      f"{base}/{CSV_FILES['products']}")
+    tx = inp.transactions.orderBy("order_id", "product_id", F.col("src_pos"))
+    csv_src.write_csv(testdata.transactions_as_csv(tx), f"{base}/{CSV_FILES['transactions']}")
