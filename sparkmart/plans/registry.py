@@ -101,4 +101,6 @@ QUERIES.update({
     "etl_reload_new_rows": reload_new_rows,
     "check_pk_violations": pk_violations,
     "check_fk_violations": fk_violations,
+    "stream_hybrid_join": _streaming("stream_hybrid_join"),
+    "stream_store_quarterly": _streaming("stream_store_quarterly"),
 })

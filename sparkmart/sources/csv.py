@@ -17,18 +17,23 @@ from sparkmart import schema
 POS = "src_pos"
 
 
-def with_source_position(df: DataFrame) -> DataFrame:
-    """Add ``src_pos`` = (file path, split start, increasing id in the split).
-
-    Sorting by the struct gives file order; the id alone does not order rows
-    across files.
+def with_source_position(df: DataFrame, fmt: str = "csv", streaming: bool = False) -> DataFrame:
+    """Add ``src_pos``: sorting by it gives file order.
+
+    Parquet exposes each row's index in its file.  Batch CSV uses the split
+    start and an id that increases within the split (the id alone does not
+    order rows across files).  A streaming CSV source has neither row index
+    nor ordered ids, so its position is the file and split only; rows of one
+    split then tie and later tie-breaks use the row's values.
     """
-    pos = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return df.withColumn(POS, pos)
+    fields = [F.col("_metadata.file_path").alias("file")]
+    if fmt == "parquet":
+        fields.append(F.col("_metadata.row_index").alias("row"))
+    else:
+        fields.append(F.col("_metadata.file_block_start").alias("block"))
+        if not streaming:
+            fields.append(F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(POS, F.struct(*fields))
 
 
 def _read(spark: SparkSession, path: str, sch) -> DataFrame:
@@ -49,28 +54,39 @@ def read_transactions_batch(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schema.TRANSACTION_CSV)
 
 
+def _stream(spark: SparkSession, path: str, sch, fmt: str,
+            max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(sch)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    df = with_source_position(df, fmt, streaming=True)
+    return df.withColumn("arrival_ts", F.current_timestamp())
+
+
 def read_transactions_stream(spark: SparkSession, path: str,
-                             max_files_per_trigger: int | None = None) -> DataFrame:
-    """Transactions arriving as CSV files in ``path``.
+                             max_files_per_trigger: int | None = None,
+                             fmt: str = "csv") -> DataFrame:
+    """Transactions arriving as files in ``path`` (CSV, or Parquet with the
+    same text columns).
 
     ``maxFilesPerTrigger`` bounds each micro-batch (the bounded intake buffer
     of a stream reader); ``arrival_ts`` stamps processing time.
     """
-    reader = spark.readStream.schema(schema.TRANSACTION_CSV).option("header", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    df = with_source_position(reader.csv(path))
-    return df.withColumn("arrival_ts", F.current_timestamp())
+    return _stream(spark, path, schema.TRANSACTION_CSV, fmt, max_files_per_trigger)
 
 
 def read_customer_stream(spark: SparkSession, path: str,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Customer master rows arriving as CSV files (late master data)."""
-    reader = spark.readStream.schema(schema.CUSTOMER_CSV).option("header", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    df = with_source_position(reader.csv(path))
-    return df.withColumn("arrival_ts", F.current_timestamp())
+                         max_files_per_trigger: int | None = None,
+                         fmt: str = "csv") -> DataFrame:
+    """Customer master rows arriving as files (late master data)."""
+    return _stream(spark, path, schema.CUSTOMER_CSV, fmt, max_files_per_trigger)
+
+
+def write_text_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write text columns as Parquet (same layout as the CSV files, with a
+    per-file row index available to readers)."""
+    df.write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
