@@ -1,0 +1,125 @@
+"""Report semantics on invented rows: ties, lag, spikes, rollup, affinity."""
+
+import itertools
+import random
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from sparkmart.functions.calendar import day_type
+from sparkmart.operators.affinity import top_pairs
+from sparkmart.operators.windows import period_over_period, top_n_per_group
+from sparkmart.plans import olap
+from sparkmart.plans.etl import star_rows
+from tests import fixtures as fx
+
+
+def test_rank_ties_at_cut_are_kept(spark):
+    df = spark.createDataFrame([("g", f"p{i}", v) for i, v in enumerate([9, 8, 7, 6, 5, 5, 1])],
+                               "g string, p string, v int")
+    assert top_n_per_group(df, ["g"], "v", 5, "r").count() == 6
+
+
+def test_lag_first_period_zero_previous_and_gap(spark):
+    df = spark.createDataFrame([("a", 1, Decimal("10.00")), ("a", 2, Decimal("0.00")),
+                                ("a", 4, Decimal("5.00"))], "k string, m int, v decimal(22,2)")
+    rows = period_over_period(df, ["k"], ["m"], "v", "prev", "g").orderBy("m").collect()
+    assert [(r.prev, r.g) for r in rows] == [
+        (Decimal("0.00"), None), (Decimal("10.00"), -100.0), (Decimal("0.00"), None)]
+
+
+def test_null_weekday_is_weekday(spark):
+    df = spark.createDataFrame([(None,), ("Sunday",), ("Monday",)], "w string")
+    assert [r[0] for r in df.select(day_type("w")).collect()] == ["Weekday", "Weekend", "Weekday"]
+
+
+def _star(spark, tx, prods=None):
+    prods = prods or [fx.prod_row("A", 1.0, 0), fx.prod_row("B", 1.0, 1), fx.prod_row("C", 1.0, 2)]
+    return star_rows(spark, fx.inputs(spark, [fx.cust_row(1), fx.cust_row(2)], prods, tx))
+
+
+def test_spikes_two_days_is_not_a_spike(spark):
+    star = _star(spark, [(1, 1, "A", 3, fx.d("2016-01-04"), 0), (2, 1, "A", 5, fx.d("2016-01-05"), 1)])
+    assert olap.q19_revenue_spikes(star).count() == 0
+
+
+def test_spikes_exact_threshold(spark):
+    # days 1,1,1,5: mean 2, sigma sqrt(3) -> 5 > 3.73 and 5 > 3.0
+    tx = [(i, 1, "A", q, fx.d(f"2016-01-0{i + 1}"), i) for i, q in enumerate([1, 1, 1, 5])]
+    rows = olap.q19_revenue_spikes(_star(spark, tx)).collect()
+    assert [(r.daily_sales, r.avg_daily_sales, r.spike_factor) for r in rows] == [
+        (Decimal("5.00"), 2.0, 2.5)]
+
+
+def test_rollup_single_path_has_five_rows(spark):
+    star = _star(spark, [(1, 1, "A", 3, fx.d("2016-01-04"), 0)])
+    rows = olap.q17_yearly_rollup(star).collect()
+    assert len(rows) == 5
+    assert {r.total_revenue for r in rows} == {Decimal("3.00")}
+
+
+def test_affinity_counts_pair_rows(spark):
+    tx = [(1, 1, "A", 1, fx.d("2016-01-04"), 0), (1, 1, "B", 1, fx.d("2016-01-04"), 1),
+          (2, 1, "B", 1, fx.d("2016-01-04"), 2)]
+    rows = olap.q16_product_affinity(_star(spark, tx)).collect()
+    assert [(r.product_a, r.product_b, r.together_count) for r in rows] == [("A", "B", 2)]
+
+
+def _brute_force_pairs(facts, k):
+    baskets = {}
+    for cust, day, prod in facts:
+        baskets.setdefault((cust, day), []).append(prod)
+    counts = {}
+    for items in baskets.values():
+        for a, b in itertools.product(items, items):
+            if a < b:
+                counts[(a, b)] = counts.get((a, b), 0) + 1
+    return sorted(((a, b, n) for (a, b), n in counts.items()), key=lambda t: (-t[2], t[0], t[1]))[:k]
+
+
+def test_affinity_pruning_matches_brute_force(spark):
+    rnd = random.Random(7)
+    products = [f"P{i:03d}" for i in range(40)]
+    weights = [1.0 / (i + 1) for i in range(40)]  # skewed popularity
+    facts = []
+    for cust in range(60):
+        for day in range(3):
+            n = rnd.choice([1, 2, 3, 5, 8])
+            facts += [(cust, 20160101 + day, p) for p in rnd.choices(products, weights, k=n)]
+    # one hot basket holding many rows
+    facts += [(999, 20160101, p) for p in rnd.choices(products, weights, k=150)]
+    df = spark.createDataFrame(facts, "customer_id long, date_id int, product_id string")
+    got = [(r.product_a, r.product_b, r.together_count) for r in top_pairs(df, 5).collect()]
+    assert got == _brute_force_pairs(facts, 5)
+
+
+def test_top_products_by_daytype_ranks_per_month(spark):
+    tx = [(1, 1, "A", 5, fx.d("2016-01-04"), 0), (2, 1, "B", 3, fx.d("2016-01-04"), 1),
+          (3, 2, "C", 7, fx.d("2016-01-09"), 2)]  # 2016-01-09 is a Saturday
+    rows = olap.q01_top_products_daytype_month(_star(spark, tx), year=2016).collect()
+    assert [(r.day_type, r.product_id, r.revenue_rank) for r in rows] == [
+        ("Weekday", "A", 1), ("Weekday", "B", 2), ("Weekend", "C", 1)]
+
+
+def test_trailing_months_window_is_inclusive(spark):
+    tx = [(1, 1, "A", 1, fx.d("2015-10-12"), 0), (2, 1, "A", 1, fx.d("2015-10-11"), 1),
+          (3, 1, "A", 1, fx.d("2016-04-12"), 2), (4, 1, "A", 1, fx.d("2016-04-13"), 3)]
+    rows = olap.q06_city_marital_monthly(_star(spark, tx), anchor="2016-04-12").collect()
+    assert sorted((r.year, r.month) for r in rows) == [(2015, 10), (2016, 4)]
+    assert sum(r.total_purchase_amount for r in rows) == Decimal("2.00")
+
+
+def test_half_year_invariant(spark):
+    tx = [(1, 1, "A", 2, fx.d("2016-03-01"), 0), (2, 1, "A", 3, fx.d("2016-09-01"), 1)]
+    r = olap.q18_half_year_pivot(_star(spark, tx)).collect()[0]
+    assert (r.H1_Revenue, r.H2_Revenue, r.Yearly_Revenue) == (Decimal("2.00"), Decimal("3.00"), Decimal("5.00"))
+    assert r.H1_Quantity + r.H2_Quantity == r.Yearly_Quantity == 5
+
+
+def test_view_filter(spark):
+    star = _star(spark, [(1, 1, "A", 2, fx.d("2016-03-01"), 0)])
+    rows = olap.q20_store_quarterly_view(star, store_name="S1").collect()
+    assert [(r.store_name, r.year, r.quarter, r.total_quarterly_sales) for r in rows] == [
+        ("S1", 2016, 1, Decimal("2.00"))]
+    assert spark.sql("SELECT count(*) FROM STORE_QUARTERLY_SALES").first()[0] == 1
+    assert olap.store_quarterly_sales(star).where(F.col("store_name") == "none").count() == 0

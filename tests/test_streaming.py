@@ -1,0 +1,70 @@
+"""Streaming customer join: known, late within TTL, never seen (dead letter)."""
+
+import time
+
+from pyspark.sql import functions as F
+
+from sparkmart.sources import csv as csv_src
+from sparkmart.sources.calendar import dim_date
+from sparkmart.streaming.hybrid_join import ensure_dim_date
+from sparkmart.streaming.jobs import start_hybrid_load
+from tests import fixtures as fx
+
+TX_COLS = "orderID string, Customer_ID string, Product_ID string, quantity string, date string"
+TTL = 40  # seconds; local micro-batches take a few seconds each
+CUST_COLS = ("Customer_ID string, Gender string, Age string, Occupation string, City_Category string, "
+             "Stay_In_Current_City_Years string, Marital_Status string")
+
+
+def _drop(spark, rows, cols, path):
+    csv_src.write_text_parquet(spark.createDataFrame(rows, cols).coalesce(1), path, mode="append")
+
+
+def _wait_for(fn, timeout=60):
+    end = time.time() + timeout
+    while time.time() < end:
+        if fn():
+            return True
+        time.sleep(1)
+    return False
+
+
+def test_known_late_and_never_seen_customers(spark, scratch):
+    inbox, root = f"{scratch}/inbox", f"{scratch}/wh"
+    fx.products(spark, [fx.prod_row("P1", 2.0, 0)]).write.parquet(f"{inbox}/products")
+    ensure_dim_date(spark, root, dim_date(spark, "2016-01-01", "2016-12-31"))
+    _drop(spark, [("1", "M", "26-35", "x", "A", "1", "0")], CUST_COLS, f"{inbox}/customers")
+    _drop(spark, [("10", "1", "P1", "1", "2016-04-02"), ("20", "2", "P1", "2", "2016-04-02"),
+                  ("30", "3", "P1", "3", "2016-04-02")], TX_COLS, f"{inbox}/transactions")
+
+    started = time.time()
+    q = start_hybrid_load(spark, inbox, root, f"{scratch}/ckpt", ttl=f"{TTL} seconds",
+                          files_per_trigger=1, available_now=False, processing_time="1 second")
+    try:
+        facts = lambda: spark.read.parquet(f"{root}/fact_sales")
+        q.processAllAvailable()
+        assert [r.order_id for r in facts().collect()] == [10]
+
+        # customer 2 arrives late, within the TTL: its waiting row is released
+        _drop(spark, [("2", "F", "18-25", "y", "B", "4+", "1")], CUST_COLS, f"{inbox}/customers")
+        q.processAllAvailable()
+        assert sorted(r.order_id for r in facts().collect()) == [10, 20]
+
+        # customer 3 never arrives; the customer stream stays idle while the
+        # transaction stream moves time past the TTL
+        time.sleep(max(0.0, started + TTL + 1 - time.time()))
+        _drop(spark, [("40", "1", "P1", "1", "2016-04-03")], TX_COLS, f"{inbox}/transactions")
+
+        def expired():
+            try:
+                return spark.read.parquet(f"{root}/dead_letters").count() == 1
+            except Exception:  # noqa: BLE001 - not written yet
+                return False
+        assert _wait_for(expired)
+        dead = spark.read.parquet(f"{root}/dead_letters").collect()
+        assert [(r.order_id, r.reason) for r in dead] == [(30, "customer_not_seen_within_ttl")]
+        assert sorted(r.order_id for r in facts().collect()) == [10, 20, 40]
+        cust = spark.read.parquet(f"{root}/dim_customer").where(F.col("customer_id") == 2).collect()
+        assert [(r.gender, r.marital_status) for r in cust] == [("F", True)]
+    finally:
+        q.stop()
