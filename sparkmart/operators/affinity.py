@@ -17,7 +17,14 @@ Plan, exact at every step:
    formed inside baskets among those products only, and a pair is emitted
    only when its bound reaches ``tau``.  Every pair whose count is >= tau,
    ties included, is therefore counted exactly, and the top k among them is
-   the answer.
+   the answer.  When tau is 1 no pair can be excluded and the plain pair
+   count runs.
+
+With skewed popularity (the usual retail case, and any hot basket made of
+repeated products) tau is large and most products never enter the pair
+join.  A hot basket of many distinct products that each occur once still
+yields all of its pairs: each pair count is then 1 and no bound separates
+them.
 """
 
 from __future__ import annotations
@@ -60,17 +67,22 @@ def pair_counts(bp: DataFrame, bounded: bool = False) -> DataFrame:
 def top_pairs(fact: DataFrame, k: int = 5) -> DataFrame:
     bp = basket_products(fact)
     stats = bp.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
-    max_m = stats.select(F.max("m")).scalar()
 
-    # Seed: exact counts among the most frequent products (bounded set).
+    # Seed: exact counts among the most frequent products (a bounded set).
+    # tau is a single number, fetched to choose the plan below.
     seed = stats.orderBy(F.desc("n"), "product_id").limit(SEED_PRODUCTS).select("product_id")
     seed_counts = pair_counts(bp.join(F.broadcast(seed), "product_id", "left_semi"))
     best = seed_counts.orderBy(F.desc("together_count")).limit(k)
     tau = best.agg(F.when(F.count(F.lit(1)) >= k, F.min("together_count"))
-                   .otherwise(F.lit(1)).cast("long").alias("tau")).scalar()
+                   .otherwise(F.lit(1)).alias("tau")).first()["tau"]
+    max_m = stats.select(F.max("m")).scalar()
 
-    candidates = stats.where(F.col("n") * max_m >= tau).withColumn("tau", tau)
-    bpc = bp.join(candidates, "product_id", "inner")
-    counts = pair_counts(bpc, bounded=True).where(F.col("together_count") >= tau)
+    if tau <= 1:
+        # Every co-occurring pair reaches the bound: nothing can be pruned.
+        counts = pair_counts(bp)
+    else:
+        candidates = stats.where(F.col("n") * max_m >= F.lit(tau)).withColumn("tau", F.lit(tau))
+        bpc = bp.join(candidates, "product_id", "inner")
+        counts = pair_counts(bpc, bounded=True).where(F.col("together_count") >= F.lit(tau))
     return (counts.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k)
             .select("product_a", "product_b", F.col("together_count").cast("long")))

@@ -144,3 +144,22 @@ def star_rows(spark: SparkSession, inputs: Inputs) -> Star:
 
 def with_partition_column(fact: DataFrame) -> DataFrame:
     return fact.withColumn(schema.FACT_PARTITION, year_of_date_id("date_id"))
+
+
+def load_warehouse(spark: SparkSession, inputs: Inputs, root: str,
+                   quarantine: dict[str, DataFrame] | None = None) -> dict[str, int]:
+    """Load ``inputs`` into the warehouse at ``root`` (first load or
+    incremental), with insert-if-absent on every key.
+
+    Rejected transactions (reason per row) and any cleaning rejects passed in
+    ``quarantine`` are appended under ``root/rejects/<source>``.  Returns the
+    rows added per table.
+    """
+    from sparkmart.sources import warehouse as wh  # storage helpers
+
+    existing = wh.read_star(spark, root) if wh.exists(spark, root) else None
+    fresh, rejects = new_rows(spark, inputs, existing=existing, with_rejects=True)
+    added = wh.append_star(fresh, root) if existing is not None else wh.write_star(fresh, root)
+    for source, df in {"transactions_load": rejects, **(quarantine or {})}.items():
+        df.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/{source}")
+    return added

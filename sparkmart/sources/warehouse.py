@@ -46,6 +46,15 @@ def write_star(star: Star, root: str, mode: str = "overwrite") -> dict[str, int]
     return counts
 
 
+def append_star(star: Star, root: str) -> dict[str, int]:
+    """Append new rows (already free of stored keys) and refresh the manifest."""
+    spark = star.fact_sales.sparkSession
+    before = {r.table_name: r.no_rows for r in manifest(spark, root).collect()}
+    write_star(star, root, mode="append")
+    after = {r.table_name: r.no_rows for r in manifest(spark, root).collect()}
+    return {name: after[name] - before.get(name, 0) for name in after}
+
+
 def read_star(spark: SparkSession, root: str, require_manifest: bool = True) -> Star:
     if require_manifest:
         spark.read.parquet(table_path(root, "_manifest"))

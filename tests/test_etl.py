@@ -76,3 +76,16 @@ def test_reload_is_idempotent(spark, scratch):
     stored = read_star(spark, f"{scratch}/wh")
     fresh, _ = new_rows(spark, inp, existing=stored)
     assert {n: df.count() for n, df in fresh.tables().items()} == {n: 0 for n in counts}
+
+
+def test_load_warehouse_twice_with_rejects(spark, scratch):
+    from sparkmart.plans.etl import load_warehouse
+    inp = fx.inputs(spark, [fx.cust_row(1)], [fx.prod_row("P1", 2.0, 0)], [
+        (1, 1, "P1", 1, fx.d("2016-04-02"), 0), (2, 9, "P1", 1, fx.d("2016-04-02"), 1)])
+    root = f"{scratch}/wh2"
+    first = load_warehouse(spark, inp, root)
+    assert first["fact_sales"] == 1
+    second = load_warehouse(spark, inp, root)
+    assert set(second.values()) == {0}
+    rej = spark.read.parquet(f"{root}/rejects/transactions_load").collect()
+    assert {(r.order_id, r.reason) for r in rej} == {(2, "unknown_customer")}
