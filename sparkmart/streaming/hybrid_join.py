@@ -15,8 +15,9 @@ the re-scanned master file.  ``spark.sql.streaming.multipleWatermarkPolicy``
 must be ``max`` so that an idle customer stream does not stop expiry.
 
 The loader (``foreachBatch``) enriches matched rows with the product lookup
-and the calendar key, and appends to the warehouse with insert-if-absent on
-every table, so replaying a micro-batch after a failure adds nothing.
+(loaded once at start, like the product dimensions) and the calendar key, and
+appends to the warehouse with insert-if-absent on every table, so replaying a
+micro-batch after a failure adds nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sparkmart import schema
 from sparkmart.operators import dims
-from sparkmart.operators.dedupe import first_by, insert_ignore
+from sparkmart.operators.dedupe import insert_ignore
 from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
 from sparkmart.plans.etl import FACT_COLS, with_partition_column
 from sparkmart.sources.csv import POS
@@ -66,16 +67,44 @@ def _read_or_none(spark: SparkSession, path: str, sch=None) -> DataFrame | None:
         return None
 
 
-class WarehouseLoader:
-    """``foreachBatch`` sink: joined micro-batch -> six star tables + dead letters.
+def preload_products(spark: SparkSession, root: str, products: DataFrame) -> None:
+    """Load the product-side dimensions and the product lookup once, before
+    the stream starts (the reference loads its product master at start-up).
 
-    ``products``: typed product master (static, re-read each batch);
-    ``dim_date``: the stored calendar.
+    ``products``: typed product master with ``src_pos``.  Dimensions get
+    insert-if-absent; the lookup (last row per product: price, store,
+    supplier) is rewritten.
     """
+    for name, rows, keys, cols in [
+        ("dim_store", dims.extract_stores(products).withColumn(POS, F.lit(0)),
+         ["store_id"], ["store_id", "store_name"]),
+        ("dim_supplier", dims.extract_suppliers(products).withColumn(POS, F.lit(0)),
+         ["supplier_id"], ["supplier_id", "supplier_name"]),
+        ("dim_product", products.withColumn("price", F.col("price").try_cast("decimal(10,2)")),
+         ["product_id"], ["product_id", "product_category", "price"]),
+    ]:
+        existing = _read_or_none(spark, table_path(root, name), schema.STAR_TABLES[name])
+        insert_ignore(rows, existing, keys, POS, cols).write.mode("append").parquet(table_path(root, name))
+    dims.product_lookup(products).write.mode("overwrite").parquet(table_path(root, LOOKUP))
+
+
+LOOKUP = "_product_lookup"
 
-    def __init__(self, root: str, products_path: str):
+
+class WarehouseLoader:
+    """``foreachBatch`` sink: joined micro-batch -> dead letters, late
+    customers and facts.
+
+    Product-side dimensions and the lookup are loaded by ``preload_products``
+    before the stream starts.  Per micro-batch: expired rows go to
+    ``dead_letters``; matched rows get price, store and supplier from the
+    lookup and the calendar key; the customers they matched are inserted into
+    ``dim_customer`` if absent (dimension before fact); facts are appended
+    with insert-if-absent on (order_id, product_id).
+    """
+
+    def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self.products_path = products_path
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -96,42 +125,39 @@ class WarehouseLoader:
         w.parquet(table_path(self.root, name))
 
     def _load(self, spark: SparkSession, batch: DataFrame) -> None:
-        products = spark.read.parquet(self.products_path)
+        # One small aggregate tells which outputs this batch has (watermark-
+        # only batches often carry nothing but still run).
+        sizes = {r["matched"]: r["n"] for r in
+                 batch.groupBy("matched").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if sizes.get(False):
+            expired = batch.where(~F.col("matched")).select(
+                "order_id", "customer_id", "product_id", "quantity", "sale_date", POS,
+                F.lit("customer_not_seen_within_ttl").alias("reason"))
+            dead = insert_ignore(expired, self._existing(spark, "dead_letters"),
+                                 ["order_id", "product_id", POS], POS)
+            self._append(dead, "dead_letters")
+        if not sizes.get(True):
+            return
+
+        lookup = spark.read.parquet(table_path(self.root, LOOKUP))
         dim_date = spark.read.schema(schema.DIM_DATE).parquet(table_path(self.root, "dim_date"))
-        lookup = dims.product_lookup(products)
-
-        expired = batch.where(~F.col("matched")).select(
-            "order_id", "customer_id", "product_id", "quantity", "sale_date", POS,
-            F.lit("customer_not_seen_within_ttl").alias("reason"))
-        dead = insert_ignore(expired, self._existing(spark, "dead_letters"),
-                             ["order_id", "product_id", POS], POS)
-        self._append(dead, "dead_letters")
-
-        matched = batch.where(F.col("matched"))
-        facts = with_revenue(enrich_date(enrich_product(matched, lookup), dim_date))
-        facts = facts.where(F.col("revenue").isNotNull()).select(*FACT_COLS, POS)
-
-        # Dimensions first (foreign-key order), then facts.
-        cust = matched.select(F.col("c_customer_id").alias("customer_id"),
-                              *dims.CUSTOMER_ATTRS, F.col("c_pos").alias(POS))
-        cust_cols = [f.name for f in schema.DIM_CUSTOMER.fields]
-        self._append(insert_ignore(cust, self._existing(spark, "dim_customer"),
-                                   ["customer_id"], POS, cust_cols), "dim_customer")
-        used = products.join(facts.select("product_id").distinct(), "product_id", "left_semi")
-        stores = dims.extract_stores(used).withColumn(POS, F.lit(0))
-        self._append(insert_ignore(stores, self._existing(spark, "dim_store"),
-                                   ["store_id"], POS, ["store_id", "store_name"]), "dim_store")
-        sups = dims.extract_suppliers(used).withColumn(POS, F.lit(0))
-        self._append(insert_ignore(sups, self._existing(spark, "dim_supplier"),
-                                   ["supplier_id"], POS, ["supplier_id", "supplier_name"]),
-                     "dim_supplier")
-        prod = used.withColumn("price", F.col("price").try_cast("decimal(10,2)"))
-        self._append(insert_ignore(prod, self._existing(spark, "dim_product"), ["product_id"], POS,
-                                   ["product_id", "product_category", "price"]), "dim_product")
-
-        new_facts = insert_ignore(facts, self._existing(spark, "fact_sales"),
-                                  ["order_id", "product_id"], POS, FACT_COLS)
-        self._append(with_partition_column(new_facts), "fact_sales", schema.FACT_PARTITION)
+        # Only rows that survive the product and calendar lookups insert
+        # their customer (the reference skips the row before its inserts).
+        enriched = with_revenue(enrich_date(enrich_product(batch.where(F.col("matched")), lookup),
+                                            dim_date)).where(F.col("revenue").isNotNull())
+        enriched = enriched.persist()
+        try:
+            cust = enriched.select(F.col("c_customer_id").alias("customer_id"),
+                                   *dims.CUSTOMER_ATTRS, F.col("c_pos").alias(POS))
+            cust_cols = [f.name for f in schema.DIM_CUSTOMER.fields]
+            self._append(insert_ignore(cust, self._existing(spark, "dim_customer"),
+                                       ["customer_id"], POS, cust_cols), "dim_customer")
+            facts = enriched.select(*FACT_COLS, POS)
+            new_facts = insert_ignore(facts, self._existing(spark, "fact_sales"),
+                                      ["order_id", "product_id"], POS, FACT_COLS)
+            self._append(with_partition_column(new_facts), "fact_sales", schema.FACT_PARTITION)
+        finally:
+            enriched.unpersist()
 
 
 def ensure_dim_date(spark: SparkSession, root: str, calendar: DataFrame) -> None:
@@ -140,7 +166,3 @@ def ensure_dim_date(spark: SparkSession, root: str, calendar: DataFrame) -> None
     existing = _read_or_none(spark, path, schema.DIM_DATE)
     if existing is None or existing.isEmpty():
         calendar.write.mode("overwrite").parquet(path)
-
-
-def first_customers(customers: DataFrame) -> DataFrame:
-    return first_by(customers, ["customer_id"], POS)

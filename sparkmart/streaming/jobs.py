@@ -1,7 +1,7 @@
 """Runnable streaming jobs over the test tables.
 
 ``stream_hybrid_join`` replays the transaction feed as files (the reference's
-text columns, stored as Parquet) arriving one calendar year at a time, joins it to the customer master stream with the
+text columns, stored as Parquet) in date order, joins it to the customer master stream with the
 waiting TTL, and loads the star through ``WarehouseLoader`` with an
 ``availableNow`` trigger (bounded by ``maxFilesPerTrigger``).
 ``stream_store_quarterly`` keeps the store/quarter revenue view current by
@@ -21,29 +21,26 @@ from sparkmart.sources import csv as csv_src
 from sparkmart.sources import testdata, warehouse
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.streaming.hybrid_join import (
-    DEFAULT_TTL, WarehouseLoader, ensure_dim_date, hybrid_join_stream,
+    DEFAULT_TTL, WarehouseLoader, ensure_dim_date, hybrid_join_stream, preload_products,
 )
 
 FILES_PER_TRIGGER = 8
-SLICE_FILES = 4
+FEED_FILES = 28
 
 
 def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     """Customer master, product master and the transaction feed (text
-    columns in Parquet files), the feed as one append per calendar year in
-    date order.  Within a year, all rows of
-    one (order, product) land in one file, in source-position order."""
+    columns in Parquet files).  The feed is range-partitioned by date into
+    ``FEED_FILES`` files, so files arrive roughly in date order; all rows of
+    one (order, product) share a date and land in one file, in
+    source-position order."""
     cust = testdata.customers(spark, sf_dir)
     csv_src.write_text_parquet(testdata.customers_as_csv(cust), f"{inbox}/customers")
     testdata.products(spark, sf_dir).write.mode("overwrite").parquet(f"{inbox}/products")
-    tx = testdata.transactions(spark, sf_dir)
-    first, last = (int(d[:4]) for d in testdata.TESTDATA_CALENDAR)
-    for year in range(first, last + 1):
-        part = (tx.where(F.year("sale_date") == year)
-                .repartitionByRange(SLICE_FILES, "order_id", "product_id")
-                .sortWithinPartitions("order_id", "product_id", "src_pos"))
-        csv_src.write_text_parquet(testdata.transactions_as_csv(part), f"{inbox}/transactions",
-                                   mode="append")
+    feed = (testdata.transactions(spark, sf_dir)
+            .repartitionByRange(FEED_FILES, "sale_date", "order_id", "product_id")
+            .sortWithinPartitions("sale_date", "order_id", "product_id", "src_pos"))
+    csv_src.write_text_parquet(testdata.transactions_as_csv(feed), f"{inbox}/transactions")
 
 
 def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: str,
@@ -54,13 +51,14 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
 
     ``inbox`` holds ``transactions/`` and ``customers/`` (arriving files in
     the reference's text layout, ``fmt`` = parquet or csv) and
-    ``products/`` (typed product master)."""
+    ``products/`` (typed product master, loaded once before the stream)."""
+    preload_products(spark, root, spark.read.parquet(f"{inbox}/products"))
     tx_raw = csv_src.read_transactions_stream(spark, f"{inbox}/transactions", files_per_trigger, fmt)
     cu_raw = csv_src.read_customer_stream(spark, f"{inbox}/customers", files_per_trigger, fmt)
     tx, _ = clean_transactions(tx_raw)
     cu, _ = clean_customers(cu_raw)
     joined = hybrid_join_stream(tx, cu, ttl)
-    writer = (joined.writeStream.foreachBatch(WarehouseLoader(root, f"{inbox}/products"))
+    writer = (joined.writeStream.foreachBatch(WarehouseLoader(root))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
