@@ -64,6 +64,13 @@ def add_months(day: dt.date, months: int) -> dt.date:
     return dt.date(y, m, min(day.day, last))
 
 
+def parse_day(text: str) -> dt.date:
+    """``yyyy-m-d`` with or without zero padding (the reference writes
+    ``'2016-4-12'``)."""
+    y, m, d = (int(x) for x in text.strip().split("-"))
+    return dt.date(y, m, d)
+
+
 def _by_customer(fact: DataFrame, star: Star, keys: list[str], attrs: list[str],
                  measures: dict[str, F.Column]) -> DataFrame:
     """Pre-aggregate the fact by customer (+ keys), then attach customer
@@ -147,7 +154,7 @@ def q05_top_occupations_by_category(star: Star, k: int = 5) -> DataFrame:
 def q06_city_marital_monthly(star: Star, anchor: str = "2016-04-12", months: int = 6) -> DataFrame:
     """Revenue by month, city category and marital status over the trailing
     ``months`` months up to ``anchor`` (both ends inclusive)."""
-    end = dt.date.fromisoformat(anchor)
+    end = parse_day(anchor)
     start = add_months(end, -months)
     lo, hi = int(start.strftime("%Y%m%d")), int(end.strftime("%Y%m%d"))
     f = star.fact_sales
