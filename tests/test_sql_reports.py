@@ -1,0 +1,23 @@
+"""The SQL statements give the same rows as the DataFrame reports."""
+
+import os
+
+import pytest
+
+from sparkmart.plans import olap
+from sparkmart.plans.sql_reports import REPORT_SQL, run_sql_report
+from sparkmart.sources.warehouse import star_for
+from tests.oracle_check import rows_of
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_sql_reports_equal_dataframe_reports(spark):
+    star = star_for(spark, SF)
+    assert set(REPORT_SQL) == set(olap.REPORTS)
+    for name in olap.REPORTS:
+        a = olap.run_report(name, star)
+        b = run_sql_report(spark, star, name)
+        ra, rb = rows_of(a.columns, a.collect()), rows_of(b.columns, b.collect())
+        assert ra == rb, name
