@@ -9,27 +9,14 @@ the in-memory lookup used for prices, stores and suppliers keeps the last
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from sparkmart.functions.measures import money
-from sparkmart.operators.dedupe import first_by, last_by
+from sparkmart.operators.dedupe import last_by
 from sparkmart.sources.csv import POS
 
 CUSTOMER_ATTRS = ["gender", "age", "occupation", "city_category",
                   "stay_in_current_city_years", "marital_status"]
 
 
-def customer_rows(customers: DataFrame) -> DataFrame:
-    """First row per customer id (``dim_customer`` candidates)."""
-    return first_by(customers, ["customer_id"], POS, ["customer_id", *CUSTOMER_ATTRS])
-
-
-def product_rows(products: DataFrame) -> DataFrame:
-    """First row per product id: id, category, price rounded to cents."""
-    first = first_by(products, ["product_id"], POS, ["product_id", "product_category", "price"])
-    return first.select("product_id", "product_category", money("price").alias("price"))
-
-
 def product_lookup(products: DataFrame) -> DataFrame:
     """Last row per product id: unrounded price, store and supplier ids."""
     return last_by(products, ["product_id"], POS,
@@ -44,8 +31,3 @@ def extract_stores(products: DataFrame) -> DataFrame:
 def extract_suppliers(products: DataFrame) -> DataFrame:
     """Distinct suppliers of the product master; the last name wins."""
     return last_by(products, ["supplier_id"], POS, ["supplier_id", "supplier_name"])
-
-
-def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count (data quality)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)

@@ -57,3 +57,20 @@ def product_coverage(transactions: DataFrame, products: DataFrame) -> DataFrame:
     return j.agg(F.count_if(F.col("__hit").isNotNull()).alias("matched"),
                  F.count(F.lit(1)).alias("total")) \
         .select("matched", "total", (F.col("total") - F.col("matched")).alias("unmatched"))
+
+
+def duplicate_master_keys(masters: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """source, duplicate_keys, rows_with_duplicate_keys for master inputs.
+
+    Duplicated product ids matter: the product dimension keeps the first row
+    while revenue uses the last row's price.
+    """
+    parts = []
+    for source, (df, keys) in masters.items():
+        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(g.agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+                           F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
+                           .cast("bigint").alias("rows_with_duplicate_keys"))
+                     .select(F.lit(source).alias("source"), "duplicate_keys",
+                             "rows_with_duplicate_keys"))
+    return reduce(DataFrame.unionByName, parts)

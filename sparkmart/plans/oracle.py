@@ -338,6 +338,14 @@ FROM fact_sales f WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{c} = f.{c})"""
                      ("supplier_id", "dim_supplier")]),
 }
 
+QUERIES["check_master_duplicates"] = "\nUNION ALL\n".join(
+    f"""SELECT '{src}' AS source, COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys,
+       CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS rows_with_duplicate_keys
+FROM (SELECT {k}, COUNT(*) AS n FROM {t} GROUP BY {k}) g"""
+    for src, t, k in [("customer_master", "dim_customer", "customer_id"),
+                      ("product_master", "prod_master", "product_id"),
+                      ("transactions", "raw_tx", "order_id, product_id")])
+
 # Queries that equal another query's oracle.
 QUERIES["stream_hybrid_join"] = QUERIES["etl_fact_sales"]
 QUERIES["stream_store_quarterly"] = """

@@ -48,6 +48,14 @@ def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fk_violations(star.fact_sales, star.tables())
 
 
+def master_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.duplicate_master_keys({
+        "customer_master": (testdata.customers(spark, sf), ["customer_id"]),
+        "product_master": (testdata.products(spark, sf), ["product_id"]),
+        "transactions": (testdata.transactions(spark, sf), ["order_id", "product_id"]),
+    })
+
+
 def product_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return dims.product_lookup(testdata.products(spark, sf))
 
@@ -101,6 +109,7 @@ QUERIES.update({
     "etl_reload_new_rows": reload_new_rows,
     "check_pk_violations": pk_violations,
     "check_fk_violations": fk_violations,
+    "check_master_duplicates": master_duplicates,
     "stream_hybrid_join": _streaming("stream_hybrid_join"),
     "stream_store_quarterly": _streaming("stream_store_quarterly"),
 })
