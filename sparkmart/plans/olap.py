@@ -151,9 +151,13 @@ def q05_top_occupations_by_category(star: Star, k: int = 5) -> DataFrame:
             .orderBy("product_category", "sales_rank", "occupation"))
 
 
-def q06_city_marital_monthly(star: Star, anchor: str = "2016-04-12", months: int = 6) -> DataFrame:
-    """Revenue by month, city category and marital status over the trailing
-    ``months`` months up to ``anchor`` (both ends inclusive)."""
+def trailing_months(star: Star, anchor: str, months: int = 6, *date_cols: str) -> DataFrame:
+    """Fact rows dated from ``anchor`` minus ``months`` months up to
+    ``anchor``, both ends inclusive, with the requested calendar columns.
+
+    The window becomes a partition filter (years) and a ``date_id`` range
+    pushed to the Parquet scan, then the calendar join checks ``full_date``.
+    """
     end = parse_day(anchor)
     start = add_months(end, -months)
     lo, hi = int(start.strftime("%Y%m%d")), int(end.strftime("%Y%m%d"))
@@ -161,8 +165,14 @@ def q06_city_marital_monthly(star: Star, anchor: str = "2016-04-12", months: int
     if "sale_year" in f.columns:
         f = f.where(F.col("sale_year").between(start.year, end.year))
     f = f.where(F.col("date_id").between(lo, hi))
-    f = _with_dates(f, star, "year", "month", "full_date").where(
-        F.col("full_date").between(F.lit(start), F.lit(end)))
+    cols = list(dict.fromkeys(["full_date", *date_cols]))
+    return _with_dates(f, star, *cols).where(F.col("full_date").between(F.lit(start), F.lit(end)))
+
+
+def q06_city_marital_monthly(star: Star, anchor: str = "2016-04-12", months: int = 6) -> DataFrame:
+    """Revenue by month, city category and marital status over the trailing
+    ``months`` months up to ``anchor`` (both ends inclusive)."""
+    f = trailing_months(star, anchor, months, "year", "month")
     j = _by_customer(f, star, ["year", "month"], ["city_category", "marital_status"],
                      {"rev": F.sum("revenue")})
     return (j.groupBy("year", "month", "city_category", "marital_status")

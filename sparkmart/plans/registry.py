@@ -48,6 +48,13 @@ def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fk_violations(star.fact_sales, star.tables())
 
 
+def trailing_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact rows of the trailing six months up to the Q6 anchor (P16)."""
+    star = warehouse.star_for(spark, sf)
+    rows = olap.trailing_months(star, olap.TEST_PARAMS["q06"]["anchor"], 6)
+    return rows.select(*FACT_COLS, "full_date")
+
+
 def master_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_master_keys({
         "customer_master": (testdata.customers(spark, sf), ["customer_id"]),
@@ -107,6 +114,7 @@ QUERIES.update({
     "etl_product_lookup": product_lookup,
     "etl_hybrid_join_batch": hybrid_join,
     "etl_reload_new_rows": reload_new_rows,
+    "etl_trailing_months": trailing_months,
     "check_pk_violations": pk_violations,
     "check_fk_violations": fk_violations,
     "check_master_duplicates": master_duplicates,

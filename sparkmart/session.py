@@ -26,6 +26,11 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # An idle master-data stream must not hold back the TTL of waiting rows.
     "spark.sql.streaming.multipleWatermarkPolicy": "max",
+    # Join state (waiting transactions, customer master rows) lives in RocksDB
+    # on local disk, not on the JVM heap, and is checkpointed incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

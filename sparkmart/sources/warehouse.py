@@ -87,14 +87,14 @@ def warehouse_root(spark: SparkSession, sf_dir: str, tag: str = "star") -> str:
     return f"{checkpoint_root(spark)}/{tag}_{key}"
 
 
-def star_for(spark: SparkSession, sf_dir: str) -> Star:
+def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     """The star built from the test tables in ``sf_dir``: loaded once into the
-    shared folder, then read by every report."""
+    shared folder, then read by every report (``rebuild`` forces a new load)."""
     from sparkmart.plans.pipeline import testdata_inputs  # local: avoids a cycle
     from sparkmart.plans.etl import star_rows
 
     root = warehouse_root(spark, sf_dir)
-    if not exists(spark, root):
+    if rebuild or not exists(spark, root):
         write_star(star_rows(spark, testdata_inputs(spark, sf_dir)), root)
     return read_star(spark, root)
 

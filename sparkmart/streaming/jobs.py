@@ -67,8 +67,9 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
     return writer.start()
 
 
-def stream_hybrid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = warehouse.warehouse_root(spark, sf_dir, tag="stream")
+def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
+    """Facts loaded by the streaming job (run once per ``base`` folder)."""
+    base = base or warehouse.warehouse_root(spark, sf_dir, tag="stream")
     root = f"{base}/warehouse"
     if not warehouse.exists(spark, base):
         write_arrivals(spark, sf_dir, f"{base}/inbox")
