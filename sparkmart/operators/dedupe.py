@@ -42,15 +42,19 @@ def last_by(df: DataFrame, keys: Sequence[str], order: str,
 
 
 def insert_ignore(incoming: DataFrame, existing: DataFrame | None,
-                  keys: Sequence[str], order: str,
+                  keys: Sequence[str], order: str | None,
                   cols: Sequence[str] | None = None) -> DataFrame:
     """Rows to append so that ``existing`` keeps its first row per key.
 
     Within the batch the earliest source position wins; keys already stored
     are dropped (anti join).  Replaying the same batch yields no rows, which
-    makes the load idempotent.
+    makes the load idempotent.  ``order=None`` states that ``incoming`` is
+    already one row per key (no selection step).
     """
-    fresh = first_by(incoming, keys, order, cols)
+    if order is None:
+        fresh = incoming.select(*(cols or incoming.columns))
+    else:
+        fresh = first_by(incoming, keys, order, cols)
     if existing is None:
         return fresh
     return fresh.join(existing.select(*keys), list(keys), "left_anti")

@@ -122,13 +122,14 @@ def new_rows(spark: SparkSession, inputs: Inputs, existing: Star | None = None,
         cols = [f.name for f in schema.STAR_TABLES[name].fields]
         return insert_ignore(df, getattr(ex, name) if ex else None, keys, order, cols)
 
-    stores = dims.extract_stores(inputs.products).withColumn(POS, F.lit(0))
-    suppliers = dims.extract_suppliers(inputs.products).withColumn(POS, F.lit(0))
+    # extract_* already yield one row per key.
+    stores = dims.extract_stores(inputs.products)
+    suppliers = dims.extract_suppliers(inputs.products)
     cal_new = cal if ex is None else cal.join(ex.dim_date.select("date_id"), "date_id", "left_anti")
     out = Star(
         dim_customer=ignore(inputs.customers, "dim_customer"),
-        dim_store=ignore(stores, "dim_store"),
-        dim_supplier=ignore(suppliers, "dim_supplier"),
+        dim_store=ignore(stores, "dim_store", order=None),
+        dim_supplier=ignore(suppliers, "dim_supplier", order=None),
         dim_product=ignore(inputs.products.withColumn("price", F.col("price").try_cast("decimal(10,2)")),
                            "dim_product"),
         dim_date=cal_new,

@@ -75,16 +75,15 @@ def preload_products(spark: SparkSession, root: str, products: DataFrame) -> Non
     insert-if-absent; the lookup (last row per product: price, store,
     supplier) is rewritten.
     """
-    for name, rows, keys, cols in [
-        ("dim_store", dims.extract_stores(products).withColumn(POS, F.lit(0)),
-         ["store_id"], ["store_id", "store_name"]),
-        ("dim_supplier", dims.extract_suppliers(products).withColumn(POS, F.lit(0)),
-         ["supplier_id"], ["supplier_id", "supplier_name"]),
+    for name, rows, keys, order in [
+        ("dim_store", dims.extract_stores(products), ["store_id"], None),
+        ("dim_supplier", dims.extract_suppliers(products), ["supplier_id"], None),
         ("dim_product", products.withColumn("price", F.col("price").try_cast("decimal(10,2)")),
-         ["product_id"], ["product_id", "product_category", "price"]),
+         ["product_id"], POS),
     ]:
         existing = _read_or_none(spark, table_path(root, name), schema.STAR_TABLES[name])
-        insert_ignore(rows, existing, keys, POS, cols).write.mode("append").parquet(table_path(root, name))
+        cols = [f.name for f in schema.STAR_TABLES[name].fields]
+        insert_ignore(rows, existing, keys, order, cols).write.mode("append").parquet(table_path(root, name))
     dims.product_lookup(products).write.mode("overwrite").parquet(table_path(root, LOOKUP))
 
 
