@@ -48,7 +48,7 @@ def _money_sum(col: str, alias: str) -> F.Column:
 
 
 def _dates(star: Star, *cols: str) -> DataFrame:
-    # Bounded broadcast: one row per calendar day.
+    # Bounded broadcast: date_id is the primary key, one row per calendar day.
     return F.broadcast(star.dim_date.select("date_id", *cols))
 
 

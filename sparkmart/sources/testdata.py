@@ -34,8 +34,8 @@ def product_key(col) -> F.Column:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    # nation has one row per nation (25 in the TPC-H spec): a bounded broadcast.
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    # nation is tiny; Catalyst's size estimate picks the broadcast.
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     stay = (F.col("c_nationkey") % 5).cast("string")
     return (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
             .select(
@@ -57,7 +57,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n_sup = table(spark, sf_dir, "supplier").select(F.count("*")).scalar()
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
-    nat = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     linked = (part.withColumn("supplier_key", F.col("p_partkey") % n_sup)
               .join(sup, F.col("supplier_key") == sup.s_suppkey, "inner")
               .join(nat, F.col("s_nationkey") == nat.n_nationkey, "inner"))
