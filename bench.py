@@ -5,6 +5,8 @@ Prints one JSON line.  Environment:
   BENCH_CPUS    local cores (default 8)
   BENCH_REPS    timed runs per query after one warm-up (default 3; median kept)
   BENCH_STREAM  1 to also time the streaming load (default 0)
+  BENCH_EVENTLOG  1 to write Spark's event log (stage/task times) to the
+                  run's scratch folder
 
 Each query runs to completion into the ``noop`` sink (no collect).  The
 star is built once into a fresh folder (``etl_build``); reports then read it.
@@ -32,10 +34,11 @@ def main() -> None:
     from sparkmart.session import build_session
     # The star goes to spark.checkpoint.dir as configured (a fresh build is
     # forced below); only an unset one falls back to this scratch folder.
-    spark = build_session(master=f"local[{cpus}]", app="sparkmart-bench", conf={
-        "spark.sql.shuffle.partitions": cpus,
-        "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-    })
+    conf = {"spark.sql.shuffle.partitions": cpus, "spark.sql.warehouse.dir": f"{scratch}/warehouse"}
+    if os.environ.get("BENCH_EVENTLOG", "0") == "1":
+        os.makedirs(f"{scratch}/events", exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"{scratch}/events"})
+    spark = build_session(master=f"local[{cpus}]", app="sparkmart-bench", conf=conf)
     from sparkmart.plans import registry
     from sparkmart.sources import warehouse
 

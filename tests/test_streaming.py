@@ -68,3 +68,23 @@ def test_known_late_and_never_seen_customers(spark, scratch):
         assert [(r.gender, r.marital_status) for r in cust] == [("F", True)]
     finally:
         q.stop()
+
+
+def test_csv_feed_with_available_now(spark, scratch):
+    """The reference's own layout: CSV files for transactions and customers."""
+    inbox, root = f"{scratch}/inbox", f"{scratch}/wh"
+    fx.products(spark, [fx.prod_row("P1", 2.5, 0), fx.prod_row("P2", 1.0, 1)]) \
+        .write.parquet(f"{inbox}/products")
+    ensure_dim_date(spark, root, dim_date(spark, "2016-01-01", "2016-12-31"))
+    cust = spark.createDataFrame([("1", "M", "26-35", "x", "A", "1", "0"),
+                                  ("2", "F", "18-25", "y", "B", "2", "1")], CUST_COLS)
+    tx = spark.createDataFrame([("10", "1", "P1", "2", "2016-04-02"), ("11", "2.0", "P2", "3", "4/5/2016"),
+                                ("12", "2", "PX", "1", "2016-04-02"), ("x", "1", "P1", "1", "2016-04-02")],
+                               TX_COLS)
+    csv_src.write_csv(cust.coalesce(1), f"{inbox}/customers")
+    csv_src.write_csv(tx.coalesce(1), f"{inbox}/transactions")
+    q = start_hybrid_load(spark, inbox, root, f"{scratch}/ckpt", fmt="csv")
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{root}/fact_sales").orderBy("order_id").collect()
+    assert [(r.order_id, r.customer_id, r.date_id, str(r.revenue)) for r in rows] == [
+        (10, 1, 20160402, "5.00"), (11, 2, 20160405, "3.00")]
