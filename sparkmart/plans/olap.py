@@ -25,7 +25,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkmart.functions.calendar import date_id as date_id_of
 from sparkmart.functions.calendar import day_type, is_first_half, season
 from sparkmart.functions.measures import cents, safe_ratio
 from sparkmart.operators.affinity import top_pairs
@@ -388,4 +387,4 @@ def run_report(name: str, star: Star, params: dict | None = None) -> DataFrame:
 
 
 __all__ = ["REPORTS", "TEST_PARAMS", "run_report", "register_views", "store_quarterly_sales",
-           "add_months", "date_id_of"]
+           "add_months", "parse_day", "trailing_months"]
