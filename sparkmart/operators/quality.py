@@ -74,3 +74,18 @@ def duplicate_master_keys(masters: dict[str, tuple[DataFrame, list[str]]]) -> Da
                      .select(F.lit(source).alias("source"), "duplicate_keys",
                              "rows_with_duplicate_keys"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def length_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, column_name, max_length, too_long: values longer than the
+    declared text length (the database would have truncated or refused
+    them; here they are loaded whole and counted)."""
+    parts = []
+    for name, limits in schema.TEXT_LIMITS.items():
+        df = tables[name]
+        aggs = [F.count_if(F.length(c) > n).alias(c) for c, n in limits.items()]
+        counts = df.agg(*aggs)
+        for c, n in limits.items():
+            parts.append(counts.select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                                       F.lit(n).alias("max_length"), F.col(c).alias("too_long")))
+    return reduce(DataFrame.unionByName, parts)

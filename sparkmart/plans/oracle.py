@@ -349,6 +349,17 @@ FROM (SELECT {k}, COUNT(*) AS n FROM {t} GROUP BY {k}) g"""
                       ("product_master", "prod_master", "product_id"),
                       ("transactions", "raw_tx", "order_id, product_id")])
 
+_LIMITS = [("dim_customer", "gender", 10), ("dim_customer", "age", 10),
+           ("dim_customer", "occupation", 50), ("dim_customer", "city_category", 1),
+           ("dim_customer", "stay_in_current_city_years", 5), ("dim_store", "store_name", 100),
+           ("dim_supplier", "supplier_name", 100), ("dim_product", "product_id", 20),
+           ("dim_product", "product_category", 50), ("dim_date", "weekday", 10),
+           ("fact_sales", "product_id", 20)]
+QUERIES["check_length_violations"] = "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_length,
+       COUNT(*) FILTER (WHERE length({c}) > {n}) AS too_long FROM {t}"""
+    for t, c, n in _LIMITS)
+
 # Queries that equal another query's oracle.
 QUERIES["stream_hybrid_join"] = QUERIES["etl_fact_sales"]
 QUERIES["stream_store_quarterly"] = """

@@ -48,6 +48,10 @@ def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fk_violations(star.fact_sales, star.tables())
 
 
+def length_violations(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.length_violations(warehouse.star_for(spark, sf).tables())
+
+
 def trailing_months(spark: SparkSession, sf: str) -> DataFrame:
     """Fact rows of the trailing six months up to the Q6 anchor (P16)."""
     star = warehouse.star_for(spark, sf)
@@ -118,6 +122,7 @@ QUERIES.update({
     "check_pk_violations": pk_violations,
     "check_fk_violations": fk_violations,
     "check_master_duplicates": master_duplicates,
+    "check_length_violations": length_violations,
     "stream_hybrid_join": _streaming("stream_hybrid_join"),
     "stream_store_quarterly": _streaming("stream_store_quarterly"),
 })

@@ -98,5 +98,18 @@ STAR_TABLES = {
     "dim_date": DIM_DATE, "fact_sales": FACT_SALES,
 }
 
+# Declared text lengths of the warehouse DDL (varchar(n) /
+# char(n)).  Spark does not enforce them; quality.length_violations counts
+# values that exceed them.
+TEXT_LIMITS = {
+    "dim_customer": {"gender": 10, "age": 10, "occupation": 50, "city_category": 1,
+                     "stay_in_current_city_years": 5},
+    "dim_store": {"store_name": 100},
+    "dim_supplier": {"supplier_name": 100},
+    "dim_product": {"product_id": 20, "product_category": 50},
+    "dim_date": {"weekday": 10},
+    "fact_sales": {"product_id": 20},
+}
+
 # Partition column of the stored fact table (derived from date_id).
 FACT_PARTITION = "sale_year"
