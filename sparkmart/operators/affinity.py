@@ -4,85 +4,125 @@ Semantics (reference query): pairs of fact rows with the same customer and
 date and ``product_a < product_b``, counted per (product_a, product_b), top k
 by count.  Ties at the cut are broken by product_a, product_b ascending.
 
-Plan, exact at every step:
-
-1. ``basket_products``: fact rows collapsed to (customer, date, product, c)
-   where c counts the product's rows in the basket; a pair's row count is the
-   sum over baskets of ``c_a * c_b``.
-2. Per product, ``n`` = rows in all baskets and ``m`` = largest c.  For any
-   pair, ``count(a, b) <= min(n_a * m_b, n_b * m_a)``.
-3. A lower bound ``tau`` of the k-th best count: exact counts of the pairs
-   among a fixed number of the most frequent products (a bounded seed).
-4. Only products with ``n * max(m) >= tau`` can be in a top-k pair; pairs are
-   formed inside baskets among those products only, and a pair is emitted
-   only when its bound reaches ``tau``.  Every pair whose count is >= tau,
-   ties included, is therefore counted exactly, and the top k among them is
-   the answer.  When tau is 1 no pair can be excluded and the plain pair
-   count runs.
-
-With skewed popularity (the usual retail case, and any hot basket made of
-repeated products) tau is large and most products never enter the pair
-join.  A hot basket of many distinct products that each occur once still
-yields all of its pairs: each pair count is then 1 and no bound separates
-them.
+Plan, exact at every step, with no basket ever paired in full when it is
+large:
+
+1. ``basket_products``: fact rows collapsed to (customer, date, product, c);
+   a pair's row count is the sum over baskets of ``c_a * c_b``.
+2. Baskets with at most ``BIG_BASKET`` distinct products are paired in full
+   (bounded work per basket).  Each such pair gets its exact total, adding
+   what larger baskets contribute; the k-th best of these totals is tau, a
+   lower bound of the answer's k-th count.
+3. In larger baskets a pair is formed only when
+   ``min(n_a * m_b, n_b * m_a) >= max(tau, 2)`` (n = rows, m = largest count
+   of the product over large baskets), which bounds its large-basket count.
+   A hot basket of products bought once each yields no pairs here.
+4. When tau is 1 the answer may need pairs counted exactly once; such a pair
+   has at most 2k - 2 smaller pairs in its basket, so each large basket
+   contributes only the pairs among its 2k smallest product ids
+   (``row_number() <= 2k``, a partial window group limit).
+5. Pairs first seen in step 3 or 4 get exact counts; the top k of all exact
+   totals is the answer.  ``tests/test_reports.py`` checks it against brute
+   force, including hot baskets and forced small ``BIG_BASKET`` values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BASKET = ["customer_id", "date_id"]
-SEED_PRODUCTS = 64
+BIG_BASKET = 64
 
 
 def basket_products(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*BASKET, "product_id").agg(F.count(F.lit(1)).alias("c"))
 
 
-def _pairs(bp: DataFrame, bounded: bool = False) -> DataFrame:
-    """Pair rows inside baskets with a < b, weighted c_a * c_b.
+def pair_counts(bp: DataFrame) -> DataFrame:
+    """Exact pair counts over all pairs inside the given baskets."""
+    a, b = _pair_rows(bp)
+    return (a.join(b, _within(a, b))
+            .groupBy("product_a", "product_b")
+            .agg(F.sum(F.col("ca") * F.col("cb")).alias("together_count")))
+
 
-    With ``bounded``, ``bp`` carries n, m and tau and a pair is only emitted
-    when its upper bound reaches tau."""
-    extra = ["n", "m", "tau"] if bounded else []
+def _pair_rows(bp: DataFrame, extra=()) -> tuple[DataFrame, DataFrame]:
     a = bp.select(*BASKET, F.col("product_id").alias("product_a"), F.col("c").alias("ca"),
                   *[F.col(x).alias(f"{x}_a") for x in extra])
     b = bp.select(*BASKET, F.col("product_id").alias("product_b"), F.col("c").alias("cb"),
                   *[F.col(x).alias(f"{x}_b") for x in extra])
-    cond = a["customer_id"] == b["customer_id"]
-    cond = cond & (a["date_id"] == b["date_id"]) & (F.col("product_a") < F.col("product_b"))
-    if bounded:
-        bound = F.least(F.col("n_a") * F.col("m_b"), F.col("n_b") * F.col("m_a"))
-        cond = cond & (bound >= F.col("tau_a"))
-    joined = a.join(b, on=cond, how="inner")
-    return joined.select("product_a", "product_b", (F.col("ca") * F.col("cb")).alias("w"))
+    return a, b
+
 
+def _within(a: DataFrame, b: DataFrame):
+    return ((a["customer_id"] == b["customer_id"]) & (a["date_id"] == b["date_id"])
+            & (F.col("product_a") < F.col("product_b")))
 
-def pair_counts(bp: DataFrame, bounded: bool = False) -> DataFrame:
-    return (_pairs(bp, bounded).groupBy("product_a", "product_b")
-            .agg(F.sum("w").alias("together_count")))
 
+def _large_counts(pairs: DataFrame, large: DataFrame) -> DataFrame:
+    """Exact large-basket counts sum(c_a * c_b) for the given (a, b) pairs."""
+    la, lb = _pair_rows(large)
+    hit = (pairs.select("product_a", "product_b").join(la, "product_a")
+           .join(lb, [*BASKET, "product_b"]))
+    return hit.groupBy("product_a", "product_b").agg(F.sum(F.col("ca") * F.col("cb")).alias("t_large"))
 
-def top_pairs(fact: DataFrame, k: int = 5) -> DataFrame:
+
+def top_pairs(fact: DataFrame, k: int = 5, big: int = BIG_BASKET) -> DataFrame:
+    """Top-k pairs by (count desc, product_a, product_b), exact.
+
+    Baskets with at most ``big`` distinct products ("small") are paired in
+    full; their exact pair totals give tau, a lower bound of the k-th best
+    count.  Inside larger baskets a pair is formed only when its bound
+    ``min(n_a * m_b, n_b * m_a)`` (n, m over large baskets) reaches
+    ``max(tau, 2)``; pairs counted once in a single large basket are needed
+    only to fill ties at count 1, and those come from each large basket's
+    2k smallest product ids (a pair among the answer's count-1 pairs has at
+    most 2k - 2 smaller pairs in its basket).
+    """
+    spark = fact.sparkSession
     bp = basket_products(fact)
-    stats = bp.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
-
-    # Seed: exact counts among the most frequent products (a bounded set).
-    # tau is a single number, fetched to choose the plan below.
-    seed = stats.orderBy(F.desc("n"), "product_id").limit(SEED_PRODUCTS).select("product_id")
-    seed_counts = pair_counts(bp.join(F.broadcast(seed), "product_id", "left_semi"))
-    best = seed_counts.orderBy(F.desc("together_count")).limit(k)
-    tau = best.agg(F.when(F.count(F.lit(1)) >= k, F.min("together_count"))
-                   .otherwise(F.lit(1)).alias("tau")).first()["tau"]
+    size = bp.groupBy(*BASKET).agg(F.count(F.lit(1)).alias("s"))
+    bp = bp.join(size, BASKET)
+    small = bp.where(F.col("s") <= big).drop("s")
+    large = bp.where(F.col("s") > big).drop("s")
+
+    # Exact totals of the pairs seen in small baskets; only their top k can
+    # matter, and those k rows (a bounded result) also fix tau.
+    sp = pair_counts(small).withColumnRenamed("together_count", "t_small")
+    known = (sp.join(_large_counts(sp, large), ["product_a", "product_b"], "left")
+             .select("product_a", "product_b",
+                     (F.col("t_small") + F.coalesce("t_large", F.lit(0))).alias("together_count")))
+    top_known = known.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k).collect()
+    tau = top_known[-1]["together_count"] if len(top_known) >= k else 1
+    theta = max(int(tau), 2)
+
+    # Large-basket pairs whose bound reaches theta (all pairs with count >= theta).
+    stats = large.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
     max_m = stats.select(F.max("m")).scalar()
-
+    cand = large.join(stats.where(F.col("n") * max_m >= F.lit(theta)), "product_id")
+    a, b = _pair_rows(cand, ["n", "m"])
+    bound = F.least(F.col("n_a") * F.col("m_b"), F.col("n_b") * F.col("m_a"))
+    high = (a.join(b, _within(a, b) & (bound >= F.lit(theta)))
+            .groupBy("product_a", "product_b").agg(F.sum(F.col("ca") * F.col("cb")).alias("together_count"))
+            .where(F.col("together_count") >= F.lit(theta)))
+    parts = [spark.createDataFrame(top_known, "product_a string, product_b string, together_count long"),
+             high.select("product_a", "product_b", F.col("together_count").cast("long"))]
     if tau <= 1:
-        # Every co-occurring pair reaches the bound: nothing can be pruned.
-        counts = pair_counts(bp)
-    else:
-        candidates = stats.where(F.col("n") * max_m >= F.lit(tau)).withColumn("tau", F.lit(tau))
-        bpc = bp.join(candidates, "product_id", "inner")
-        counts = pair_counts(bpc, bounded=True).where(F.col("together_count") >= F.lit(tau))
-    return (counts.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k)
+        # Count-1 ties: the 2k smallest products of each large basket.
+        w = Window.partitionBy(*BASKET).orderBy("product_id")
+        firsts = large.withColumn("r", F.row_number().over(w)).where(F.col("r") <= 2 * k).drop("r")
+        fa, fb = _pair_rows(firsts)
+        cand_pairs = fa.join(fb, _within(fa, fb)).select("product_a", "product_b").distinct()
+        parts.append(_large_counts(cand_pairs, large)
+                     .select("product_a", "product_b", F.col("t_large").cast("long").alias("together_count")))
+    # A pair seen in a small basket has its exact total among ``known``; the
+    # large-basket parts carry only its large-basket share, which is
+    # strictly smaller, so the maximum per pair is exact.  A pair outside the
+    # top k of ``known`` cannot enter the answer with that smaller share.
+    result = (reduce(DataFrame.unionByName, parts)
+              .groupBy("product_a", "product_b").agg(F.max("together_count").alias("together_count")))
+    return (result.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k)
             .select("product_a", "product_b", F.col("together_count").cast("long")))

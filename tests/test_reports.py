@@ -93,6 +93,38 @@ def test_affinity_pruning_matches_brute_force(spark):
     assert got == _brute_force_pairs(facts, 5)
 
 
+def _random_facts(seed, n_products, n_baskets, sizes, hot=0, hot_weights=None):
+    rnd = random.Random(seed)
+    products = [f"P{i:03d}" for i in range(n_products)]
+    facts = []
+    for basket in range(n_baskets):
+        n = rnd.choice(sizes)
+        facts += [(basket, 20160101, p) for p in rnd.sample(products, min(n, n_products))]
+    if hot:
+        chosen = (rnd.choices(products, hot_weights, k=hot) if hot_weights
+                  else rnd.sample(products, min(hot, n_products)))
+        facts += [(10_000, 20160101, p) for p in chosen]
+    return facts
+
+
+def test_affinity_large_basket_paths_match_brute_force(spark):
+    cases = [
+        # sparse data, every pair count 1: ties filled from large baskets
+        _random_facts(1, 200, 30, [2, 3, 6, 9]),
+        # hot basket of distinct products next to small repeated pairs
+        _random_facts(2, 60, 80, [2, 3, 4], hot=50),
+        # hot basket with repeated products (counts above 1)
+        _random_facts(3, 30, 40, [2, 3, 5, 7], hot=120, hot_weights=[1.0 / (i + 1) for i in range(30)]),
+        # only one large basket and nothing else
+        _random_facts(4, 40, 0, [2], hot=25),
+    ]
+    for facts in cases:
+        df = spark.createDataFrame(facts, "customer_id long, date_id int, product_id string")
+        for big in (4, 64):
+            got = [(r.product_a, r.product_b, r.together_count) for r in top_pairs(df, 5, big=big).collect()]
+            assert got == _brute_force_pairs(facts, 5), (big, facts[:3])
+
+
 def test_top_products_by_daytype_ranks_per_month(spark):
     tx = [(1, 1, "A", 5, fx.d("2016-01-04"), 0), (2, 1, "B", 3, fx.d("2016-01-04"), 1),
           (3, 2, "C", 7, fx.d("2016-01-09"), 2)]  # 2016-01-09 is a Saturday
