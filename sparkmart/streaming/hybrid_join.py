@@ -17,7 +17,9 @@ must be ``max`` so that an idle customer stream does not stop expiry.
 The loader (``foreachBatch``) enriches matched rows with the product lookup
 (loaded once at start, like the product dimensions) and the calendar key, and
 appends to the warehouse with insert-if-absent on every table, so replaying a
-micro-batch after a failure adds nothing.
+micro-batch after a failure adds nothing.  A micro-batch of checked size is
+broadcast against the stored keys, so the stored tables are scanned (key
+columns only, row groups pruned by the batch's key range) but not shuffled.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sparkmart import schema
 from sparkmart.operators import dims
-from sparkmart.operators.dedupe import insert_ignore
+from sparkmart.operators.dedupe import first_by, insert_ignore, insert_ignore_batch
 from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
 from sparkmart.plans.etl import FACT_COLS, with_partition_column
 from sparkmart.sources.csv import POS
@@ -123,18 +125,35 @@ class WarehouseLoader:
             w = w.partitionBy(partition)
         w.parquet(table_path(self.root, name))
 
+    def _insert(self, spark, rows: DataFrame, n: int, name: str, keys, cols,
+                partition: str | None = None, transform=None, key_range=None) -> None:
+        """First row per key (persisted once), then insert-if-absent against
+        the stored table and append."""
+        first = first_by(rows, keys, POS, cols).persist()
+        try:
+            new = insert_ignore_batch(first, n, self._existing(spark, name), keys, None, cols,
+                                      key_range)
+            self._append(transform(new) if transform else new, name, partition)
+        finally:
+            first.unpersist()
+
     def _load(self, spark: SparkSession, batch: DataFrame) -> None:
         # One small aggregate tells which outputs this batch has (watermark-
         # only batches often carry nothing but still run).
-        sizes = {r["matched"]: r["n"] for r in
-                 batch.groupBy("matched").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # It also yields key ranges that cover every row inserted below.
+        stats = {r["matched"]: r for r in batch.groupBy("matched").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("order_id").alias("o_lo"), F.max("order_id").alias("o_hi"),
+            F.min("c_customer_id").alias("c_lo"), F.max("c_customer_id").alias("c_hi")).collect()}
+        sizes = {m: r["n"] for m, r in stats.items()}
         if sizes.get(False):
             expired = batch.where(~F.col("matched")).select(
                 "order_id", "customer_id", "product_id", "quantity", "sale_date", POS,
                 F.lit("customer_not_seen_within_ttl").alias("reason"))
-            dead = insert_ignore(expired, self._existing(spark, "dead_letters"),
-                                 ["order_id", "product_id", POS], POS)
-            self._append(dead, "dead_letters")
+            self._insert(spark, expired, sizes[False], "dead_letters",
+                         ["order_id", "product_id", POS],
+                         ["order_id", "customer_id", "product_id", "quantity", "sale_date", POS,
+                          "reason"], key_range=(stats[False]["o_lo"], stats[False]["o_hi"]))
         if not sizes.get(True):
             return
 
@@ -146,15 +165,16 @@ class WarehouseLoader:
                                             dim_date)).where(F.col("revenue").isNotNull())
         enriched = enriched.persist()
         try:
+            rows = sizes[True]
             cust = enriched.select(F.col("c_customer_id").alias("customer_id"),
                                    *dims.CUSTOMER_ATTRS, F.col("c_pos").alias(POS))
-            cust_cols = [f.name for f in schema.DIM_CUSTOMER.fields]
-            self._append(insert_ignore(cust, self._existing(spark, "dim_customer"),
-                                       ["customer_id"], POS, cust_cols), "dim_customer")
-            facts = enriched.select(*FACT_COLS, POS)
-            new_facts = insert_ignore(facts, self._existing(spark, "fact_sales"),
-                                      ["order_id", "product_id"], POS, FACT_COLS)
-            self._append(with_partition_column(new_facts), "fact_sales", schema.FACT_PARTITION)
+            hit = stats[True]
+            self._insert(spark, cust, rows, "dim_customer", ["customer_id"],
+                         [f.name for f in schema.DIM_CUSTOMER.fields],
+                         key_range=(hit["c_lo"], hit["c_hi"]))
+            self._insert(spark, enriched.select(*FACT_COLS, POS), rows, "fact_sales",
+                         ["order_id", "product_id"], FACT_COLS, schema.FACT_PARTITION,
+                         with_partition_column, key_range=(hit["o_lo"], hit["o_hi"]))
         finally:
             enriched.unpersist()
 

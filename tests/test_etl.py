@@ -89,3 +89,18 @@ def test_load_warehouse_twice_with_rejects(spark, scratch):
     assert set(second.values()) == {0}
     rej = spark.read.parquet(f"{root}/rejects/transactions_load").collect()
     assert {(r.order_id, r.reason) for r in rej} == {(2, "unknown_customer")}
+
+
+def test_insert_ignore_batch_paths_agree(spark):
+    from sparkmart.operators.dedupe import BROADCAST_KEYS_MAX, insert_ignore, insert_ignore_batch
+    stored = spark.createDataFrame([(1, "A"), (2, "B"), (9, "Z")], "order_id long, product_id string")
+    batch = spark.createDataFrame([(1, "A", 5, 0), (2, "C", 6, 1), (2, "C", 7, 2), (3, "A", 8, 3)],
+                                  "order_id long, product_id string, q int, r long") \
+        .selectExpr("order_id", "product_id", "q", "struct(r) AS src_pos")
+    keys, cols = ["order_id", "product_id"], ["order_id", "product_id", "q"]
+    want = _rows(insert_ignore(batch, stored, keys, "src_pos", cols), "order_id", "product_id", "q")
+    assert want == [(2, "C", 6), (3, "A", 8)]
+    small = insert_ignore_batch(batch, 4, stored, keys, "src_pos", cols)
+    large = insert_ignore_batch(batch, BROADCAST_KEYS_MAX + 1, stored, keys, "src_pos", cols)
+    assert _rows(small, "order_id", "product_id", "q") == want
+    assert _rows(large, "order_id", "product_id", "q") == want
