@@ -229,17 +229,15 @@ SELECT store_name, supplier_name, year, month, total_sales, previous_month_sales
        {_growth('total_sales', 'previous_month_sales')} AS revenue_volatility_percentage
 FROM lagged ORDER BY store_name, supplier_name, year, month""",
     "q16_product_affinity": """
-daily_baskets AS (
-  SELECT fs1.product_id AS product_a, fs2.product_id AS product_b
-  FROM fact_sales fs1
-  JOIN fact_sales fs2
-    ON fs1.customer_id = fs2.customer_id
-   AND fs1.date_id = fs2.date_id
-   AND fs1.product_id < fs2.product_id),
-pair_counts AS (
+same_day AS (
+  SELECT x.product_id AS product_a, y.product_id AS product_b
+  FROM fact_sales x
+  JOIN fact_sales y
+    ON x.customer_id = y.customer_id AND x.date_id = y.date_id AND x.product_id < y.product_id),
+totals AS (
   SELECT product_a, product_b, CAST(COUNT(*) AS BIGINT) AS together_count
-  FROM daily_baskets GROUP BY product_a, product_b)
-SELECT product_a, product_b, together_count FROM pair_counts
+  FROM same_day GROUP BY product_a, product_b)
+SELECT product_a, product_b, together_count FROM totals
 ORDER BY together_count DESC, product_a, product_b LIMIT 5""",
     "q17_yearly_rollup": """
 SELECT DD.year, DS.store_name, DSU.supplier_name, DP.product_id,
