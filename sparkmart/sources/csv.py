@@ -37,9 +37,15 @@ def with_source_position(df: DataFrame, fmt: str = "csv", streaming: bool = Fals
 
 
 def _read(spark: SparkSession, path: str, sch) -> DataFrame:
-    df = (spark.read.schema(sch).option("header", True).option("mode", "PERMISSIVE")
-          .option("enforceSchema", False).csv(path))
-    return with_source_position(df)
+    """Headed CSV read as text; columns are taken by header name, so their
+    order in the file and any extra columns do not matter.  A missing
+    column fails the read."""
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = with_source_position(df)
+    missing = [f.name for f in sch.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) for f in sch.fields], POS)
 
 
 def read_customer_master(spark: SparkSession, path: str) -> DataFrame:

@@ -68,3 +68,15 @@ def test_customer_marital_flag(spark):
     rows = sorted((r.customer_id, r.age, r.marital_status) for r in good.collect())
     assert rows == [(1, "26-35", True), (2, None, False)]
     assert [r.reason for r in bad.collect()] == ["bad_customer_id"]
+
+
+def test_csv_columns_by_header_name(spark, scratch):
+    from sparkmart.sources.csv import read_transactions_batch
+    import os
+    path = f"{scratch}/tx"
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w") as fh:
+        fh.write("date,extra,quantity,Product_ID,Customer_ID,orderID\n2016-04-02,z,3,P1,10.0,7\n")
+    good, bad = clean_transactions(read_transactions_batch(spark, path))
+    assert [(r.order_id, r.customer_id, r.product_id, r.quantity) for r in good.collect()] == [(7, 10, "P1", 3)]
+    assert bad.count() == 0
