@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.cmd == "load":
         from sparkmart.plans.etl import load_warehouse
-        from sparkmart.plans.pipeline import csv_inputs
+        from sparkmart.plans.inputs import csv_inputs
         cleaned = csv_inputs(spark, args.input, calendar=tuple(args.calendar))
         added = load_warehouse(spark, cleaned.inputs, args.warehouse, quarantine=cleaned.rejects)
         print(json.dumps({"rows_added": added}))

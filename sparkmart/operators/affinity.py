@@ -85,6 +85,11 @@ def top_pairs(fact: DataFrame, k: int = 5, big: int = BIG_BASKET) -> DataFrame:
     spark = fact.sparkSession
     bp = basket_products(fact)
     size = bp.groupBy(*BASKET).agg(F.count(F.lit(1)).alias("s"))
+    largest = size.agg(F.max("s")).first()[0] or 0
+    if largest <= big:
+        # Every basket is small: the full pair count is bounded per basket.
+        return (pair_counts(bp).orderBy(F.desc("together_count"), "product_a", "product_b")
+                .limit(k).select("product_a", "product_b", F.col("together_count").cast("long")))
     bp = bp.join(size, BASKET)
     small = bp.where(F.col("s") <= big).drop("s")
     large = bp.where(F.col("s") > big).drop("s")

@@ -1,4 +1,4 @@
-"""End-to-end batch pipelines: inputs -> cleaned -> star rows.
+"""Batch front ends: inputs -> cleaned, typed rows for the ETL core.
 
 Two front ends feed the same ETL core (``plans.etl``):
 

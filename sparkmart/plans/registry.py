@@ -14,7 +14,7 @@ from sparkmart.operators import dims, quality
 from sparkmart.operators.joins import hybrid_join_batch
 from sparkmart.plans import olap
 from sparkmart.plans.etl import FACT_COLS, new_rows, star_rows
-from sparkmart.plans.pipeline import csv_inputs, export_testdata_csv, testdata_inputs
+from sparkmart.plans.inputs import csv_inputs, export_testdata_csv, testdata_inputs
 from sparkmart.sources import testdata, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]

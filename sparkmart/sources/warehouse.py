@@ -90,7 +90,7 @@ def warehouse_root(spark: SparkSession, sf_dir: str, tag: str = "star") -> str:
 def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     """The star built from the test tables in ``sf_dir``: loaded once into the
     shared folder, then read by every report (``rebuild`` forces a new load)."""
-    from sparkmart.plans.pipeline import testdata_inputs  # local: avoids a cycle
+    from sparkmart.plans.inputs import testdata_inputs  # local: avoids a cycle
     from sparkmart.plans.etl import star_rows
 
     root = warehouse_root(spark, sf_dir)
