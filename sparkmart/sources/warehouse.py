@@ -28,7 +28,8 @@ def table_path(root: str, name: str) -> str:
 
 
 def write_star(star: Star, root: str, mode: str = "overwrite") -> dict[str, int]:
-    """Write (or append) the six tables; returns rows written per table."""
+    """Write (or append) the six tables and the manifest; returns the stored
+    row count per table."""
     counts: dict[str, int] = {}
     spark = star.fact_sales.sparkSession
     for name in DIMENSIONS:
