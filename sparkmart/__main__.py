@@ -53,7 +53,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--calendar", nargs=2, default=[DEFAULT_START, DEFAULT_END])
     args = ap.parse_args(argv)
 
+    from pyspark.sql import SparkSession
+
     from sparkmart.session import build_session
+    owned = SparkSession.getActiveSession() is None  # stop only a session we start
     spark = build_session(app=f"sparkmart-{args.cmd}")
 
     if args.cmd == "load":
@@ -92,7 +95,8 @@ def main(argv: list[str] | None = None) -> None:
                               available_now=args.once, processing_time=None if args.once else "10 seconds",
                               fmt=args.fmt)
         q.awaitTermination()
-    spark.stop()
+    if owned:
+        spark.stop()
 
 
 if __name__ == "__main__":
