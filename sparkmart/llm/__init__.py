@@ -2,10 +2,14 @@
 imports this package; ``QUERIES`` and ``ORACLE_SQL`` are what the entry
 module registers."""
 
-from sparkmart.llm import ngram_join
+from sparkmart.llm import mixing, ngram_join, quality_classifier, quality_rules, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op3_source_mixing": mixing.op3_source_mixing,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op7_quality_classifier": quality_classifier.op7_quality_classifier,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
