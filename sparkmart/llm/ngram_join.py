@@ -76,7 +76,7 @@ class Bounds:
 
     def fine(self, n):
         """Fine blocks of a sketch: a power of two, so sketches fold onto shorter ones."""
-        m = 2 * self.blocks[self.size_class(np.maximum(n, 1))]
+        m = 40 // (100 - self.p) * self.blocks[self.size_class(np.maximum(n, 1))] if self.p < 100 else np.ones_like(n)
         return 1 << np.ceil(np.log2(np.maximum(m, 2))).astype(np.int64)
 
 
@@ -233,16 +233,18 @@ def _discard(percent: int):
 
 
 def _cells(percent: int):
-    """Cells between members of a block that are in different components."""
+    """Cells between members of a block that are in different components.  A
+    task holds all blocks that share a pivot, for two chunks of members, so a
+    cell that recurs in them goes out once."""
     def run(table: pa.Table) -> pa.Table:
         b = Bounds(percent)
-        unit = np.stack([table.column(c).to_numpy() for c in ("block", "low", "high")])
+        unit = np.stack([table.column(c).to_numpy() for c in ("pivot", "low", "high", "block")])
         order = np.lexsort(unit[::-1])
         unit = unit[:, order]
         cuts = np.flatnonzero(np.append(True, (unit[:, 1:] != unit[:, :-1]).any(0)))
         node, comp, n, chunk = (table.column(c).to_numpy()[order] for c in ("node", "component", "n", "chunk"))
         sketch = table.column("sketch").combine_chunks()
-        out_a, out_b = [], []
+        cells: set[tuple[int, int]] = set()
         for lo, hi in zip(cuts, np.append(cuts[1:], len(node))):
             rows = np.arange(lo, hi)
             left, right = rows[chunk[rows] == unit[1, lo]], rows[chunk[rows] == unit[2, lo]]
@@ -258,10 +260,10 @@ def _cells(percent: int):
                 for j in js[differ <= b.most(n[js] + n[i])]:
                     x, y = have[i - lo], have[j - lo]
                     f = min(len(x), len(y))
-                    if np.count_nonzero(fold(x, f) != fold(y, f)) <= b.most(n[j] + n[i]):
-                        out_a.append(min(node[i], node[j]))
-                        out_b.append(max(node[i], node[j]))
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+                    if f == m or np.count_nonzero(fold(x, f) != fold(y, f)) <= b.most(n[j] + n[i]):
+                        cells.add((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+        out = sorted(cells)
+        return pa.table({"a": pa.array([c[0] for c in out], pa.int64()), "b": pa.array([c[1] for c in out], pa.int64())})
     return run
 
 
@@ -346,18 +348,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     release(spark)
 
     # Members of one block in different components: compared chunk by chunk.
-    known = runs.select("block", "node", "size").join(found, "node", "left").withColumn(
+    known = runs.select("block", "node", "pivot").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = (known.join(mixed.select("block"), "block").join(members, "node")
-             .withColumn("chunks", F.ceil(F.col("size") / CHUNK))
-             .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    open_ = stored(known.join(mixed.select("block"), "block").join(members, "node"), f"{path}/open")
+    chunks = open_.select("pivot", "node").distinct().groupBy("pivot").agg(
+        F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    dealt = (open_.join(chunks, "pivot").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("block", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-                     "chunk", "node", "component", "n", "sketch"))
-    open_ = stored(open_, f"{path}/open")
+             .select("pivot", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                     "block", "chunk", "node", "component", "n", "sketch"))
     units = open_.count() // 20_000 + 16
-    cells = (open_.withColumn("unit", F.pmod(F.xxhash64("block", "low", "high"), F.lit(units)))
+    cells = (dealt.withColumn("unit", F.pmod(F.xxhash64("pivot", "low", "high"), F.lit(units)))
              .groupBy("unit").applyInArrow(_cells(percent), PAIR).distinct())
     rest = links_of(stored(cells, f"{path}/cells"), "rest")
     remove(spark, f"{path}/open")
