@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import ngram_join
+from sparkmart.llm import bpe, mixing, ngram_join, suffix_dedup, toxicity
 from sparkmart.llm._common import stored, workspace
 
 STAGES = [
-    ("near_duplicates", ngram_join.stage),
+    ("toxicity", toxicity.stage),
+    ("ngram_jaccard_join", ngram_join.stage),
+    ("suffix_array_dedup", suffix_dedup.stage),
+    ("mixing", mixing.stage),
+    ("bpe", bpe.stage),
 ]
 
 #: SQL can't express scores, components and tokens; tests/llm holds the
