@@ -2,8 +2,10 @@
 
   load    --input DIR --warehouse DIR [--calendar START END]
           read the three CSV inputs, clean, load (idempotent), keep rejects
-  report  NAME --warehouse DIR [--set key=value ...] [--sql] [--output PATH]
-          run one of the twenty reports (DataFrame or SQL form)
+  report  NAME --warehouse DIR [--set key=value ...] [--output PATH]
+          run one of the twenty reports
+  sql     STATEMENT --warehouse DIR [--output PATH]
+          run a statement over the warehouse's tables
   check   --warehouse DIR
           row counts, primary-key and foreign-key checks
   stream  --inbox DIR --warehouse DIR --checkpoint DIR [--ttl "24 hours"]
@@ -39,7 +41,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("name")
     p.add_argument("--warehouse", required=True)
     p.add_argument("--set", action="append", default=[], metavar="KEY=VALUE")
-    p.add_argument("--sql", action="store_true")
+    p.add_argument("--output")
+    p = sub.add_parser("sql")
+    p.add_argument("statement")
+    p.add_argument("--warehouse", required=True)
     p.add_argument("--output")
     p = sub.add_parser("check")
     p.add_argument("--warehouse", required=True)
@@ -65,16 +70,17 @@ def main(argv: list[str] | None = None) -> None:
         cleaned = csv_inputs(spark, args.input, calendar=tuple(args.calendar))
         added = load_warehouse(spark, cleaned.inputs, args.warehouse, quarantine=cleaned.rejects)
         print(json.dumps({"rows_added": added}))
-    elif args.cmd == "report":
+    elif args.cmd in ("report", "sql"):
         from sparkmart.plans import olap
-        from sparkmart.plans.sql_reports import run_sql_report
         from sparkmart.sources.warehouse import read_star
         star = read_star(spark, args.warehouse)
-        params = dict(kv.split("=", 1) for kv in args.set)
-        params = {k: _value(v) for k, v in params.items()}
-        name = next(n for n in olap.REPORTS if n == args.name or n.startswith(args.name + "_"))
-        df = (run_sql_report(spark, star, name, params) if args.sql
-              else olap.REPORTS[name][0](star, **params))
+        if args.cmd == "sql":
+            olap.register_views(spark, star)
+            df = spark.sql(args.statement)
+        else:
+            params = dict(kv.split("=", 1) for kv in args.set)
+            name = next(n for n in olap.REPORTS if n == args.name or n.startswith(args.name + "_"))
+            df = olap.REPORTS[name][0](star, **{k: _value(v) for k, v in params.items()})
         if args.output:
             df.write.mode("overwrite").option("header", True).csv(args.output)
         else:

@@ -1,133 +1,93 @@
 """Product affinity: the k product pairs bought together most often.
 
-Semantics (reference query): pairs of fact rows with the same customer and
-date and ``product_a < product_b``, counted per (product_a, product_b), top k
-by count.  Ties at the cut are broken by product_a, product_b ascending.
-
-Plan, exact at every step, with no basket ever paired in full when it is
-large:
-
-1. ``basket_products``: fact rows collapsed to (customer, date, product, c);
-   a pair's row count is the sum over baskets of ``c_a * c_b``.
-2. Baskets with at most ``BIG_BASKET`` distinct products are paired in full
-   (bounded work per basket).  Each such pair gets its exact total, adding
-   what larger baskets contribute; the k-th best of these totals is tau, a
-   lower bound of the answer's k-th count.
-3. In larger baskets a pair is formed only when
-   ``min(n_a * m_b, n_b * m_a) >= max(tau, 2)`` (n = rows, m = largest count
-   of the product over large baskets), which bounds its large-basket count.
-   A hot basket of products bought once each yields no pairs here.
-4. When tau is 1 the answer may need pairs counted exactly once; such a pair
-   has at most 2k - 2 smaller pairs in its basket, so each large basket
-   contributes only the pairs among its 2k smallest product ids
-   (``row_number() <= 2k``, a partial window group limit).
-5. Pairs first seen in step 3 or 4 get exact counts; the top k of all exact
-   totals is the answer.  ``tests/test_reports.py`` checks it against brute
-   force, including hot baskets and forced small ``BIG_BASKET`` values.
+Semantics: pairs of fact rows with the same customer and date and ``product_a
+< product_b``, counted per (product_a, product_b), top k by count.  Ties at
+the cut are broken by product_a, product_b ascending.
+
+One exact plan for baskets of any size, in which no basket is paired in full:
+
+1. Fact rows are collapsed to (customer, date, product, c) once and stored; a
+   pair's count is the sum over baskets of ``c_a * c_b``.
+2. The ``HEADS`` products with most rows are paired with each other.  The k-th
+   best of these exact counts, with its products, is a bound (tau, A, B):
+   a pair matters only if its count is above tau, or equals tau and the pair
+   comes before (A, B).
+3. A pair's count is at most ``min(n_a * m_b, n_b * m_a)`` (n = rows of a
+   product, m = most of it in one basket).  Products, then pairs, whose bound
+   can't matter are dropped before and inside the basket join.
+4. If fewer than k pairs with a count of two or more exist, pairs counted once
+   fill up: such a pair has at most 2k - 2 smaller pairs in its basket, so the
+   2k smallest products of every basket are enough (``row_number() <= 2k``, a
+   partial window group limit).  A pair found there that step 3 doesn't know
+   has a count of exactly one.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import checkpoint_root
+
 BASKET = ["customer_id", "date_id"]
-BIG_BASKET = 64
+#: Best-selling products that are paired in full to find the bound.
+HEADS = 50
 
 
 def basket_products(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*BASKET, "product_id").agg(F.count(F.lit(1)).alias("c"))
 
 
-def pair_counts(bp: DataFrame) -> DataFrame:
-    """Exact pair counts over all pairs inside the given baskets."""
-    a, b = _pair_rows(bp)
-    return (a.join(b, _within(a, b))
-            .groupBy("product_a", "product_b")
-            .agg(F.sum(F.col("ca") * F.col("cb")).alias("together_count")))
-
-
-def _pair_rows(bp: DataFrame, extra=()) -> tuple[DataFrame, DataFrame]:
-    a = bp.select(*BASKET, F.col("product_id").alias("product_a"), F.col("c").alias("ca"),
-                  *[F.col(x).alias(f"{x}_a") for x in extra])
-    b = bp.select(*BASKET, F.col("product_id").alias("product_b"), F.col("c").alias("cb"),
-                  *[F.col(x).alias(f"{x}_b") for x in extra])
-    return a, b
-
-
-def _within(a: DataFrame, b: DataFrame):
-    return ((a["customer_id"] == b["customer_id"]) & (a["date_id"] == b["date_id"])
-            & (F.col("product_a") < F.col("product_b")))
-
-
-def _large_counts(pairs: DataFrame, large: DataFrame) -> DataFrame:
-    """Exact large-basket counts sum(c_a * c_b) for the given (a, b) pairs."""
-    la, lb = _pair_rows(large)
-    hit = (pairs.select("product_a", "product_b").join(la, "product_a")
-           .join(lb, [*BASKET, "product_b"]))
-    return hit.groupBy("product_a", "product_b").agg(F.sum(F.col("ca") * F.col("cb")).alias("t_large"))
-
-
-def top_pairs(fact: DataFrame, k: int = 5, big: int = BIG_BASKET) -> DataFrame:
-    """Top-k pairs by (count desc, product_a, product_b), exact.
-
-    Baskets with at most ``big`` distinct products ("small") are paired in
-    full; their exact pair totals give tau, a lower bound of the k-th best
-    count.  Inside larger baskets a pair is formed only when its bound
-    ``min(n_a * m_b, n_b * m_a)`` (n, m over large baskets) reaches
-    ``max(tau, 2)``; pairs counted once in a single large basket are needed
-    only to fill ties at count 1, and those come from each large basket's
-    2k smallest product ids (a pair among the answer's count-1 pairs has at
-    most 2k - 2 smaller pairs in its basket).
-    """
-    spark = fact.sparkSession
-    bp = basket_products(fact)
-    size = bp.groupBy(*BASKET).agg(F.count(F.lit(1)).alias("s"))
-    largest = size.agg(F.max("s")).first()[0] or 0
-    if largest <= big:
-        # Every basket is small: the full pair count is bounded per basket.
-        return (pair_counts(bp).orderBy(F.desc("together_count"), "product_a", "product_b")
-                .limit(k).select("product_a", "product_b", F.col("together_count").cast("long")))
-    bp = bp.join(size, BASKET)
-    small = bp.where(F.col("s") <= big).drop("s")
-    large = bp.where(F.col("s") > big).drop("s")
-
-    # Exact totals of the pairs seen in small baskets; only their top k can
-    # matter, and those k rows (a bounded result) also fix tau.
-    sp = pair_counts(small).withColumnRenamed("together_count", "t_small")
-    known = (sp.join(_large_counts(sp, large), ["product_a", "product_b"], "left")
-             .select("product_a", "product_b",
-                     (F.col("t_small") + F.coalesce("t_large", F.lit(0))).alias("together_count")))
-    top_known = known.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k).collect()
-    tau = top_known[-1]["together_count"] if len(top_known) >= k else 1
-    theta = max(int(tau), 2)
-
-    # Large-basket pairs whose bound reaches theta (all pairs with count >= theta).
-    stats = large.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
-    max_m = stats.select(F.max("m")).scalar()
-    cand = large.join(stats.where(F.col("n") * max_m >= F.lit(theta)), "product_id")
-    a, b = _pair_rows(cand, ["n", "m"])
+def _sides(bp: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame]:
+    return tuple(bp.select(*BASKET, F.col("product_id").alias(f"product_{x}"), F.col("c").alias(f"c{x}"),
+                           *[F.col(e).alias(f"{e}_{x}") for e in extra]) for x in "ab")
+
+
+def _count(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("product_a", "product_b").agg(
+        F.sum(F.col("ca") * F.col("cb")).cast("long").alias("together_count"))
+
+
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    return (pairs.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k)
+            .select("product_a", "product_b", "together_count"))
+
+
+def top_pairs(fact: DataFrame, k: int = 5, heads: int = HEADS) -> DataFrame:
+    """Top-k pairs by (count desc, product_a, product_b), exact."""
+    checkpoint_root(fact.sparkSession)                        # names the checkpoint folder where unset
+    bp = basket_products(fact).checkpoint()
+    stats = bp.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
+    some = stats.orderBy(F.desc("n"), "product_id").limit(heads).select("product_id")
+    a, b = _sides(bp.join(F.broadcast(some), "product_id", "left_semi"))
+    known = _best(_count(a.join(b, BASKET).where("product_a < product_b")), k).collect()    # k rows
+    full = len(known) == k
+    tau, last = (known[-1].together_count, (known[-1].product_a, known[-1].product_b)) if full else (1, None)
+    least = max(tau, 2)
+
+    def matters(bound: Column, pair: Column | None = None) -> Column:
+        """Whether a pair with at most ``bound`` can be in the answer."""
+        if not full or tau < 2:
+            return bound >= least
+        return (bound > tau) | ((bound == tau) & pair)
+
+    most = stats.agg(F.max("m")).first()[0] or 0
+    rows = bp.join(stats, "product_id")
+    a, b = _sides(rows, "n", "m")
+    if full:
+        a = a.where(matters(F.col("n_a") * most, F.col("product_a") <= last[0]))
+    else:
+        a = a.where(matters(F.col("n_a") * most))
+    b = b.where(F.col("n_b") * most >= least)
     bound = F.least(F.col("n_a") * F.col("m_b"), F.col("n_b") * F.col("m_a"))
-    high = (a.join(b, _within(a, b) & (bound >= F.lit(theta)))
-            .groupBy("product_a", "product_b").agg(F.sum(F.col("ca") * F.col("cb")).alias("together_count"))
-            .where(F.col("together_count") >= F.lit(theta)))
-    parts = [spark.createDataFrame(top_known, "product_a string, product_b string, together_count long"),
-             high.select("product_a", "product_b", F.col("together_count").cast("long"))]
-    if tau <= 1:
-        # Count-1 ties: the 2k smallest products of each large basket.
-        w = Window.partitionBy(*BASKET).orderBy("product_id")
-        firsts = large.withColumn("r", F.row_number().over(w)).where(F.col("r") <= 2 * k).drop("r")
-        fa, fb = _pair_rows(firsts)
-        cand_pairs = fa.join(fb, _within(fa, fb)).select("product_a", "product_b").distinct()
-        parts.append(_large_counts(cand_pairs, large)
-                     .select("product_a", "product_b", F.col("t_large").cast("long").alias("together_count")))
-    # A pair seen in a small basket has its exact total among ``known``; the
-    # large-basket parts carry only its large-basket share, which is
-    # strictly smaller, so the maximum per pair is exact.  A pair outside the
-    # top k of ``known`` cannot enter the answer with that smaller share.
-    result = (reduce(DataFrame.unionByName, parts)
-              .groupBy("product_a", "product_b").agg(F.max("together_count").alias("together_count")))
-    return (result.orderBy(F.desc("together_count"), "product_a", "product_b").limit(k)
-            .select("product_a", "product_b", F.col("together_count").cast("long")))
+    before = F.struct("product_a", "product_b") <= F.struct(*[F.lit(x) for x in last]) if full else None
+    joined = a.join(b, BASKET).where((F.col("product_a") < F.col("product_b")) & matters(bound, before))
+    high = _count(joined).where(F.col("together_count") >= least)
+    if tau >= 2:
+        return _best(high, k)
+    smallest = Window.partitionBy(*BASKET).orderBy("product_id")
+    firsts = bp.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= 2 * k)
+    a, b = _sides(firsts)
+    once = (a.join(b, BASKET).where("product_a < product_b").select("product_a", "product_b").distinct()
+            .join(high, ["product_a", "product_b"], "left_anti").withColumn("together_count", F.lit(1).cast("long")))
+    return _best(high.unionByName(once), k)

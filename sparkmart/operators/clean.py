@@ -35,7 +35,9 @@ def _split(raw: DataFrame, typed: dict[str, F.Column], checks, keep=()) -> tuple
         *[F.col(c) for c in keep], *[expr.alias(name) for name, expr in typed.items()],
         F.col(POS),
     )
-    tagged = tagged.withColumn(REASON, _first_reason([(F.col(c).isNull(), r) for c, r in checks]))
+    tagged = tagged.withColumn(REASON, _first_reason([
+        (F.col(c[0]).isNull() & (F.trim(F.col(f"__raw.`{c[2]}`")) != "") if len(c) > 2 else F.col(c[0]).isNull(), c[1])
+        for c in checks]))
     good = tagged.where(F.col(REASON).isNull()).select(*typed, *keep, POS)
     bad = tagged.where(F.col(REASON).isNotNull()).select("__raw.*", POS, REASON)
     return good, bad
@@ -60,7 +62,8 @@ def clean_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def clean_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Customer_ID -> integer key (row rejected if unreadable); the text
-    attributes are trimmed (missing -> NULL); Marital_Status -> boolean."""
+    attributes are trimmed (missing -> NULL); Marital_Status -> boolean
+    (missing -> NULL, unreadable -> rejected)."""
     keep = [c for c in ("arrival_ts",) if c in raw.columns]
     typed = {
         "customer_id": to_long_key("Customer_ID"),
@@ -71,7 +74,7 @@ def clean_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "stay_in_current_city_years": text_or_null("Stay_In_Current_City_Years"),
         "marital_status": parse_flag("Marital_Status"),
     }
-    checks = [("customer_id", "bad_customer_id")]
+    checks = [("customer_id", "bad_customer_id"), ("marital_status", "bad_marital_status", "Marital_Status")]
     return _split(raw, typed, checks, keep)
 
 

@@ -60,36 +60,19 @@ def insert_ignore(incoming: DataFrame, existing: DataFrame | None,
     return fresh.join(existing.select(*keys), list(keys), "left_anti")
 
 
-# Largest batch whose keys are broadcast against a stored table.
-BROADCAST_KEYS_MAX = 2_000_000
-
-
-def insert_ignore_batch(incoming: DataFrame, incoming_rows: int, existing: DataFrame | None,
-                        keys: Sequence[str], order: str | None,
-                        cols: Sequence[str] | None = None,
-                        first_key_range: tuple | None = None) -> DataFrame:
-    """``insert_ignore`` for a small batch against a large stored table.
-
-    When the batch has at most ``BROADCAST_KEYS_MAX`` rows (its count is
-    checked, not assumed), its keys are broadcast and the stored keys are
-    semi-joined to them: the stored side is scanned but never shuffled, and
-    a range filter on the first key (the batch's min..max, two numbers, or
-    ``first_key_range`` when the caller already has a covering range) lets
-    Parquet statistics skip row groups.  Larger batches take the shuffle
-    anti join.
+def insert_ignore_batch(incoming: DataFrame, existing: DataFrame, keys: Sequence[str],
+                        first_key_range: tuple) -> DataFrame:
+    """``insert_ignore`` for a batch, one row per key, against a large stored
+    table.
+
+    The stored keys are semi-joined to the batch's: a range filter on the
+    first key (the batch's min..max) lets Parquet statistics skip row groups,
+    and the batch is the small side, which Spark broadcasts while it is under
+    the session's threshold, so the stored side isn't shuffled then.
     """
-    if order is None:
-        fresh = incoming.select(*(cols or incoming.columns))
-    else:
-        fresh = first_by(incoming, keys, order, cols)
-    if existing is None:
-        return fresh
-    if incoming_rows > BROADCAST_KEYS_MAX:
-        return fresh.join(existing.select(*keys), list(keys), "left_anti")
-    first = keys[0]
-    lo, hi = first_key_range or fresh.agg(F.min(first), F.max(first)).first()
+    lo, hi = first_key_range
     if lo is None:
-        return fresh
-    stored = (existing.where(F.col(first).between(lo, hi)).select(*keys)
-              .join(F.broadcast(fresh.select(*keys)), list(keys), "left_semi"))
-    return fresh.join(stored, list(keys), "left_anti")
+        return incoming
+    stored = (existing.where(F.col(keys[0]).between(lo, hi)).select(*keys)
+              .join(incoming.select(*keys), list(keys), "left_semi"))
+    return incoming.join(stored, list(keys), "left_anti")

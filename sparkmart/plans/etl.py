@@ -25,7 +25,7 @@ from sparkmart import schema
 from sparkmart.functions.calendar import year_of_date_id
 from sparkmart.operators import dims
 from sparkmart.operators.dedupe import insert_ignore
-from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
+from sparkmart.operators.joins import with_revenue
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.sources.csv import POS
 
@@ -93,29 +93,16 @@ def build_facts(inputs: Inputs, dim_date: DataFrame) -> tuple[DataFrame, DataFra
     return good, rejects
 
 
-def build_facts_inner(inputs: Inputs, dim_date: DataFrame) -> DataFrame:
-    """Candidate fact rows with inner/semi joins only (no reject tagging):
-    the plan used when rejects are not requested."""
-    lookup = dims.product_lookup(inputs.products)
-    tx = inputs.transactions.join(inputs.customers.select("customer_id"), "customer_id", "left_semi")
-    tx = enrich_date(enrich_product(tx, lookup), dim_date)
-    tx = with_revenue(tx).where(F.col("revenue").isNotNull())
-    return tx.select(*FACT_COLS, POS)
-
-
-def new_rows(spark: SparkSession, inputs: Inputs, existing: Star | None = None,
-             with_rejects: bool = False) -> tuple[Star, DataFrame | None]:
-    """Rows each table gains from ``inputs`` (insert-if-absent on every key).
+def new_rows(spark: SparkSession, inputs: Inputs, existing: Star | None = None) -> tuple[Star, DataFrame]:
+    """Rows each table gains from ``inputs`` (insert-if-absent on every key),
+    and the rejected transactions.
 
     With ``existing`` = None this is a first load.  ``dim_date`` is generated
     for ``inputs.calendar`` and only gains days not yet stored.
     """
     ex = existing
     cal = make_calendar(spark, *inputs.calendar)
-    if with_rejects:
-        facts, rejects = build_facts(inputs, cal)
-    else:
-        facts, rejects = build_facts_inner(inputs, cal), None
+    facts, rejects = build_facts(inputs, cal)
 
     def ignore(df, name, order=POS):
         keys = schema.PRIMARY_KEYS[name]
@@ -153,14 +140,16 @@ def load_warehouse(spark: SparkSession, inputs: Inputs, root: str,
     incremental), with insert-if-absent on every key.
 
     Rejected transactions (reason per row) and any cleaning rejects passed in
-    ``quarantine`` are appended under ``root/rejects/<source>``.  Returns the
-    rows added per table.
+    ``quarantine`` are added to ``root/rejects/<source>`` unless they are
+    there.  Returns the rows added per table.
     """
     from sparkmart.sources import warehouse as wh  # storage helpers
 
-    existing = wh.read_star(spark, root) if wh.exists(spark, root) else None
-    fresh, rejects = new_rows(spark, inputs, existing=existing, with_rejects=True)
-    added = wh.append_star(fresh, root) if existing is not None else wh.write_star(fresh, root)
+    fresh, rejects = new_rows(spark, inputs, existing=wh.read_star(spark, root))
+    added = wh.write_star(fresh, root, mode="append")
     for source, df in {"transactions_load": rejects, **(quarantine or {})}.items():
-        df.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/{source}")
+        path = f"{root.rstrip('/')}/rejects/{source}/epoch=-1"     # streams write other epochs beside it
+        if wh.path_exists(spark, path):               # a reject that is there stays one row
+            df = df.subtract(spark.read.schema(df.schema).parquet(path))
+        df.write.mode("append").parquet(path)
     return added

@@ -20,6 +20,7 @@ from sparkmart.sources import csv as csv_src
 from sparkmart.sources import testdata
 from sparkmart.sources.calendar import DEFAULT_END, DEFAULT_START
 
+#: Input names; each is a file ``<name>.csv`` or a folder of this name.
 CSV_FILES = {
     "customers": "customer_master_data",
     "products": "product_master_data",
@@ -32,7 +33,7 @@ def testdata_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         customers=testdata.customers(spark, sf_dir),
         products=testdata.products(spark, sf_dir),
         transactions=testdata.transactions(spark, sf_dir),
-        calendar=testdata.TESTDATA_CALENDAR,
+        calendar=testdata.calendar_range(spark, sf_dir),
     )
 
 
@@ -45,14 +46,20 @@ class CleanedCsv:
 def csv_inputs(spark: SparkSession, folder: str,
                calendar: tuple[str, str] = (DEFAULT_START, DEFAULT_END)) -> CleanedCsv:
     """Read and clean the three CSV inputs found under ``folder``."""
-    base = folder.rstrip("/")
-    cust, cust_bad = clean_customers(csv_src.read_customer_master(spark, f"{base}/{CSV_FILES['customers']}"))
-    prod, prod_bad = clean_products(csv_src.read_product_master(spark, f"{base}/{CSV_FILES['products']}"))
-    tx, tx_bad = clean_transactions(csv_src.read_transactions_batch(spark, f"{base}/{CSV_FILES['transactions']}"))
+    cust, cust_bad = clean_customers(csv_src.read_customer_master(spark, csv_path(spark, folder, "customers")))
+    prod, prod_bad = clean_products(csv_src.read_product_master(spark, csv_path(spark, folder, "products")))
+    tx, tx_bad = clean_transactions(csv_src.read_transactions_batch(spark, csv_path(spark, folder, "transactions")))
     return CleanedCsv(Inputs(cust, prod, tx, calendar),
                       {"customers": cust_bad, "products": prod_bad, "transactions": tx_bad})
 
 
+def csv_path(spark: SparkSession, folder: str, which: str) -> str:
+    """Path of an input: ``<name>.csv`` if it is there, else the folder ``<name>``."""
+    from sparkmart.sources.warehouse import path_exists
+    base = f"{folder.rstrip('/')}/{CSV_FILES[which]}"
+    return f"{base}.csv" if path_exists(spark, f"{base}.csv") else base
+
+
 def export_testdata_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Write the test-table inputs as the reference's three CSV files.
 

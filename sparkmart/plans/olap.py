@@ -128,11 +128,13 @@ def q03_category_by_occupation(star: Star) -> DataFrame:
 
 
 def _category_occupation(star: Star, attr: str, alias: str) -> DataFrame:
-    # product first (category), collapse to (customer, category), then customer.
-    by_cat = _by_product(star.facts(), star, ["customer_id"], ["product_category"],
-                         {"rev": F.sum("revenue")})
-    j = _by_customer(by_cat, star, ["product_category"], [attr], {"rev2": F.sum("rev")})
-    return j.groupBy("product_category", attr).agg(_money_sum("rev2", alias))
+    # Category first (few sales share product and customer, so a pre-aggregate
+    # on both removes nothing); then one partial aggregate on (customer,
+    # category), and the customer join sees a row for each of those.
+    f = star.facts().select("product_id", "customer_id", "revenue").join(
+        star.dim_product.select("product_id", "product_category"), "product_id")
+    j = _by_customer(f, star, ["product_category"], [attr], {"rev": F.sum("revenue")})
+    return j.groupBy("product_category", attr).agg(_money_sum("rev", alias))
 
 
 def q04_gender_age_quarterly(star: Star, year: int = 2015) -> DataFrame:
@@ -315,7 +317,8 @@ def q19_revenue_spikes(star: Star, sigmas: int = 1, factor: float = 1.5) -> Data
     dev = (n * x - s_).cast(EXACT)
     var = (n * q - s_ * s_).cast(EXACT)
     num, den = exact_ratio(factor)
-    over_sigma = (dev > 0) & ((dev * dev).cast(EXACT) > (var * (sigmas * sigmas)).cast(EXACT))
+    s_num, s_den = exact_ratio(sigmas)
+    over_sigma = (dev > 0) & ((dev * dev * s_den ** 2).cast(EXACT) > (var * s_num ** 2).cast(EXACT))
     over_factor = (n * x * den).cast(EXACT) > (s_ * num).cast(EXACT)
     avg = (F.col("total").cast("double") / n.cast("double")).alias("avg_daily_sales")
     out = st.where(over_sigma | over_factor).select("full_date", "product_id", "daily_sales", avg)
@@ -343,7 +346,8 @@ def store_quarterly_sales(star: Star) -> DataFrame:
 
 
 def register_views(spark: SparkSession, star: Star) -> None:
-    """Temp views for SQL users: the six tables and STORE_QUARTERLY_SALES."""
+    """Temp views for SQL users: the six tables and STORE_QUARTERLY_SALES
+    (views of these names that the caller has are replaced)."""
     for name, df in star.tables().items():
         df.createOrReplaceTempView(name)
     store_quarterly_sales(star).createOrReplaceTempView("STORE_QUARTERLY_SALES")
@@ -351,7 +355,7 @@ def register_views(spark: SparkSession, star: Star) -> None:
 
 def q20_store_quarterly_view(star: Star, store_name: str = "Game Zone") -> DataFrame:
     spark = star.fact_sales.sparkSession
-    register_views(spark, star)
+    store_quarterly_sales(star).createOrReplaceTempView("STORE_QUARTERLY_SALES")
     return (spark.table("STORE_QUARTERLY_SALES").where(F.col("store_name") == store_name)
             .orderBy("store_name", "year", "quarter"))
 

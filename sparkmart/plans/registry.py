@@ -82,9 +82,8 @@ def fact_sales_from_csv(spark: SparkSession, sf: str) -> DataFrame:
     folder = warehouse.warehouse_root(spark, sf, tag="csv")
     if not warehouse.exists(spark, folder):
         export_testdata_csv(spark, sf, folder)
-        spark.createDataFrame([("csv", 1)], "table_name string, no_rows long") \
-            .write.mode("overwrite").parquet(warehouse.table_path(folder, "_manifest"))
-    cleaned = csv_inputs(spark, folder, calendar=testdata.TESTDATA_CALENDAR)
+        warehouse.complete(spark, folder)
+    cleaned = csv_inputs(spark, folder, calendar=testdata.calendar_range(spark, sf))
     return star_rows(spark, cleaned.inputs).fact_sales.select(*FACT_COLS)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings a local run needs; cluster sessions already carry their own values.
@@ -36,11 +37,24 @@ LOCAL_DEFAULTS = {
 
 def build_session(master: str | None = None, app: str = "sparkmart",
                   conf: dict[str, str] | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
-    for k, v in {**LOCAL_DEFAULTS, **(conf or {})}.items():
+    """The caller's session as it is, if there is one.  Otherwise a new one:
+    ``master`` and ``conf`` hold, what spark-submit or the defaults file has
+    set stays, and the local defaults fill the rest of a run without a
+    cluster."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    given = SparkConf()
+    local = (master or given.get("spark.master", "local")).startswith("local")
+    settings = dict(conf or {})
+    if local:
+        settings = {**{k: v for k, v in LOCAL_DEFAULTS.items() if not given.contains(k)}, **settings}
+        settings.setdefault("spark.driver.memory", given.get("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g")))
+    builder = SparkSession.builder.appName(app)
+    if master or not given.contains("spark.master"):
+        builder = builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+    for k, v in settings.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -50,13 +64,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and materialised tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one.  When it is unset
-    (local runs) the folder is placed under the session's SQL warehouse
+    (local runs; elsewhere that is an error) the folder is placed under the session's SQL warehouse
     directory and registered as the checkpoint dir, so ``DataFrame.checkpoint``
     works as well.
     """
     # The configured name is stable across sessions; SparkContext appends a
     # per-application sub-folder for RDD checkpoints, which we do not reuse.
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_sparkmart"
     if not spark.sparkContext.getCheckpointDir():

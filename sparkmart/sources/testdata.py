@@ -20,14 +20,18 @@ AGE_BANDS = ["0-17", "18-25", "26-35", "36-45", "46-50", "51-55", "55+"]
 # City category letter by region key; product key layout.
 CITY_LETTERS = "ABCDE"
 PRODUCT_KEY_FORMAT = "P%08d"
-# Calendar covering the test data's order dates.
-TESTDATA_CALENDAR = ("1995-01-01", "2001-12-31")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def calendar_range(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day of the years that the orders span."""
+    years = table(spark, sf_dir, "orders").select(F.year(F.to_date("o_orderdate")).alias("y"))
+    lo, hi = years.agg(F.min("y"), F.max("y")).first()
+    return f"{lo or 2000}-01-01", f"{hi or 2000}-12-31"
+
+
 def product_key(col) -> F.Column:
     return F.format_string(PRODUCT_KEY_FORMAT, col)
 

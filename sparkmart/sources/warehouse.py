@@ -1,10 +1,11 @@
 """Star-schema storage: Parquet tables under one warehouse folder.
 
-``fact_sales`` is stored partitioned by ``sale_year`` (from the ``yyyymmdd``
-date key) and sorted by ``date_id`` inside each file, so year filters prune
-whole partitions and date ranges skip row groups by min/max statistics.
-Dimensions are plain Parquet tables.  A ``_manifest`` table, written last,
-marks a complete load.
+Both loaders share the layout.  ``fact_sales`` is partitioned by ``sale_year``
+and written in ranges of ``date_id``, so year filters prune partitions and
+date ranges skip files and row groups.  Dimensions are plain Parquet tables.
+A table that isn't there yet reads as empty, and loads append: nothing
+decides by a separate marker whether stored rows count, and nothing is
+overwritten unless the caller says so.
 """
 
 from __future__ import annotations
@@ -12,9 +13,8 @@ from __future__ import annotations
 import hashlib
 import pathlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart import schema
 from sparkmart.plans.etl import Star, with_partition_column
@@ -27,50 +27,55 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def write_star(star: Star, root: str, mode: str = "overwrite") -> dict[str, int]:
-    """Write (or append) the six tables and the manifest; returns the stored
-    row count per table."""
-    counts: dict[str, int] = {}
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; storage errors are raised."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A star table as stored; empty while nothing was written."""
+    fields = list(schema.STAR_TABLES[name].fields)
+    if name == "fact_sales":
+        fields.append(T.StructField(schema.FACT_PARTITION, T.IntegerType()))
+    sch = T.StructType(fields)
+    if not path_exists(spark, table_path(root, name)):
+        return spark.createDataFrame([], sch)
+    return spark.read.schema(sch).parquet(table_path(root, name))
+
+
+def write_star(star: Star, root: str, mode: str = "append") -> dict[str, int]:
+    """Write the six tables (``append`` or, if asked for, ``overwrite``);
+    returns the rows each table has gained or, overwritten, has."""
     spark = star.fact_sales.sparkSession
+    before = {n: 0 if mode == "overwrite" else df.count() for n, df in read_star(spark, root).tables().items()}
     for name in DIMENSIONS:
-        df = getattr(star, name)
-        df.write.mode(mode).parquet(table_path(root, name))
+        getattr(star, name).write.mode(mode).parquet(table_path(root, name))
     fact = with_partition_column(star.fact_sales.select(*[f.name for f in schema.FACT_SALES.fields]))
-    (fact.sortWithinPartitions(schema.FACT_PARTITION, "date_id")
-         .write.mode(mode).partitionBy(schema.FACT_PARTITION)
-         .parquet(table_path(root, "fact_sales")))
-    stored = read_star(spark, root, require_manifest=False)
-    for name, df in stored.tables().items():
-        counts[name] = df.count()
-    manifest = spark.createDataFrame(sorted(counts.items()), "table_name string, no_rows long")
-    manifest.coalesce(1).write.mode("overwrite").parquet(table_path(root, "_manifest"))
-    return counts
-
-
-def append_star(star: Star, root: str) -> dict[str, int]:
-    """Append new rows (already free of stored keys) and refresh the manifest."""
-    spark = star.fact_sales.sparkSession
-    before = {r.table_name: r.no_rows for r in manifest(spark, root).collect()}
-    write_star(star, root, mode="append")
-    after = {r.table_name: r.no_rows for r in manifest(spark, root).collect()}
-    return {name: after[name] - before.get(name, 0) for name in after}
+    # Ranges of date inside a year: a file holds few days, whatever their number.
+    (fact.repartitionByRange(schema.FACT_PARTITION, "date_id").sortWithinPartitions(schema.FACT_PARTITION, "date_id")
+         .write.mode(mode).partitionBy(schema.FACT_PARTITION).parquet(table_path(root, "fact_sales")))
+    return {n: df.count() - before[n] for n, df in read_star(spark, root).tables().items()}
 
 
-def read_star(spark: SparkSession, root: str, require_manifest: bool = True) -> Star:
-    if require_manifest:
-        spark.read.parquet(table_path(root, "_manifest"))
-    t = {name: spark.read.schema(schema.STAR_TABLES[name]).parquet(table_path(root, name))
-         for name in DIMENSIONS}
-    fact = spark.read.parquet(table_path(root, "fact_sales"))
-    return Star(fact_sales=fact, **t)
+def read_star(spark: SparkSession, root: str) -> Star:
+    return Star(**{name: read_table(spark, root, name) for name in schema.STAR_TABLES})
 
 
 def exists(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.parquet(table_path(root, "_manifest")).schema
-        return True
-    except AnalysisException:
-        return False
+    """Whether a derived copy under ``root`` was completed."""
+    return path_exists(spark, f"{root.rstrip('/')}/_COMPLETE")
+
+
+def complete(spark: SparkSession, root: str) -> None:
+    """Mark a derived copy as completed."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/_COMPLETE")
+    fs.create(p, True).close()
 
 
 def _code_fingerprint() -> str:
@@ -83,23 +88,31 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files: changed inputs give a new copy."""
+    fs, p = _fs(spark, sf_dir)
+    found = []
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def warehouse_root(spark: SparkSession, sf_dir: str, tag: str = "star") -> str:
-    key = hashlib.sha1(f"{sf_dir.rstrip('/')}|{_code_fingerprint()}".encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"{sf_dir.rstrip('/')}|{_code_fingerprint()}|{_state(spark, sf_dir)}".encode()).hexdigest()[:16]
     return f"{checkpoint_root(spark)}/{tag}_{key}"
 
 
 def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
-    """The star built from the test tables in ``sf_dir``: loaded once into the
-    shared folder, then read by every report (``rebuild`` forces a new load)."""
+    """The star loaded from the test tables in ``sf_dir``: once into the shared
+    folder, then read by every report.  A copy that isn't complete, left by a
+    run that failed, is written anew."""
     from sparkmart.plans.inputs import testdata_inputs  # local: avoids a cycle
     from sparkmart.plans.etl import star_rows
 
     root = warehouse_root(spark, sf_dir)
     if rebuild or not exists(spark, root):
-        write_star(star_rows(spark, testdata_inputs(spark, sf_dir)), root)
+        write_star(star_rows(spark, testdata_inputs(spark, sf_dir)), root, mode="overwrite")
+        complete(spark, root)
     return read_star(spark, root)
-
-
-def manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, "_manifest")).select(
-        "table_name", F.col("no_rows").cast("long"))

@@ -14,12 +14,11 @@ transaction, so the customer side is never evicted: it plays the part of
 the re-scanned master file.  ``spark.sql.streaming.multipleWatermarkPolicy``
 must be ``max`` so that an idle customer stream does not stop expiry.
 
-The loader (``foreachBatch``) enriches matched rows with the product lookup
-(loaded once at start, like the product dimensions) and the calendar key, and
-appends to the warehouse with insert-if-absent on every table, so replaying a
-micro-batch after a failure adds nothing.  A micro-batch of checked size is
-broadcast against the stored keys, so the stored tables are scanned (key
-columns only, row groups pruned by the batch's key range) but not shuffled.
+The loader (``foreachBatch``) tags every row with the product lookup (loaded
+once at start, like the product dimensions) and the calendar key: facts go to
+the warehouse with insert-if-absent on every table, all other rows to rejects
+or dead letters by epoch, so replaying a micro-batch after a failure adds
+nothing and no row gets lost.
 """
 
 from __future__ import annotations
@@ -30,10 +29,10 @@ from pyspark.sql import functions as F
 from sparkmart import schema
 from sparkmart.operators import dims
 from sparkmart.operators.dedupe import first_by, insert_ignore, insert_ignore_batch
-from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
+from sparkmart.operators.joins import with_revenue
 from sparkmart.plans.etl import FACT_COLS, with_partition_column
 from sparkmart.sources.csv import POS
-from sparkmart.sources.warehouse import table_path
+from sparkmart.sources.warehouse import read_table, table_path
 
 DEFAULT_TTL = "24 hours"
 C_ARRIVAL = "c_arrival_ts"
@@ -59,16 +58,6 @@ def hybrid_join_stream(transactions: DataFrame, customers: DataFrame,
             .withColumn("matched", F.col("c_customer_id").isNotNull()))
 
 
-def _read_or_none(spark: SparkSession, path: str, sch=None) -> DataFrame | None:
-    try:
-        reader = spark.read.schema(sch) if sch is not None else spark.read
-        df = reader.parquet(path)
-        df.schema  # noqa: B018 - resolve the path now
-        return df
-    except Exception:  # noqa: BLE001 - a missing table means "empty"
-        return None
-
-
 def preload_products(spark: SparkSession, root: str, products: DataFrame) -> None:
     """Load the product-side dimensions and the product lookup once, before
     the stream starts (the reference loads its product master at start-up).
@@ -83,25 +72,38 @@ def preload_products(spark: SparkSession, root: str, products: DataFrame) -> Non
         ("dim_product", products.withColumn("price", F.col("price").try_cast("decimal(10,2)")),
          ["product_id"], POS),
     ]:
-        existing = _read_or_none(spark, table_path(root, name), schema.STAR_TABLES[name])
         cols = [f.name for f in schema.STAR_TABLES[name].fields]
-        insert_ignore(rows, existing, keys, order, cols).write.mode("append").parquet(table_path(root, name))
+        insert_ignore(rows, read_table(spark, root, name), keys, order, cols).write.mode("append").parquet(table_path(root, name))
     dims.product_lookup(products).write.mode("overwrite").parquet(table_path(root, LOOKUP))
 
 
 LOOKUP = "_product_lookup"
 
 
+DROPPED = ["order_id", "customer_id", "product_id", "quantity", "sale_date", POS, "reason"]
+
+
+class EpochWriter:
+    """``foreachBatch`` sink: each micro-batch overwrites its own folder, so a
+    replay adds nothing."""
+
+    def __init__(self, root: str, name: str):
+        self.path = f"{table_path(root, name)}"
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch_id}")
+
+
 class WarehouseLoader:
-    """``foreachBatch`` sink: joined micro-batch -> dead letters, late
-    customers and facts.
+    """``foreachBatch`` sink: joined micro-batch -> facts, the customers they
+    matched, and every other row with the reason why it isn't a fact.
 
     Product-side dimensions and the lookup are loaded by ``preload_products``
-    before the stream starts.  Per micro-batch: expired rows go to
-    ``dead_letters``; matched rows get price, store and supplier from the
-    lookup and the calendar key; the customers they matched are inserted into
-    ``dim_customer`` if absent (dimension before fact); facts are appended
-    with insert-if-absent on (order_id, product_id).
+    before the stream starts.  Expired rows go to ``dead_letters``, rows with an
+    unknown product, a date outside the calendar or too large a revenue to
+    ``rejects/transactions_load``; both per epoch.  Matched rows insert their
+    customer if absent (dimension before fact), then themselves, with
+    insert-if-absent on (order_id, product_id).
     """
 
     def __init__(self, root: str):
@@ -109,79 +111,53 @@ class WarehouseLoader:
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        lookup = spark.read.parquet(table_path(self.root, LOOKUP)).withColumn("__product", F.lit(True))
+        cal = F.broadcast(read_table(spark, self.root, "dim_date").select(F.col("full_date").alias("sale_date"), "date_id"))
+        tagged = with_revenue(batch.join(lookup, "product_id", "left").join(cal, "sale_date", "left"))
+        reason = (F.when(~F.col("matched"), F.lit("customer_not_seen_within_ttl"))
+                  .when(F.col("__product").isNull(), F.lit("unknown_product"))
+                  .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))
+                  .when(F.col("revenue").isNull(), F.lit("revenue_overflow")))
+        tagged = tagged.withColumn("reason", reason).persist()
         try:
-            self._load(spark, batch)
+            self._load(spark, tagged, epoch_id)
         finally:
-            batch.unpersist()
-
-    def _existing(self, spark, name):
-        sch = schema.STAR_TABLES.get(name)
-        return _read_or_none(spark, table_path(self.root, name), None if name == "fact_sales" else sch)
-
-    def _append(self, df: DataFrame, name: str, partition: str | None = None) -> None:
-        w = df.write.mode("append")
-        if partition:
-            w = w.partitionBy(partition)
-        w.parquet(table_path(self.root, name))
-
-    def _insert(self, spark, rows: DataFrame, n: int, name: str, keys, cols,
-                partition: str | None = None, transform=None, key_range=None) -> None:
-        """First row per key (persisted once), then insert-if-absent against
-        the stored table and append."""
+            tagged.unpersist()
+
+    def _insert(self, spark, rows: DataFrame, name: str, key_range, partition: str | None = None, transform=None) -> None:
+        """First row per key, then insert-if-absent against the stored table."""
+        keys, cols = schema.PRIMARY_KEYS[name], [f.name for f in schema.STAR_TABLES[name].fields]
         first = first_by(rows, keys, POS, cols).persist()
         try:
-            new = insert_ignore_batch(first, n, self._existing(spark, name), keys, None, cols,
-                                      key_range)
-            self._append(transform(new) if transform else new, name, partition)
+            new = insert_ignore_batch(first, read_table(spark, self.root, name), keys, key_range)
+            out = (transform(new) if transform else new).write.mode("append")
+            (out.partitionBy(partition) if partition else out).parquet(table_path(self.root, name))
         finally:
             first.unpersist()
 
-    def _load(self, spark: SparkSession, batch: DataFrame) -> None:
+    def _load(self, spark: SparkSession, tagged: DataFrame, epoch_id: int) -> None:
         # One small aggregate tells which outputs this batch has (watermark-
-        # only batches often carry nothing but still run).
-        # It also yields key ranges that cover every row inserted below.
-        stats = {r["matched"]: r for r in batch.groupBy("matched").agg(
-            F.count(F.lit(1)).alias("n"),
+        # only batches often carry nothing but still run) and the key ranges.
+        stats = {r["kind"]: r for r in tagged.groupBy(
+            F.when(F.col("reason").isNull(), "fact").when(F.col("matched"), "reject").otherwise("dead").alias("kind")).agg(
             F.min("order_id").alias("o_lo"), F.max("order_id").alias("o_hi"),
             F.min("c_customer_id").alias("c_lo"), F.max("c_customer_id").alias("c_hi")).collect()}
-        sizes = {m: r["n"] for m, r in stats.items()}
-        if sizes.get(False):
-            expired = batch.where(~F.col("matched")).select(
-                "order_id", "customer_id", "product_id", "quantity", "sale_date", POS,
-                F.lit("customer_not_seen_within_ttl").alias("reason"))
-            self._insert(spark, expired, sizes[False], "dead_letters",
-                         ["order_id", "product_id", POS],
-                         ["order_id", "customer_id", "product_id", "quantity", "sale_date", POS,
-                          "reason"], key_range=(stats[False]["o_lo"], stats[False]["o_hi"]))
-        if not sizes.get(True):
+        if "dead" in stats:
+            EpochWriter(self.root, "dead_letters")(tagged.where(~F.col("matched")).select(*DROPPED), epoch_id)
+        if "reject" in stats:
+            EpochWriter(self.root, "rejects/transactions_load")(
+                tagged.where(F.col("matched") & F.col("reason").isNotNull()).select(*DROPPED), epoch_id)
+        if "fact" not in stats:
             return
-
-        lookup = spark.read.parquet(table_path(self.root, LOOKUP))
-        dim_date = spark.read.schema(schema.DIM_DATE).parquet(table_path(self.root, "dim_date"))
-        # Only rows that survive the product and calendar lookups insert
-        # their customer (the reference skips the row before its inserts).
-        enriched = with_revenue(enrich_date(enrich_product(batch.where(F.col("matched")), lookup),
-                                            dim_date)).where(F.col("revenue").isNotNull())
-        enriched = enriched.persist()
-        try:
-            rows = sizes[True]
-            cust = enriched.select(F.col("c_customer_id").alias("customer_id"),
-                                   *dims.CUSTOMER_ATTRS, F.col("c_pos").alias(POS))
-            hit = stats[True]
-            self._insert(spark, cust, rows, "dim_customer", ["customer_id"],
-                         [f.name for f in schema.DIM_CUSTOMER.fields],
-                         key_range=(hit["c_lo"], hit["c_hi"]))
-            self._insert(spark, enriched.select(*FACT_COLS, POS), rows, "fact_sales",
-                         ["order_id", "product_id"], FACT_COLS, schema.FACT_PARTITION,
-                         with_partition_column, key_range=(hit["o_lo"], hit["o_hi"]))
-        finally:
-            enriched.unpersist()
+        # Only rows that become facts insert their customer.
+        good, hit = tagged.where(F.col("reason").isNull()), stats["fact"]
+        cust = good.select(F.col("c_customer_id").alias("customer_id"), *dims.CUSTOMER_ATTRS, F.col("c_pos").alias(POS))
+        self._insert(spark, cust, "dim_customer", (hit["c_lo"], hit["c_hi"]))
+        self._insert(spark, good.select(*FACT_COLS, POS), "fact_sales", (hit["o_lo"], hit["o_hi"]),
+                     schema.FACT_PARTITION, with_partition_column)
 
 
 def ensure_dim_date(spark: SparkSession, root: str, calendar: DataFrame) -> None:
     """Populate the calendar only when the stored table is empty or absent."""
-    path = table_path(root, "dim_date")
-    existing = _read_or_none(spark, path, schema.DIM_DATE)
-    if existing is None or existing.isEmpty():
-        calendar.write.mode("overwrite").parquet(path)
+    if read_table(spark, root, "dim_date").isEmpty():
+        calendar.write.mode("append").parquet(table_path(root, "dim_date"))

@@ -15,30 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart import schema
-from sparkmart.operators.clean import clean_customers, clean_transactions
+from sparkmart.operators.clean import clean_customers, clean_products, clean_transactions
 from sparkmart.plans.etl import FACT_COLS
+from sparkmart.plans.inputs import csv_path
 from sparkmart.sources import csv as csv_src
 from sparkmart.sources import testdata, warehouse
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.streaming.hybrid_join import (
-    DEFAULT_TTL, WarehouseLoader, ensure_dim_date, hybrid_join_stream, preload_products,
+    DEFAULT_TTL, EpochWriter, WarehouseLoader, ensure_dim_date, hybrid_join_stream, preload_products,
 )
 
 FILES_PER_TRIGGER = 8
-FEED_FILES = 28
+#: Rows of one file of the replayed feed.
+FEED_ROWS = 20_000
 
 
 def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     """Customer master, product master and the transaction feed (text
     columns in Parquet files).  The feed is range-partitioned by date into
-    ``FEED_FILES`` files, so files arrive roughly in date order; all rows of
+    files of about ``FEED_ROWS`` rows, so files arrive roughly in date order; all rows of
     one (order, product) share a date and land in one file, in
     source-position order."""
     cust = testdata.customers(spark, sf_dir)
     csv_src.write_text_parquet(testdata.customers_as_csv(cust), f"{inbox}/customers")
     testdata.products(spark, sf_dir).write.mode("overwrite").parquet(f"{inbox}/products")
-    feed = (testdata.transactions(spark, sf_dir)
-            .repartitionByRange(FEED_FILES, "sale_date", "order_id", "product_id")
+    transactions = testdata.transactions(spark, sf_dir)
+    files = transactions.count() // FEED_ROWS + 1
+    feed = (transactions
+            .repartitionByRange(files, "sale_date", "order_id", "product_id")
             .sortWithinPartitions("sale_date", "order_id", "product_id", "src_pos"))
     csv_src.write_text_parquet(testdata.transactions_as_csv(feed), f"{inbox}/transactions")
 
@@ -47,24 +51,60 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
                       ttl: str = DEFAULT_TTL, files_per_trigger: int = FILES_PER_TRIGGER,
                       available_now: bool = True, processing_time: str | None = None,
                       fmt: str = "parquet"):
-    """Start the streaming load; returns the ``StreamingQuery``.
-
-    ``inbox`` holds ``transactions/`` and ``customers/`` (arriving files in
-    the reference's text layout, ``fmt`` = parquet or csv) and
-    ``products/`` (typed product master, loaded once before the stream)."""
-    preload_products(spark, root, spark.read.parquet(f"{inbox}/products"))
-    tx_raw = csv_src.read_transactions_stream(spark, f"{inbox}/transactions", files_per_trigger, fmt)
-    cu_raw = csv_src.read_customer_stream(spark, f"{inbox}/customers", files_per_trigger, fmt)
-    tx, _ = clean_transactions(tx_raw)
-    cu, _ = clean_customers(cu_raw)
-    joined = hybrid_join_stream(tx, cu, ttl)
-    writer = (joined.writeStream.foreachBatch(WarehouseLoader(root))
-              .option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    """Start the streaming load; returns a ``HybridLoad``.
+
+    ``inbox`` holds arriving files in the raw text layout (``fmt`` = parquet or
+    csv) in ``transactions/`` and ``customers/``, and the product master, loaded
+    once before the stream: typed Parquet rows, or with csv a file or folder in
+    the raw layout.  Rows that the cleaners reject are written to
+    ``rejects/<source>`` by queries of their own.
+
+    The time limit needs the watermark policy ``max`` (an idle customer stream
+    must not stop expiry), so the queries run in a session of their own that
+    has it; the caller's settings stay."""
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+    if fmt == "csv":
+        base = csv_path(spark, inbox, "products")
+        base = base if warehouse.path_exists(spark, base) else f"{inbox}/products"
+        products, bad = clean_products(csv_src.read_product_master(spark, base))
+        bad.write.mode("overwrite").parquet(f"{root}/rejects/products")
+    else:
+        products = spark.read.parquet(f"{inbox}/products")
+    preload_products(spark, root, products)
+    tx, tx_bad = clean_transactions(csv_src.read_transactions_stream(spark, f"{inbox}/transactions", files_per_trigger, fmt))
+    cu, cu_bad = clean_customers(csv_src.read_customer_stream(spark, f"{inbox}/customers", files_per_trigger, fmt))
+
+    def start(rows: DataFrame, sink, name: str):
+        writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint}/{name}")
+        if available_now:
+            writer = writer.trigger(availableNow=True)
+        elif processing_time:
+            writer = writer.trigger(processingTime=processing_time)
+        return writer.start()
+
+    return HybridLoad([start(hybrid_join_stream(tx, cu, ttl), WarehouseLoader(root), "load"),
+                       start(tx_bad, EpochWriter(root, "rejects/transactions"), "bad_transactions"),
+                       start(cu_bad, EpochWriter(root, "rejects/customers"), "bad_customers")])
+
+
+class HybridLoad:
+    """The queries of one streaming load."""
+
+    def __init__(self, queries):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def processAllAvailable(self) -> None:
+        for q in self.queries:
+            q.processAllAvailable()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
 
 
 def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
@@ -73,11 +113,10 @@ def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None
     root = f"{base}/warehouse"
     if not warehouse.exists(spark, base):
         write_arrivals(spark, sf_dir, f"{base}/inbox")
-        ensure_dim_date(spark, root, make_calendar(spark, *testdata.TESTDATA_CALENDAR))
+        ensure_dim_date(spark, root, make_calendar(spark, *testdata.calendar_range(spark, sf_dir)))
         q = start_hybrid_load(spark, f"{base}/inbox", root, f"{base}/checkpoints/load")
         q.awaitTermination()
-        spark.createDataFrame([("stream", 1)], "table_name string, no_rows long") \
-            .write.mode("overwrite").parquet(warehouse.table_path(base, "_manifest"))
+        warehouse.complete(spark, base)
     return spark.read.parquet(warehouse.table_path(root, "fact_sales")).select(*FACT_COLS)
 
 
@@ -116,6 +155,5 @@ def stream_store_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
              .option("checkpointLocation", f"{base}/checkpoints/store_quarterly")
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        spark.createDataFrame([("done", 1)], "table_name string, no_rows long") \
-            .write.mode("overwrite").parquet(warehouse.table_path(out + "_done", "_manifest"))
+        warehouse.complete(spark, out + "_done")
     return spark.read.parquet(out)

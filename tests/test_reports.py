@@ -120,9 +120,28 @@ def test_affinity_large_basket_paths_match_brute_force(spark):
     ]
     for facts in cases:
         df = spark.createDataFrame(facts, "customer_id long, date_id int, product_id string")
-        for big in (4, 64):
-            got = [(r.product_a, r.product_b, r.together_count) for r in top_pairs(df, 5, big=big).collect()]
-            assert got == _brute_force_pairs(facts, 5), (big, facts[:3])
+        for heads in (2, 50):
+            got = [(r.product_a, r.product_b, r.together_count) for r in top_pairs(df, 5, heads=heads).collect()]
+            assert got == _brute_force_pairs(facts, 5), (heads, facts[:3])
+
+
+def test_affinity_takes_more_pairs_than_a_basket_has(spark):
+    facts = [(1, 20160101, p) for p in "ABC"] + [(2, 20160101, p) for p in "AB"]
+    df = spark.createDataFrame(facts, "customer_id long, date_id int, product_id string")
+    got = [(r.product_a, r.product_b, r.together_count) for r in top_pairs(df, 9).collect()]
+    assert got == [("A", "B", 2), ("A", "C", 1), ("B", "C", 1)]
+
+
+def test_affinity_of_two_equal_hot_baskets(spark):
+    """All 719,400 pairs tie; the plan forms a few of them and joins by basket."""
+    facts = [(c, 20160101, f"P{i:04d}") for c in (1, 2) for i in range(1200)]
+    df = spark.createDataFrame(facts, "customer_id long, date_id int, product_id string")
+    out = top_pairs(df, 5)
+    assert [(r.product_a, r.product_b, r.together_count) for r in out.collect()] == [
+        ("P0000", f"P{i:04d}", 2) for i in range(1, 6)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") > 0
+    formed = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert any("customer_id" in line and "product_a" in line and "P0000" in line for line in formed)
 
 
 def test_top_products_by_daytype_ranks_per_month(spark):

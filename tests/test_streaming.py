@@ -4,14 +4,17 @@ import time
 
 from pyspark.sql import functions as F
 
+from sparkmart.plans.etl import load_warehouse
 from sparkmart.sources import csv as csv_src
+from sparkmart.sources import testdata
 from sparkmart.sources.calendar import dim_date
+from sparkmart.sources.warehouse import read_star
 from sparkmart.streaming.hybrid_join import ensure_dim_date
 from sparkmart.streaming.jobs import start_hybrid_load
 from tests import fixtures as fx
 
 TX_COLS = "orderID string, Customer_ID string, Product_ID string, quantity string, date string"
-TTL = 40  # seconds; local micro-batches take a few seconds each
+TTL = 90  # seconds; local micro-batches take a few seconds each
 CUST_COLS = ("Customer_ID string, Gender string, Age string, Occupation string, City_Category string, "
              "Stay_In_Current_City_Years string, Marital_Status string")
 
@@ -73,13 +76,15 @@ def test_known_late_and_never_seen_customers(spark, scratch):
 def test_csv_feed_with_available_now(spark, scratch):
     """The reference's own layout: CSV files for transactions and customers."""
     inbox, root = f"{scratch}/inbox", f"{scratch}/wh"
-    fx.products(spark, [fx.prod_row("P1", 2.5, 0), fx.prod_row("P2", 1.0, 1)]) \
-        .write.parquet(f"{inbox}/products")
+    prods = fx.products(spark, [fx.prod_row("P1", 2.5, 0), fx.prod_row("P2", 1.0, 1)])
+    csv_src.write_csv(testdata.products_as_csv(prods).coalesce(1), f"{inbox}/product_master_data")
     ensure_dim_date(spark, root, dim_date(spark, "2016-01-01", "2016-12-31"))
     cust = spark.createDataFrame([("1", "M", "26-35", "x", "A", "1", "0"),
-                                  ("2", "F", "18-25", "y", "B", "2", "1")], CUST_COLS)
+                                  ("2", "F", "18-25", "y", "B", "2", "1"),
+                                  ("3", "F", "18-25", "y", "B", "2", "maybe")], CUST_COLS)
     tx = spark.createDataFrame([("10", "1", "P1", "2", "2016-04-02"), ("11", "2.0", "P2", "3", "4/5/2016"),
-                                ("12", "2", "PX", "1", "2016-04-02"), ("x", "1", "P1", "1", "2016-04-02")],
+                                ("12", "2", "PX", "1", "2016-04-02"), ("x", "1", "P1", "1", "2016-04-02"),
+                                ("13", "1", "P1", "1", "2031-04-02")],
                                TX_COLS)
     csv_src.write_csv(cust.coalesce(1), f"{inbox}/customers")
     csv_src.write_csv(tx.coalesce(1), f"{inbox}/transactions")
@@ -88,6 +93,18 @@ def test_csv_feed_with_available_now(spark, scratch):
     rows = spark.read.parquet(f"{root}/fact_sales").orderBy("order_id").collect()
     assert [(r.order_id, r.customer_id, r.date_id, str(r.revenue)) for r in rows] == [
         (10, 1, 20160402, "5.00"), (11, 2, 20160405, "3.00")]
+    # Every other row is kept with its reason.
+    load = spark.read.parquet(f"{root}/rejects/transactions_load").collect()
+    assert sorted((r.order_id, r.reason) for r in load) == [(12, "unknown_product"), (13, "date_outside_calendar")]
+    bad = spark.read.parquet(f"{root}/rejects/transactions").collect()
+    assert [(r.orderID, r.reason) for r in bad] == [("x", "bad_order_id")]
+    cust = spark.read.parquet(f"{root}/rejects/customers").collect()
+    assert [(r.Customer_ID, r.reason) for r in cust] == [("3", "bad_marital_status")]
+
+    # A batch load into the same root finds the streamed facts and keeps them.
+    inp = fx.inputs(spark, [fx.cust_row(1)], [fx.prod_row("P1", 2.5, 0)], [(99, 1, "P1", 1, fx.d("2016-06-02"), 0)])
+    assert load_warehouse(spark, inp, root)["fact_sales"] == 1
+    assert sorted(r.order_id for r in read_star(spark, root).fact_sales.collect()) == [10, 11, 99]
 
 
 def test_loader_replay_adds_nothing(spark, scratch):
