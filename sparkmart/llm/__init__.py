@@ -19,4 +19,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE}

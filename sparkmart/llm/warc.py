@@ -244,3 +244,20 @@ def op2_warc(spark, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+
+
+#: The same as DuckDB SQL; five hexadecimal digits are four of base32.
+ORACLE = """
+WITH paid AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+named AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((CAST('0x' || substr(h, CAST(5 * g + 1 AS INTEGER), 5) AS INTEGER) >> s) & 31) + 1, 1)), 'string_agg', '')),
+         'string_agg', '') AS payload_digest
+  FROM paid),
+told AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM named)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM told"""
