@@ -8,6 +8,7 @@ settings that are unset.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -71,7 +72,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     # The configured name is stable across sessions; SparkContext appends a
     # per-application sub-folder for RDD checkpoints, which we do not reuse.
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local["):
+    if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_sparkmart"
