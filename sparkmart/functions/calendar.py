@@ -30,19 +30,10 @@ def year_of_date_id(col) -> Column:
     return (_c(col) / 10000).cast("int")
 
 
-def date_id_range(first_date: str, last_date: str) -> tuple[int, int]:
-    """Inclusive ``yyyymmdd`` bounds of a calendar range given as ISO text."""
-    return (int(first_date.replace("-", "")), int(last_date.replace("-", "")))
-
-
 def weekday_name(col) -> Column:
     return F.date_format(_c(col), "EEEE")
 
 
-def quarter_of_month(col) -> Column:
-    return ((_c(col) - 1) / 3).cast("int") + 1
-
-
 def day_type(weekday) -> Column:
     """'Weekend' for Saturday/Sunday, else 'Weekday' (a NULL weekday too)."""
     return F.when(_c(weekday).isin(*WEEKEND_DAYS), F.lit("Weekend")).otherwise(F.lit("Weekday"))

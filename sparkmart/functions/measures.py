@@ -22,10 +22,6 @@ def revenue(price, quantity) -> Column:
     return (_c(price) * _c(quantity)).try_cast(REVENUE_TYPE)
 
 
-def money(col) -> Column:
-    return _c(col).try_cast(PRICE_TYPE)
-
-
 def growth_pct(current, previous) -> Column:
     """(current - previous) / previous * 100; NULL when previous is 0."""
     cur = _c(current).cast("double")

@@ -23,16 +23,17 @@ def hybrid_join_batch(transactions: DataFrame, customers: DataFrame) -> tuple[Da
     return matched, unmatched
 
 
-def enrich_product(df: DataFrame, lookup: DataFrame) -> DataFrame:
+def enrich_product(df: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:
     """Attach price, store and supplier; transactions of unknown products drop
-    out (inner join)."""
-    return df.join(lookup, "product_id", "inner")
+    out, or with ``how="left"`` stay without them."""
+    return df.join(lookup, "product_id", how)
 
 
-def enrich_date(df: DataFrame, dim_date: DataFrame, date_col: str = "sale_date") -> DataFrame:
-    """Attach ``date_id``; dates outside the calendar drop out."""
+def enrich_date(df: DataFrame, dim_date: DataFrame, date_col: str = "sale_date", how: str = "inner") -> DataFrame:
+    """Attach ``date_id``; dates outside the calendar drop out, or with
+    ``how="left"`` stay without one."""
     cal = F.broadcast(dim_date.select(F.col("full_date").alias("__d"), "date_id"))
-    return df.join(cal, F.col(date_col) == F.col("__d"), "inner").drop("__d")
+    return df.join(cal, F.col(date_col) == F.col("__d"), how).drop("__d")
 
 
 def with_revenue(df: DataFrame) -> DataFrame:

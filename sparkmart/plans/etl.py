@@ -25,7 +25,7 @@ from sparkmart import schema
 from sparkmart.functions.calendar import year_of_date_id
 from sparkmart.operators import dims
 from sparkmart.operators.dedupe import insert_ignore
-from sparkmart.operators.joins import with_revenue
+from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.sources.csv import POS
 
@@ -75,13 +75,10 @@ def build_facts(inputs: Inputs, dim_date: DataFrame) -> tuple[DataFrame, DataFra
     tx = inputs.transactions
     lookup = dims.product_lookup(inputs.products)
     cust = inputs.customers.select("customer_id")
-    cal = dim_date.select("full_date", "date_id")
     # One pass tags every transaction; the left joins keep the unmatched rows
     # so good rows and rejects come from the same plan.
-    tagged = (tx.join(cust.distinct().withColumn("__known", F.lit(True)), "customer_id", "left")
-              .join(lookup, "product_id", "left")
-              .join(F.broadcast(cal.withColumnRenamed("full_date", "sale_date")), "sale_date", "left"))
-    tagged = with_revenue(tagged)
+    tagged = tx.join(cust.distinct().withColumn("__known", F.lit(True)), "customer_id", "left")
+    tagged = with_revenue(enrich_date(enrich_product(tagged, lookup, "left"), dim_date, how="left"))
     reason = (F.when(F.col("__known").isNull(), F.lit("unknown_customer"))
               .when(F.col("price").isNull(), F.lit("unknown_product"))
               .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))

@@ -165,6 +165,12 @@ FROM line LEFT JOIN offer ON part_key = l_partkey""",
        CAST(maker_key AS BIGINT) AS supplier_id FROM offer""",
     "etl_hybrid_join_batch": f"{TRANSACTIONS} SEMI JOIN buyer ON buyer_key = o_custkey",
     "etl_trailing_months": f"SELECT *, strptime(CAST(date_id AS VARCHAR), '%Y%m%d')::DATE AS full_date FROM ({TABLES['fact_sales']} WHERE {HALF_YEAR})",
+    "etl_rejects": """SELECT CAST(l_orderkey AS BIGINT) AS order_id,
+       CAST(CASE l_orderkey % 50 WHEN 3 THEN -1 - o_custkey ELSE o_custkey END AS BIGINT) AS customer_id,
+       CASE l_orderkey % 50 WHEN 1 THEN 'XP' ELSE 'P' END || lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS product_id,
+       pieces AS quantity, CAST(CASE l_orderkey % 50 WHEN 2 THEN day + INTERVAL 1200 MONTH ELSE day END AS DATE) AS sale_date,
+       ['unknown_product', 'date_outside_calendar', 'unknown_customer'][CAST(l_orderkey % 50 AS INTEGER)] AS reason
+FROM line WHERE l_orderkey % 50 IN (1, 2, 3)""",
     # What a second load finds missing: the rows of each table less those there already.
     "etl_reload_new_rows": _each(f"SELECT '{t}' AS table_name, count(*) AS new_rows FROM (({sql}) EXCEPT ALL ({sql}))"
                                  for t, sql in TABLES.items()),

@@ -4,6 +4,7 @@ output and check, over the test tables in ``sf_dir``."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ from sparkmart import schema
 from sparkmart.operators import dims, quality
 from sparkmart.operators.joins import hybrid_join_batch
 from sparkmart.plans import olap
-from sparkmart.plans.etl import FACT_COLS, new_rows, star_rows
+from sparkmart.plans.etl import FACT_COLS, build_facts, new_rows, star_rows
 from sparkmart.plans.inputs import csv_inputs, export_testdata_csv, testdata_inputs
 from sparkmart.sources import testdata, warehouse
+from sparkmart.sources.calendar import dim_date as make_calendar
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +98,19 @@ def reload_new_rows(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What the loader rejects of a feed in which some orders have an unknown
+    product, a date outside the calendar or an unknown customer."""
+    inputs = testdata_inputs(spark, sf)
+    k = F.col("order_id") % 50
+    tx = (inputs.transactions
+          .withColumn("product_id", F.when(k == 1, F.concat(F.lit("X"), "product_id")).otherwise(F.col("product_id")))
+          .withColumn("sale_date", F.when(k == 2, F.add_months("sale_date", 1200)).otherwise(F.col("sale_date")))
+          .withColumn("customer_id", F.when(k == 3, -1 - F.col("customer_id")).otherwise(F.col("customer_id"))))
+    _, bad = build_facts(replace(inputs, transactions=tx), make_calendar(spark, *inputs.calendar))
+    return bad.select("order_id", "customer_id", "product_id", "quantity", "sale_date", "reason")
+
+
 def _streaming(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         from sparkmart.streaming import jobs  # streaming imports stay lazy
@@ -117,6 +132,7 @@ QUERIES.update({
     "etl_product_lookup": product_lookup,
     "etl_hybrid_join_batch": hybrid_join,
     "etl_reload_new_rows": reload_new_rows,
+    "etl_rejects": rejects,
     "etl_trailing_months": trailing_months,
     "check_pk_violations": pk_violations,
     "check_fk_violations": fk_violations,

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from sparkmart import schema
 from sparkmart.operators import dims
 from sparkmart.operators.dedupe import first_by, insert_ignore, insert_ignore_batch
-from sparkmart.operators.joins import with_revenue
+from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
 from sparkmart.plans.etl import FACT_COLS, with_partition_column
 from sparkmart.sources.csv import POS
 from sparkmart.sources.warehouse import read_table, table_path
@@ -112,8 +112,8 @@ class WarehouseLoader:
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         lookup = spark.read.parquet(table_path(self.root, LOOKUP)).withColumn("__product", F.lit(True))
-        cal = F.broadcast(read_table(spark, self.root, "dim_date").select(F.col("full_date").alias("sale_date"), "date_id"))
-        tagged = with_revenue(batch.join(lookup, "product_id", "left").join(cal, "sale_date", "left"))
+        cal = read_table(spark, self.root, "dim_date")
+        tagged = with_revenue(enrich_date(enrich_product(batch, lookup, "left"), cal, how="left"))
         reason = (F.when(~F.col("matched"), F.lit("customer_not_seen_within_ttl"))
                   .when(F.col("__product").isNull(), F.lit("unknown_product"))
                   .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))
