@@ -4,6 +4,7 @@ slices as numpy arrays, word and n-gram fingerprints, packed exchanges."""
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -30,15 +31,18 @@ def workspace(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends
     there, and a lost executor costs no earlier work."""
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of steps whose results are
-    stored: it works on unreachable objects, so collect those now."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    stored: it works on unreachable objects, so collect those now (what the
+    first pass frees, the second finds unreachable)."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def remove(spark: SparkSession, path: str) -> None:
