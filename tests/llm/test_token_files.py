@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkmart.llm import bpe, token_files
 
@@ -42,7 +43,7 @@ def test_long_document_is_read_in_blocks(spark, scratch, monkeypatch):
     text = "some words " * 3000
     manifest = token_files.write_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string"),
                                         bpe.default_vocabulary(), f"{scratch}/t")
-    row = manifest.select("file").withColumn("start", manifest.ids * 0).mapInArrow(
+    row = manifest.select("file", F.lit(0).cast("long").alias("start")).mapInArrow(
         token_files._read(token_files.qualified(spark, f"{scratch}/t"), block=100),
         "doc_id long, start long, n_tokens long, ids_crc32 long").collect()[0]
     ids = [*bpe.codec(bpe.default_vocabulary()).encode(text).tolist(), 0]
