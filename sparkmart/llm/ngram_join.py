@@ -9,9 +9,9 @@ with its transpose, cut into blocks, and exact:
    qualifying pair agrees in one whole block.  Cells of the product are
    formed only where two rows agree in a block; rows of one size class, or of
    neighbouring classes, share a dealing.
-2. *Discarding.*  Each row also carries a short sketch (one byte per fine
-   block).  Fine blocks that differ bound the differing n-grams from below;
-   a cell beyond its bound is discarded before any set is moved.
+2. *Discarding.*  Each row also carries a short sketch, the parity of its
+   n-grams in each fine block.  Parities that differ bound the differing n-grams
+   from below; a cell beyond its bound is discarded before any set is moved.
 3. *Accumulation.*  For the cells left, overlap counts are accumulated column
    range by column range; a cell goes as soon as what it has, plus all that
    the remaining ranges could add, falls below its bound.
@@ -75,9 +75,9 @@ class Bounds:
         return self.most(2 * n + 1) >= 1
 
     def fine(self, n):
-        """Fine blocks of a sketch: a power of two, so sketches fold onto shorter ones."""
-        m = 40 // (100 - self.p) * self.blocks[self.size_class(np.maximum(n, 1))] if self.p < 100 else np.ones_like(n)
-        return 1 << np.ceil(np.log2(np.maximum(m, 2))).astype(np.int64)
+        """Bits of a sketch: a power of two, so sketches fold onto shorter ones."""
+        m = 80 // (100 - self.p) * self.blocks[self.size_class(np.maximum(n, 1))] if self.p < 100 else np.ones_like(n)
+        return 1 << np.ceil(np.log2(np.maximum(m, 8))).astype(np.int64)
 
 
 def set_name(sets: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -119,25 +119,30 @@ def _keys(sets: np.ndarray, of: np.ndarray, b: Bounds) -> tuple[np.ndarray, np.n
 def _sketches(sets: np.ndarray, of: np.ndarray, b: Bounds) -> tuple[np.ndarray, np.ndarray]:
     n = np.diff(of)
     m = np.where((n > 0) & b.linkable(n), b.fine(n), 0)
-    begin = np.concatenate([[0], np.cumsum(m)])
+    begin = np.concatenate([[0], np.cumsum(m // 8)])
     row = np.repeat(np.arange(len(n)), n)
     use = m[row] > 0
-    r, h = row[use], mix(sets[use] ^ STEP[23])
+    r = row[use]
     # Low bits of the hash: folding halves of a sketch then halves its blocks.
-    at = begin[r] + (h & (m[r] - 1).astype(np.uint64)).astype(np.int64)
+    bit = (mix(sets[use] ^ STEP[23]) & (m[r] - 1).astype(np.uint64)).astype(np.int64)
     out = np.zeros(int(begin[-1]), np.uint8)
-    np.bitwise_xor.at(out, at, (h >> U(56)).astype(np.uint8))
+    np.bitwise_xor.at(out, begin[r] + bit // 8, (1 << (bit % 8)).astype(np.uint8))
     return out, begin
 
 
 def fold(sketch: np.ndarray, m: int) -> np.ndarray:
-    """A sketch (last axis) on ``m`` fine blocks, ``m`` a smaller power of two."""
+    """A sketch (last axis) in ``m`` bytes, ``m`` a smaller power of two."""
     while sketch.shape[-1] > m:
         half = sketch.shape[-1] // 2
         sketch = sketch[..., :half] ^ sketch[..., half:]
     return sketch
 
 
+def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Parities in which sketches differ."""
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
+
+
 NODES = "doc_id long, n long, node long, sketch binary, keys binary"
 
 
@@ -227,7 +232,7 @@ def _discard(percent: int):
             for i in np.flatnonzero(keep):
                 x, y = np.frombuffer(sa[i].as_buffer(), np.uint8), np.frombuffer(sb[i].as_buffer(), np.uint8)
                 m = min(len(x), len(y))
-                keep[i] = np.count_nonzero(fold(x, m) != fold(y, m)) <= most[i]
+                keep[i] = differing(fold(x, m), fold(y, m)) <= most[i]
             yield batch.select(["a", "b"]).filter(pa.array(keep))
     return run
 
@@ -256,11 +261,11 @@ def _cells(percent: int):
                 js = js[(comp[js] != comp[i]) & (np.minimum(n[js], n[i]) * 100 >= np.maximum(n[js], n[i]) * percent)]
                 if not len(js):
                     continue
-                differ = np.count_nonzero(short[js - lo] != short[i - lo], axis=1)
+                differ = differing(short[js - lo], short[i - lo])
                 for j in js[differ <= b.most(n[js] + n[i])]:
                     x, y = have[i - lo], have[j - lo]
                     f = min(len(x), len(y))
-                    if f == m or np.count_nonzero(fold(x, f) != fold(y, f)) <= b.most(n[j] + n[i]):
+                    if f == m or differing(fold(x, f), fold(y, f)) <= b.most(n[j] + n[i]):
                         cells.add((int(min(node[i], node[j])), int(max(node[i], node[j]))))
         out = sorted(cells)
         return pa.table({"a": pa.array([c[0] for c in out], pa.int64()), "b": pa.array([c[1] for c in out], pa.int64())})
@@ -324,6 +329,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = stored(nodes.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
         .join(runs.select("node").distinct().withColumn("shared", F.lit(True)), "node", "left"), f"{path}/sets")
+    rows = stored(nodes.select("doc_id", "n", "node"), f"{path}/rows")
+    remove(spark, f"{path}/nodes")
     members = sets.where("shared").select("node", "n", "sketch")
 
     def discard(pairs: DataFrame) -> DataFrame:
@@ -368,8 +375,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = stored(named.join(least, "component").select("node", "component_id"), f"{path}/named")
+    for name in ("runs", "sets"):
+        remove(spark, f"{path}/{name}")
     release(spark)
-    return (nodes.select("doc_id", "n", "node").join(named, "node", "left")
+    return (rows.join(named, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
