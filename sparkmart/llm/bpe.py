@@ -24,13 +24,12 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,15 +39,25 @@ PIECE = 1 << 18
 #: Pre-tokens of more bytes than this are concatenated from halves.
 UNSPLIT = 1 << 12
 #: Words a task's cache holds in each of two generations.
-CACHE = 1 << 18
+CACHE = 3 << 18
 
-# Pre-tokens of the byte-level vocabularies, with Unicode's white space spelled
-# out.  Used below U+0250, where the library's tables and ours agree.
-_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_PRETOKENS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+"
-                           rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+").findall
+#: Below this character the library's Unicode tables and ours agree.
+LATIN = "\u0250"
+
+
+def _pretokens():
+    """The byte-level vocabularies' pre-token pattern over characters below
+    ``LATIN``, whose letters, numbers and white space are spelled out."""
+    kinds = {k: "".join(re.escape(c) for c in map(chr, range(ord(LATIN))) if unicodedata.category(c)[0] == k) for k in "LN"}
+    space = r"\t-\r \x85\xa0"
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{kinds['L']}]+| ?[{kinds['N']}]+| ?[^{space}{kinds['L']}{kinds['N']}]+"
+                      rf"|[{space}]+(?![^{space}])|[{space}]+").findall
+
+
+_PRETOKENS = _pretokens()
 _SAFE = re.compile(r"(?<=\S)(?= )")
-_MIXED = re.compile(r"\s |^ ")
+#: White space, in any sense, right before a space: no safe cut there.
+_BEFORE_SPACE = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -72,22 +81,17 @@ class Codec:
         letters = _byte_letters()
         self.letter = {b: c for c, b in letters.items()}
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
+        self.plain = all(re.search(r"[^\w.,]", t) for t in self.special)      # no word can be a special token
         self.bytes = [b""] * size
         for token, i in self.tok.get_vocab(with_added_tokens=True).items():
             known = token not in self.special and all(c in letters for c in token)
             self.bytes[i] = bytes(letters[c] for c in token) if known else token.encode()
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        model = self.tok.model
-        letters_of = {b: ord(c) for b, c in self.letter.items()}
-
-        @lru_cache(CACHE)
-        def token(x: str) -> bytes:
-            mapped = x.encode().decode("latin-1").translate(letters_of)
-            return array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
-
-        self.token = token
+        self.letter_of = {b: ord(c) for b, c in self.letter.items()}
+        # Encodings of " word" by word, in two generations, and of the rest.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
 
     # ------------------------------------------------------------ encoding
 
@@ -95,41 +99,63 @@ class Codec:
         """Ids of a whole text, as ``Tokenizer.encode(text, add_special_tokens=False)``."""
         if not text:
             return np.zeros(0, "<u4")
-        if _MIXED.search(text):
-            words = _SAFE.split(text)
+        if text[0] == " " or any(x in text for x in _BEFORE_SPACE):
+            out = [self._known(x) for x in _SAFE.split(text)]
         else:
             first, *rest = text.split(" ")
-            words = [first, *[" " + w for w in rest]]
-        return np.frombuffer(b"".join(self._words(words)), "<u4")
+            out = self._spaced(rest)
+            if first:
+                out.insert(0, self._known(first))
+        return np.frombuffer(b"".join(out), "<u4")
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it."""
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
-        young = self.young
-        out = [young.get(w) for w in words]
+        young, old = self.young, self.old
+        out = list(map(young.get, words))
         if None in out:
-            old, token, special = self.old, self.token, self.special
-            other = []
             for i, x in enumerate(out):
-                if x is not None:
-                    continue
-                w = words[i]
-                x = young.get(w) or old.get(w)
-                if x is None and len(w) <= UNSPLIT // 4:
-                    if (w.isascii() or max(w) < "\u0250") and not any(t in w for t in special):
-                        x = b"".join([token(t) for t in _PRETOKENS(w)])
-                    else:
-                        other.append(i)
-                        continue
-                elif x is None:
-                    out[i] = self._unsplit(w).tobytes()         # not kept: the cache stays bounded
-                    continue
-                out[i] = young[w] = x
-            if other:
-                for i, e in zip(other, self.tok.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
-                    out[i] = young[words[i]] = array("I", e.ids).tobytes()
+                if x is None:
+                    w = words[i]
+                    out[i] = x = young.get(w) or old.get(w) or self._new(" " + w)
+                    if len(w) <= UNSPLIT // 4:                  # the cache stays bounded
+                        young[w] = x
         return out
 
+    def _known(self, piece: str) -> bytes:
+        """Ids of a piece between safe cuts, or of one pre-token."""
+        if piece[0] == " " and len(piece) > 1:
+            return self._spaced([piece[1:]])[0]
+        x = self.others.get(piece)
+        if x is None:
+            x = self._new(piece)
+            if len(self.others) > CACHE // 4:
+                self.others.clear()
+            if len(piece) <= UNSPLIT // 4:
+                self.others[piece] = x
+        return x
+
+    def _new(self, piece: str) -> bytes:
+        if len(piece) > UNSPLIT // 4:
+            return self._unsplit(piece).tobytes()
+        if piece.isascii() or max(piece) < LATIN:
+            if self.plain:
+                body = piece[1:] if piece[0] == " " else piece
+                if body.isalpha():
+                    return self._token(piece)
+                if len(body) > 1 and body[-1] in ".," and body[:-1].isalpha():
+                    return self._known(piece[:-1]) + self._known(piece[-1])
+            if not any(t in piece for t in self.special):
+                tokens = _PRETOKENS(piece)
+                return self._token(piece) if len(tokens) == 1 else b"".join([self._known(t) for t in tokens])
+        return array("I", self.tok.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _token(self, token: str) -> bytes:
+        """Ids of one pre-token."""
+        mapped = token.encode().decode("latin-1").translate(self.letter_of)
+        return array("I", [t.id for t in self.tok.model.tokenize(mapped)]).tobytes()
+
     def _unsplit(self, text: str) -> np.ndarray:
         """A stretch without safe cuts, pre-token by pre-token."""
         parts = self.pretokens(text)
