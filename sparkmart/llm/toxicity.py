@@ -4,10 +4,13 @@
   class for other letters, one for word edges), counted in every task and
   summed.
 * *Channel.*  A token with signs or digits among letters, with a letter three
-  or more times in a row, or a chain of single letters is a lattice: every
-  sign may stand for letters that look like it or for nothing, a run may be
-  one or two letters.  Viterbi decoding under the language model picks the
-  most probable word.
+  or more times in a row, or a chain of single letters and look-alike signs is
+  a lattice: every sign may stand for letters that look like it or for
+  nothing, a run may be one or two letters.  Viterbi decoding under the
+  language model picks the most probable word.  Chains, and tokens with
+  ``.*_-`` between letters, are read a second time with an optional word edge
+  at each gap, which splits a spaced-out sentence into words.  Tokens and
+  chains have three characters or more, and any length beyond.
 * *Score.*  Features of a text are its words (lower-cased letter runs and
   restored words) and their first three to six bytes.  Sparse logistic
   regression (numpy, L1) weighs those that tell the labels apart; the score
@@ -28,6 +31,7 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +55,10 @@ LOOKS_LIKE = {
     "+": ("t", ""), "(": ("c", ""), "*": ("",), "_": ("",), "-": ("",), ".": ("",), "'": ("",), "#": ("",),
 }
 #: Log probability of each channel event.
-SIGN, DROP, SINGLE, DOUBLE = -1.0, -2.0, -0.7, -0.7
+SIGN, DROP, SINGLE, DOUBLE, EDGE = -1.0, -2.0, -0.7, -0.7, -0.5
+#: Longest token whose readings are cached, and characters between two cuts of
+#: what all paths have in common.
+CACHED, STRIDE = 64, 32
 
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
@@ -93,26 +100,68 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 
 def _code(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27
+    return ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
+
+
+class Chain(str):
+    """Single letters and signs that white space kept apart, joined; a space
+    stands for a gap wider than the narrowest one."""
+
+
+def _choices(token: str, edges: bool) -> Iterator[list[tuple[str, float]]]:
+    """What each piece of a token may stand for, with log probabilities."""
+    if edges and isinstance(token, Chain):
+        for m in re.finditer(r"([a-z])\1{2,}|.", token):
+            c = m[0][0]
+            if c == " ":
+                yield [(" ", 0.0), ("", DROP)]
+                continue
+            if m.start() and token[m.start() - 1] != " ":
+                yield [("", 0.0), (" ", EDGE)]
+            if len(m[0]) > 2:
+                yield [(c, SINGLE), (c * 2, DOUBLE), (f"{c} {c}", DOUBLE + EDGE)]
+            elif c.isalpha():
+                yield [(c, 0.0)]
+            else:
+                yield [(x, SIGN if x else DROP) for x in LOOKS_LIKE[c]]
+        return
+    for m in re.finditer(r"(.)\1*", token.replace(" ", "")):
+        c, n = m[1], len(m[0])
+        if c.isalpha():
+            yield [(c * n, 0.0)] if n < 3 else [(c, SINGLE), (c * 2, DOUBLE)]
+        else:
+            yield [(x * k, SIGN * k if x else DROP) for x in LOOKS_LIKE.get(c, ("",))
+                   for k in ((min(n, 2),) if n < 3 else (1, 2)) if x or k == 1 or n == 2] + (
+                       [(" ", DROP + EDGE)] if edges and c in ".*_-" else [])
 
 
 class Restorer:
-    """Viterbi decoder of disguised tokens."""
+    """Viterbi decoder of disguised tokens of any length."""
 
     def __init__(self, model: np.ndarray):
         self.p = model.tolist()
-        self.restore = lru_cache(100_000)(self._restore)
+        self._known = lru_cache(100_000)(self._readings)
+
+    def restore(self, token: str) -> str:
+        """The token as one word."""
+        return self._decode(token, False)
+
+    def words(self, token: str) -> tuple[str, ...]:
+        """The token as one word and, if it has gaps, as several."""
+        return (self._known if len(token) <= CACHED else self._readings)(token, isinstance(token, Chain))
 
-    def _restore(self, token: str) -> str:
-        # States are the last two classes; each keeps its best path.
+    def _readings(self, token: str, chain: bool) -> tuple[str, ...]:
+        one = self._decode(token, False)
+        if not chain and not re.search(r"\w[.*_-]+\w", token):
+            return (one,) if one else ()
+        return tuple(x for x in dict.fromkeys([one, *self._decode(token, True).split()]) if x)
+
+    def _decode(self, token: str, edges: bool) -> str:
+        # States are the last two classes; each keeps its best path, less what
+        # all paths begin with.
         best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for m in re.finditer(r"(.)\1*", token):
-            c, n = m[1], len(m[0])
-            if c.isalpha():
-                options = [(c * n, 0.0)] if n < 3 else [(c, SINGLE), (c * 2, DOUBLE)]
-            else:
-                options = [(x * k, SIGN * k if x else DROP) for x in LOOKS_LIKE.get(c, ("",))
-                           for k in ((min(n, 2),) if n < 3 else (1, 2)) if x or k == 1 or n == 2]
+        done = []
+        for i, options in enumerate(_choices(token, edges), 1):
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, path) in best.items():
                 for out, cost in options:
@@ -124,7 +173,12 @@ class Restorer:
                     if (x, y) not in after or after[x, y][0] < total:
                         after[x, y] = (total, path + out)
             best = after
-        return max((total + self.p[a][b][0], path) for (a, b), (total, path) in best.items())[1]
+            if i % STRIDE == 0:
+                same = commonprefix([path for _, path in best.values()])
+                done.append(same)
+                best = {k: (total, path[len(same):]) for k, (total, path) in best.items()}
+        done.append(max((total + self.p[a][b][0], path) for (a, b), (total, path) in best.items())[1])
+        return "".join(done)
 
 
 # ---------------------------------------------------------------- features
@@ -162,6 +216,8 @@ LINKS = np.zeros(256, bool)
 LINKS[[ord(c) for c in ".*_-"]] = True
 STOPS = np.zeros(256, bool)
 STOPS[[ord(c) for c in ".,;:!?"]] = True
+CHAINED = LETTER.copy()
+CHAINED[[ord(c) for c in LOOKS_LIKE]] = True
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in "@$"]] = True
 
@@ -169,7 +225,8 @@ ENDS[[ord(c) for c in "@$"]] = True
 def disguised(s: Slice) -> list[tuple[int, str]]:
     """(document, token) of the places that look disguised: a sign before a
     letter, one or two of ``@$`` after the last one, a letter three times in a
-    row, single letters chained by ``.*_-`` or by white space."""
+    row, single letters chained by ``.*_-``; and of chains of single letters
+    and ``LOOKS_LIKE`` signs, at least one a letter, between white space."""
     n = len(s.buf)
     if n < 3:
         return []
@@ -185,15 +242,19 @@ def disguised(s: Slice) -> list[tuple[int, str]]:
     doc = np.searchsorted(s.start, w.begin, "right") - 1
     out = []
     for i in np.unique(np.searchsorted(w.begin, np.flatnonzero(odd), "right") - 1):
-        if i >= 0 and 2 < w.end[i] - w.begin[i] <= 64:
+        if i >= 0 and w.end[i] - w.begin[i] > 2:
             out.append((int(doc[i]), low[w.begin[i]:w.end[i]].tobytes().decode("utf-8", "replace")))
-    one = LETTER[s.buf[w.begin]] & ((w.end - w.begin == 1) | (w.end - w.begin == 2) & STOPS[s.buf[w.end - 1]])
+    one = CHAINED[s.buf[w.begin]] & ((w.end - w.begin == 1) | (w.end - w.begin == 2) & STOPS[s.buf[w.end - 1]])
     one = np.concatenate([[False], one, [False]])
     first, last = np.flatnonzero(~one[:-1] & one[1:]), np.flatnonzero(one[:-1] & ~one[1:])
-    for a, b in zip(first, last):
+    letters = np.concatenate([[0], np.cumsum(LETTER[s.buf[w.begin]])])
+    some = (last - first > 2) & (letters[last] > letters[first])
+    for a, b in zip(first[some], last[some]):
         for k in np.split(np.arange(a, b), np.flatnonzero(np.diff(doc[a:b])) + 1):
-            if 2 < len(k) <= 64:
-                out.append((int(doc[k[0]]), low[w.begin[k]].tobytes().decode("ascii")))
+            if len(k) > 2 and LETTER[s.buf[w.begin[k]]].any():
+                gap = np.diff(w.begin[k])
+                chain = np.insert(low[w.begin[k]], np.flatnonzero(gap > gap.min()) + 1, 32)
+                out.append((int(doc[k[0]]), Chain(chain.tobytes().decode("ascii"))))
     return out
 
 
@@ -205,8 +266,7 @@ def _features(s: Slice, restorer: Restorer) -> Iterator[tuple[np.ndarray, np.nda
         yield doc[some], name
     extra, who = [], []
     for j, token in disguised(s):
-        word = restorer.restore(token.strip(".,;:?\""))
-        if word:
+        for word in restorer.words(token if isinstance(token, Chain) else token.strip(".,;:?\"")):
             extra.append(word.encode())
             who.append(j)
     if extra:

@@ -41,6 +41,27 @@ def test_restoration(spark):
         assert decoder.restore(raw) == word
 
 
+def test_chains_and_tokens_of_any_length(spark):
+    """A 200-letter chain, a 100-byte token and spaced leetspeak."""
+    words = ["you", "are", "idiot", "stupid", "loser", "the", "worthless", "moron"]
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(40))) for i in range(200)],
+                                 "doc_id long, text string")
+    decoder = toxicity.Restorer(toxicity.language_model(docs))
+
+    def restored(text):
+        return {x for s in text_slices(pa.array([text])) for _, t in toxicity.disguised(s) for x in decoder.words(t)}
+
+    sentence = ["you", "are", "the", "stupid", "worthless", "moron"] * 7
+    assert len("".join(sentence)) > 200 and restored(" ".join("".join(sentence))) >= set(sentence)
+    assert restored("  ".join(" ".join(x) for x in sentence)) >= set(sentence)
+    assert restored("s" + "t" * 100 + "upid") == {"stupid"}
+    assert restored(".".join("".join(sentence))) >= set(sentence)
+    assert "idiot" in restored("you i d 1 0 t here") and "stupid" in restored("s t u p 1 d")
+    assert "idiot" in restored("1 d 1 0 7") and not restored("1 2 3 4 5 6")
+    assert len("".join(decoder.words(toxicity.Chain("ab1" * 50_000)))) > 50_000
+
+
 def test_held_out_accuracy(labelled):
     docs, labels = labelled
     model = toxicity.ToxicityModel.fit(docs, labels, toxicity.remainder(5) != 0)
