@@ -25,10 +25,12 @@ doc_id reachable by links, itself included).
 
 Edge cases: null or empty texts and texts without words have 0 n-grams and
 link with nothing (component_id is their own doc_id); fewer words than ``k``
-make one n-gram of the whole sequence; rows with equal doc_id are one document
-to the links and one row each in the result; a null doc_id joins as a row
+make one n-gram of the whole sequence; rows with equal doc_id but different
+n-grams are linked each on its own, and every row is in the result; a null doc_id joins as a row
 whose id is never the smallest, and gets component_id null only if no linked
 row has an id; an empty table gives an empty result; other columns are ignored.
+The stage drops only rows that link with the row that stays: rows of one doc_id
+or of none are told apart by their text, and texts without words all stay.
 """
 
 from __future__ import annotations
@@ -143,19 +145,21 @@ def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
 
 
-NODES = "doc_id long, n long, node long, sketch binary, keys binary"
+#: Stands for a null doc_id: nulls come last.
+LAST = (1 << 63) - 1
+NODES = "doc_id long, content long, n long, node long, sketch binary, keys binary"
 
 
 def _node_rows(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = Bounds(percent)
         for batch in batches:
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(2)):
                 sets, of = shingles_of(words_of(s), k)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[s.rows], pa.array(np.diff(of)), pa.array(set_name(sets, of).view(np.int64)),
+                    [batch.column(0)[s.rows], batch.column(1)[s.rows], pa.array(np.diff(of)), pa.array(set_name(sets, of).view(np.int64)),
                      binary_list(*_sketches(sets, of, b)), binary_list(*_keys(sets, of, b))],
-                    names=["doc_id", "n", "node", "sketch", "keys"])
+                    names=["doc_id", "content", "n", "node", "sketch", "keys"])
     return run
 
 
@@ -312,12 +316,19 @@ def _accumulate(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Components of documents linked by Jaccard similarity of their ``k``-word
-    n-gram sets: 100 * intersection >= ``percent`` * union (0 < percent <= 100)."""
+def _place():
+    """Columns that tell rows apart: doc_id with nulls last, hash of the text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"),
+            F.xxhash64(F.col("text").cast("string")).alias("content")]
+
+
+def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """A row per input row: ``doc_id, content, n, node`` (fingerprint of its
+    set), ``component`` (a node) and ``component_id``; the last two are null
+    without n-grams."""
     spark = docs.sparkSession
     path = workspace(spark, "ngram_join")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _place()[1], F.col("text").cast("string").alias("text"))
 
     nodes = stored(docs.mapInArrow(_node_rows(k, percent), NODES), f"{path}/nodes")
     entries = nodes.agg(F.sum(F.octet_length("keys")) / 8).first()[0] or 0
@@ -327,9 +338,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     runs = stored(dealt.groupBy("bucket").applyInArrow(_runs, RUNS), f"{path}/runs")
     release(spark)
     sets = stored(nodes.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("place"), "content")).alias("at"), F.max("n").alias("n"),
+        F.max("sketch").alias("sketch"))
         .join(runs.select("node").distinct().withColumn("shared", F.lit(True)), "node", "left"), f"{path}/sets")
-    rows = stored(nodes.select("doc_id", "n", "node"), f"{path}/rows")
+    rows = stored(nodes.select("doc_id", "content", "n", "node"), f"{path}/rows")
     remove(spark, f"{path}/nodes")
     members = sets.where("shared").select("node", "n", "sketch")
 
@@ -340,8 +352,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     def links_of(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        some = sets.join(ends, "node", "left_semi").select("doc_id").distinct()
-        grams = stored(docs.join(some, "doc_id", "left_semi").select("text").mapInArrow(
+        some = sets.join(ends, "node", "left_semi").select("at.place", "at.content").distinct()
+        grams = stored(docs.select(*_place(), "text").join(some, ["place", "content"], "left_semi").select("text").mapInArrow(
             _vectors(k), "node long, grams binary").dropDuplicates(["node"]), f"{path}/grams_{name}")
         a = grams.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
         b = grams.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
@@ -374,13 +386,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = sets.select("node", F.col("doc_id").alias("least")).join(found, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = stored(named.join(least, "component").select("node", "component_id"), f"{path}/named")
+    named = stored(named.join(least, "component").select("node", "component", "component_id"), f"{path}/named")
     for name in ("runs", "sets"):
         remove(spark, f"{path}/{name}")
     release(spark)
-    return (rows.join(named, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    return rows.join(named, "node", "left")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Components of documents linked by Jaccard similarity of their ``k``-word
+    n-gram sets: 100 * intersection >= ``percent`` * union (0 < percent <= 100)."""
+    return _linked(docs, k, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
@@ -389,8 +407,15 @@ def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near duplicates (5-word
-    n-grams, similarity 0.8 or more) stays, the one with the smallest doc_id."""
-    keep = near_duplicates(docs, k=5, percent=80).where(
-        "doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """Pipeline stage: one row of each group of near duplicates (5-word
+    n-grams, similarity 0.8 or more) stays, the one with the smallest doc_id
+    (nulls last, then by fingerprint of n-grams and text)."""
+    linked = _linked(docs, 5, 80).where("n > 0").select("component", "node", F.coalesce("doc_id", F.lit(LAST)).alias("place"), "content")
+    keep = linked.groupBy("component").agg(F.min(F.struct("place", "node", "content")).alias("first")).select(
+        "first.place", "first.content")
+    inner = docs.select(*_place(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    words = F.coalesce(F.col("row.text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    # Rows of one doc_id and text differ in other columns at most: one stays.
+    first = inner.where(words).join(keep, ["place", "content"], "left_semi").groupBy("place", "content").agg(
+        F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return first.select("row.*").unionAll(inner.where(~words).select("row.*"))

@@ -64,3 +64,27 @@ def test_stage_keeps_one_of_each_group(spark, docs, rows):
     sets = {r[0]: shingles(r[1], 5) for r in rows if r[0] is not None}
     want = links_by_brute_force(sets, 80)
     assert sorted(i for i in ids if i is not None) == sorted(i for i in want if want[i] == i)
+
+
+def test_stage_tells_rows_without_id_and_of_one_id_apart(spark):
+    def text(name, *changed):
+        return " ".join(f"{name}{i}" if i not in changed else f"{name}{i}new" for i in range(100))
+
+    rows = [(1, text("a")), (None, text("a", 50)),                  # a copy without id goes
+            (None, text("b")), (None, text("c")), (None, text("c", 40)),
+            (5, text("d")), (5, text("a", 20)), (5, text("e")),     # a copy and two clean texts under one id
+            (7, text("f", 99)), (7, text("f", 99)), (8, text("f")),
+            (None, None), (None, ""), (9, " "), (9, "  ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in ngram_join.stage(spark, df, "").collect()]
+    c = [r for r in kept if r in rows[3:5]]
+    assert len(c) == 1                                              # one of two linked rows without id
+    want = [rows[0], rows[2], *c, rows[5], rows[7], rows[8], *rows[11:]]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
+def test_sets_of_rows_without_id_are_linked(spark):
+    a = " ".join(f"a{i}" for i in range(100))
+    rows = [(None, a), (None, a.replace("a50 ", "x ")), (3, a.replace("a50 ", "x ").replace("a10 ", "y "))]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert [r.component_id for r in got] == [3, 3, 3]
