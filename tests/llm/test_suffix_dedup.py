@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 
 from sparkmart.llm import suffix_dedup
 
@@ -63,3 +64,20 @@ def test_stage_cuts_text_and_keeps_columns(docs, no_docs):
     assert out.columns == docs.columns
     assert all(r.n_chars == len(r.text) and r.text.strip() for r in out.collect())
     assert suffix_dedup.deduplicated(no_docs).count() == 0
+
+
+def test_equal_names_of_different_strings_are_no_repeat():
+    """Two texts hold strings whose first names clash; a third repeats one."""
+    owner, order, name = np.array([11, 12, 13]), np.array([1, 2, 3]), np.full(3, 5, np.uint64)
+    check = np.array([70, 71, 70], np.uint64)
+    raw = suffix_dedup.pack(owner, np.array([0, 4, 9]), name, order, check)
+    table = pa.table({"bucket": pa.array([0], pa.int32()), "entries": pa.array([raw], pa.binary())})
+    out = suffix_dedup._repeats(1)(table)
+    assert [suffix_dedup.unpack(x.as_buffer())[0].tolist() for x in out.column("entries")] == [[13]]
+
+
+def test_second_fingerprints_follow_the_bytes():
+    buf = np.frombuffer(b"0123456789" * 12, np.uint8)
+    at = np.arange(len(buf) - 50)
+    got = suffix_dedup.checks(suffix_dedup.sums(buf), at, 50)
+    assert len(set(got.tolist())) == 10 and (got[:10] == got[10:20]).all()
