@@ -81,3 +81,31 @@ def test_second_fingerprints_follow_the_bytes():
     at = np.arange(len(buf) - 50)
     got = suffix_dedup.checks(suffix_dedup.sums(buf), at, 50)
     assert len(set(got.tolist())) == 10 and (got[:10] == got[10:20]).all()
+
+
+def entries(batches, buckets):
+    """Entries that are dealt by name, and all others."""
+    parts = [(b, len(suffix_dedup.unpack(e.as_buffer())[0])) for x in batches
+             for b, e in zip(x.column("bucket").to_pylist(), x.column("entries"))]
+    return [sum(n for b, n in parts if (b < buckets) == by_name) for by_name in (True, False)]
+
+
+def test_hot_names_are_settled_in_the_slice():
+    line = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(71))
+    texts, ids = [line] * 900 + ["=" * 3000], np.arange(901)
+    batch = pa.record_batch({"rid": pa.array(ids), "text": pa.array(texts)})
+    by_name, settled = entries(suffix_dedup._sample(1, 4, 50)([batch]), 1)
+    assert by_name <= 2 * len(line) and settled > 900 * 9
+    batch = pa.record_batch({"rid": pa.array(ids), "order": pa.array(ids), "start": pa.array(np.zeros(901, int)),
+                             "bytes": pa.array([x.encode() for x in texts])})
+    by_name, settled = np.sum([entries(suffix_dedup._windows(1, 4, share, 50)([batch]), 1)
+                               for share in range(suffix_dedup.ROUNDS)], 0)
+    assert by_name == 22 + 1 and by_name + settled == 900 * 22 + 2951
+
+
+def test_hot_and_periodic_texts_equal_brute_force(spark):
+    line = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(71)) + "\n"
+    rows = [(i, f"{i:05d} " * 3 + line * (1 + i % 3)) for i in range(60)]
+    rows += [(100, "=" * 400), (101, "-" + "=" * 300), (101, line * 9), (50, "x" + line * 40), (None, "=" * 90 + line * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted(digests(df), key=repr) == sorted(brute(rows), key=repr)
