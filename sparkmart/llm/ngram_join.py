@@ -5,10 +5,13 @@ with its transpose, cut into blocks, and exact:
 
 1. *Column blocks.*  Two sets of sizes s and t that reach the similarity
    differ in at most ``(s + t)(100 - p) / (100 + p)`` n-grams.  The n-grams
-   are dealt by hash into one block more than that size-derived bound, so a
-   qualifying pair agrees in one whole block.  Cells of the product are
-   formed only where two rows agree in a block; rows of one size class, or of
-   neighbouring classes, share a dealing.
+   are dealt by hash into more blocks than that size-derived bound, and only
+   blocks that hold something count: a row with more of them than n-grams may
+   differ agrees with every qualifying row in one whole block.  The rare rows
+   with fewer also go by single n-grams, those first in fingerprint order (a
+   prefix filter).  Cells of the product are formed only where two rows agree
+   in a block; rows of one size class, or of neighbouring classes, share a
+   dealing.
 2. *Discarding.*  Each row also carries a short sketch, the parity of its
    n-grams in each fine block.  Parities that differ bound the differing n-grams
    from below; a cell beyond its bound is discarded before any set is moved.
@@ -47,6 +50,8 @@ from sparkmart.llm._common import (U, STEP, binary_list, bucketed, components, m
 
 #: Members of a block that one task compares with as many others at once.
 CHUNK = 512
+#: Rows that a task which compares members gets, about.
+UNIT_ROWS = 20_000
 #: Entries of the block exchange that one task sorts at once.
 BUCKET_ENTRIES = 600_000
 RANGES = 8
@@ -63,7 +68,9 @@ class Bounds:
         while low[-1] < 1 << 40:
             low.append(low[-1] * 100 // percent + 1)
         self.low = np.array(low, np.int64)
-        self.blocks = np.array([self.most(2 * (high - 1)) + 1 for high in low[1:]] + [0], np.int64)
+        # An eighth and two more than the bound, as some blocks get nothing.
+        most = [self.most(2 * (high - 1)) + 1 for high in low[1:]]
+        self.blocks = np.array([m + m // 8 + 2 for m in most] + [0], np.int64)
 
     def most(self, both):
         """Most n-grams in which two sets, of sizes that sum to ``both``, may differ."""
@@ -89,14 +96,15 @@ def set_name(sets: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 
 def _keys(sets: np.ndarray, of: np.ndarray, b: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """Block keys of every set (own class and the next), and where each set's
-    begin.  The lowest bit of a key tells that the block is empty."""
+    """Keys of every set's blocks that hold something (own class and the next),
+    and where each set's begin.  A set with no more such blocks than n-grams in
+    which it may differ from a set of the class has its prefix as keys too."""
     n = np.diff(of)
     own = b.size_class(np.maximum(n, 1))
     ok = (n > 0) & b.linkable(n)
     content, spot = mix(sets ^ STEP[11]), mix(sets ^ STEP[13]) >> U(32)
     row = np.repeat(np.arange(len(n)), n)
-    parts, counts = [], []
+    parts, short = [], np.zeros(len(n), bool)
     for step in (0, 1):
         tag = own + step
         m = np.where(ok, b.blocks[tag], 0)
@@ -111,11 +119,16 @@ def _keys(sets: np.ndarray, of: np.ndarray, b: Bounds) -> tuple[np.ndarray, np.n
         who = np.repeat(np.arange(len(n)), m)
         place = (np.arange(len(total)) - begin[who]).astype(np.uint64)
         key = mix(total + mix(place * STEP[17] + tag[who].astype(np.uint64) * STEP[19]))
-        parts.append((who, key & ~U(1) | empty.astype(np.uint64)))
-        counts.append(m)
+        parts.append((who[~empty], key[~empty]))
+        other = np.minimum(n * 100 // b.p, b.low[tag + 1] - 1)
+        short |= ok & (np.bincount(who[~empty], minlength=len(n)) <= b.most(n + other))
+    # Linked sets share ceil(p * n / 100) n-grams at least, so their prefixes meet.
+    prefix = np.where(short, n + 1 + -b.p * n // 100, 0)
+    first = np.arange(len(sets)) - of[:-1][row] < prefix[row]
+    parts.append((row[first], mix(content[first] ^ STEP[29])))
     who = np.concatenate([p[0] for p in parts])
     key = np.concatenate([p[1] for p in parts])
-    return key[np.argsort(who, kind="stable")], np.concatenate([[0], np.cumsum(counts[0] + counts[1])])
+    return key[np.argsort(who, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(n)))])
 
 
 def _sketches(sets: np.ndarray, of: np.ndarray, b: Bounds) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +202,7 @@ def _deal(buckets: int):
     return run
 
 
-RUNS = "block long, node long, pivot long, size long, empty boolean"
+RUNS = "block long, node long, pivot long, size long"
 
 
 def _runs(table: pa.Table) -> pa.Table:
@@ -216,7 +229,7 @@ def _runs(table: pa.Table) -> pa.Table:
     keep = size > 1
     return pa.table({"block": (key[keep].astype(np.int64) | np.int64(bucket) << 32),
                      "node": node[keep].view(np.int64), "pivot": pivot[keep].view(np.int64),
-                     "size": size[keep].astype(np.int64), "empty": (key[keep] & 1).astype(bool)})
+                     "size": size[keep].astype(np.int64)})
 
 
 # ------------------------------------------------------------ discarding
@@ -241,6 +254,20 @@ def _discard(percent: int):
     return run
 
 
+def _pieces(members: DataFrame) -> DataFrame:
+    """Members of blocks once for every chunk that they are compared with, and
+    the ``unit`` (task) of each: units by the rows that this makes."""
+    chunks = members.select("pivot", "node").distinct().groupBy("pivot").agg(
+        F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    members = members.join(chunks, "pivot")
+    units = (members.agg(F.sum("chunks")).first()[0] or 0) // UNIT_ROWS + 16
+    return (members.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select("pivot", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                    "block", "chunk", "node", "component", "n", "sketch")
+            .withColumn("unit", F.pmod(F.xxhash64("pivot", "low", "high"), F.lit(units))))
+
+
 def _cells(percent: int):
     """Cells between members of a block that are in different components.  A
     task holds all blocks that share a pivot, for two chunks of members, so a
@@ -361,7 +388,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
         remove(spark, f"{path}/grams_{name}")
         return out
 
-    star = runs.where("not empty and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    star = runs.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     star = links_of(stored(discard(star), f"{path}/star"), "star")
     found = stored(components(star, f"{path}/star_components"), f"{path}/star_found")
     release(spark)
@@ -371,15 +398,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
         "component", F.coalesce("component", "node"))
     mixed = known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = stored(known.join(mixed.select("block"), "block").join(members, "node"), f"{path}/open")
-    chunks = open_.select("pivot", "node").distinct().groupBy("pivot").agg(
-        F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    dealt = (open_.join(chunks, "pivot").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("pivot", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-                     "block", "chunk", "node", "component", "n", "sketch"))
-    units = open_.count() // 20_000 + 16
-    cells = (dealt.withColumn("unit", F.pmod(F.xxhash64("pivot", "low", "high"), F.lit(units)))
-             .groupBy("unit").applyInArrow(_cells(percent), PAIR).distinct())
+    cells = _pieces(open_).groupBy("unit").applyInArrow(_cells(percent), PAIR).distinct()
     rest = links_of(stored(cells, f"{path}/cells"), "rest")
     remove(spark, f"{path}/open")
     found = components(star.unionAll(rest), f"{path}/components")

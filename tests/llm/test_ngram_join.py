@@ -88,3 +88,35 @@ def test_sets_of_rows_without_id_are_linked(spark):
     rows = [(None, a), (None, a.replace("a50 ", "x ")), (3, a.replace("a50 ", "x ").replace("a10 ", "y "))]
     got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
     assert [r.component_id for r in got] == [3, 3, 3]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_keys_of_linked_sets_meet_and_of_others_do_not(percent):
+    rng = np.random.default_rng(7)
+    b = ngram_join.Bounds(percent)
+
+    def keys(*sets):
+        flat, of = ngram_join._keys(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), b)
+        return [set(flat[x:y].tolist()) for x, y in zip(of, of[1:])]
+
+    for _ in range(1500):
+        n = int(rng.integers(5, 90))
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        gone, more = rng.integers(0, n // 5 + 2, 2)
+        y = np.union1d(x[gone:], rng.integers(0, 1 << 63, more, dtype=np.uint64))
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= percent * (len(x) + len(y) - both) and len(np.setxor1d(x, y)):
+            kx, ky = keys(x, y)
+            assert kx & ky
+    unrelated = [np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(300)]
+    every = [k for ks in keys(*unrelated) for k in ks]
+    assert len(every) == len(set(every))
+
+
+def test_tasks_get_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK", 16)
+    monkeypatch.setattr(ngram_join, "UNIT_ROWS", 200)
+    members = spark.range(600).selectExpr("1L as block", "0L as pivot", "id as node", "id as component", "60L as n",
+                                          "cast('' as binary) as sketch")
+    sizes = [r["count"] for r in ngram_join._pieces(members).groupBy("unit").count().collect()]
+    assert sum(sizes) == 600 * 38 and max(sizes) < 800
