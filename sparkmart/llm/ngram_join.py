@@ -24,7 +24,9 @@ with its transpose, cut into blocks, and exact:
    chunk-by-chunk pieces inside tasks that emit surviving cells alone.
 
 Result: one row per input row, ``doc_id, n_shingles, component_id`` (smallest
-doc_id reachable by links, itself included).
+doc_id reachable by links, itself included).  Components only: pairs inside one
+are not all compared, so neither linked pairs nor a document's number of links
+are available.
 
 Edge cases: null or empty texts and texts without words have 0 n-grams and
 link with nothing (component_id is their own doc_id); fewer words than ``k``
