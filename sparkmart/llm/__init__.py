@@ -2,8 +2,8 @@
 imports this package; ``QUERIES`` and ``ORACLE_SQL`` are what the entry
 module registers."""
 
-from sparkmart.llm import (bpe, embedding_dedup, hard_negatives, mixing, ngram_join, quality_classifier, quality_rules,
-                           suffix_dedup, token_files, toxicity, warc)
+from sparkmart.llm import (bpe, embedding_dedup, hard_negatives, lexical_search, mixing, ngram_join, quality_classifier,
+                           quality_rules, suffix_dedup, token_files, toxicity, warc)
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -17,7 +17,9 @@ QUERIES = {
     "op9_token_files": token_files.op9_token_files,
     "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE,
+                              "op12_lexical_search": lexical_search.ORACLE}
