@@ -3,7 +3,7 @@ imports this package; ``QUERIES`` and ``ORACLE_SQL`` are what the entry
 module registers."""
 
 from sparkmart.llm import (bpe, embedding_dedup, hard_negatives, lexical_search, mixing, ngram_join, quality_classifier,
-                           quality_rules, suffix_dedup, token_files, toxicity, warc)
+                           quality_rules, sentencepiece_bpe, suffix_dedup, token_files, toxicity, warc)
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_sentencepiece_round_trip": sentencepiece_bpe.op13_sentencepiece_round_trip,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
