@@ -60,19 +60,40 @@ def insert_ignore(incoming: DataFrame, existing: DataFrame | None,
     return fresh.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def dedupe_facts_stream(stream: DataFrame, keys: Sequence[str], event_time: str | None = None,
+                        within: str | None = None) -> DataFrame:
+    """The first row per key of a stream; repeats inside a micro-batch and in
+    later ones are dropped, after a restart too (keyed state in the checkpoint).
+
+    Without ``within`` every key is remembered for good (exact).  With it, a key
+    is forgotten that long after its row by ``event_time``, which bounds the
+    state; repeats that come later pass, and the loader's insert-if-absent
+    against the stored keys stops them.  A null in a key counts as a
+    value.  Inside a micro-batch rows of one file go by file
+    order; which of two files comes first is not defined.
+    """
+    if within is None:
+        return stream.dropDuplicates(list(keys))
+    if event_time is None:
+        raise ValueError("within needs an event_time column")
+    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
+
+
 def insert_ignore_batch(incoming: DataFrame, existing: DataFrame, keys: Sequence[str],
-                        first_key_range: tuple) -> DataFrame:
+                        first_key_range: tuple | None = None) -> DataFrame:
     """``insert_ignore`` for a batch, one row per key, against a large stored
     table.
 
     The stored keys are semi-joined to the batch's: a range filter on the
-    first key (the batch's min..max) lets Parquet statistics skip row groups,
+    first key (the batch's min..max, if given) lets Parquet statistics skip row groups,
     and the batch is the small side, which Spark broadcasts while it is under
     the session's threshold, so the stored side isn't shuffled then.
     """
-    lo, hi = first_key_range
-    if lo is None:
-        return incoming
-    stored = (existing.where(F.col(keys[0]).between(lo, hi)).select(*keys)
+    if first_key_range is not None:
+        lo, hi = first_key_range
+        if lo is None:
+            return incoming
+        existing = existing.where(F.col(keys[0]).between(lo, hi))
+    stored = (existing.select(*keys)
               .join(incoming.select(*keys), list(keys), "left_semi"))
     return incoming.join(stored, list(keys), "left_anti")

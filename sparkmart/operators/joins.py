@@ -29,6 +29,21 @@ def enrich_product(df: DataFrame, lookup: DataFrame, how: str = "inner") -> Data
     return df.join(lookup, "product_id", how)
 
 
+def enrich_product_as_of(df: DataFrame, versions: DataFrame, at: str = "arrival_ts") -> DataFrame:
+    """Attach the price, store and supplier that held when the transaction
+    arrived: the last of ``versions (product_id, since, src_pos, price, store_id,
+    supplier_id)`` with ``since`` not after ``at``.  Transactions of products
+    unknown at that time stay with a null ``price``.
+
+    Versions come as one sorted array per product, so a transaction meets one
+    row whatever the number of versions."""
+    fields = ["since", "src_pos", "price", "store_id", "supplier_id"]
+    lists = versions.groupBy("product_id").agg(F.sort_array(F.collect_set(F.struct(*fields))).alias("__versions"))
+    held = F.filter("__versions", lambda v: v.since <= F.col(at))
+    out = df.join(lists, "product_id", "left").withColumn("__held", F.try_element_at(held, F.lit(-1)))
+    return out.select(*df.columns, *[F.col(f"__held.{c}").alias(c) for c in fields[2:]])
+
+
 def enrich_date(df: DataFrame, dim_date: DataFrame, date_col: str = "sale_date", how: str = "inner") -> DataFrame:
     """Attach ``date_id``; dates outside the calendar drop out, or with
     ``how="left"`` stay without one."""

@@ -109,6 +109,21 @@ def _repeated(name: str, label: str, relation: str, keys: str) -> str:
 TOP_BY_DAY_TYPE = best("year month product_id day_type", "year month day_type", "total_revenue", "revenue_rank", "y = 1997")
 STORE_QUARTERS = by("store_name year quarter", "total_quarterly_sales")
 
+# The replayed feed: each line with its arrival, its customer's (none in one
+# class of ten), and the price that held then (a seventh of the parts is new and
+# a fifth costs twice as much from 1998 on).
+REPLAYED = """SELECT *, arrival >= TIMESTAMP '1998-01-01' AS changed, buyer_key % 10 <> 9 AND
+       first_day + INTERVAL (CAST(buyer_key % 10 * 200 AS INTEGER)) DAY <= arrival + INTERVAL 30 DAY AS in_time
+FROM (SELECT *, day + INTERVAL (CAST(l_orderkey % 24 AS INTEGER)) HOUR AS arrival FROM line), buyer, offer, span
+WHERE buyer_key = o_custkey AND part_key = l_partkey"""
+DROPPED = """SELECT CAST(l_orderkey AS BIGINT) AS order_id, CAST(buyer_key AS BIGINT) AS customer_id, code AS product_id,
+       pieces AS quantity, day AS sale_date, arrival AS arrival_ts"""
+REPLAYED_FACTS = f"""SELECT CAST(l_orderkey AS BIGINT) AS order_id, CAST(buyer_key AS BIGINT) AS customer_id, code AS product_id,
+       CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_id, CAST(shop_key AS BIGINT) AS store_id,
+       CAST(maker_key AS BIGINT) AS supplier_id, pieces AS quantity,
+       CAST(CASE WHEN changed AND part_key % 5 = 0 THEN 2 ELSE 1 END * list_price * pieces AS DECIMAL(12,2)) AS revenue
+FROM ({REPLAYED}) WHERE turn = 1 AND in_time AND (changed OR part_key % 7 <> 0)"""
+
 QUERIES: dict[str, str] = {
     "q01_top_products_daytype_month": TOP_BY_DAY_TYPE,
     "q02_demographics_by_city": by("city_category gender age", "total_purchase_amount"),
@@ -187,6 +202,15 @@ FROM line WHERE l_orderkey % 50 IN (1, 2, 3)""",
         f"FROM ({TABLES[t]})" for t, c, n in LENGTHS),
     "stream_hybrid_join": TABLES["fact_sales"],
     "stream_store_quarterly": STORE_QUARTERS,
+    "stream_replay_facts": REPLAYED_FACTS,
+    "stream_replay_dim_customer": f"{TABLES['dim_customer']} SEMI JOIN ({REPLAYED_FACTS}) f ON f.customer_id = buyer_key",
+    "stream_replay_dim_product": """SELECT code AS product_id, kind AS product_category,
+       CAST(CASE WHEN part_key % 35 = 0 THEN 2 ELSE 1 END * list_price AS DECIMAL(10,2)) AS price FROM offer""",
+    "stream_expired": f"{DROPPED}, 'customer_not_seen_within_ttl' AS reason FROM ({REPLAYED}) WHERE NOT in_time",
+    "stream_rejects": f"{DROPPED}, 'unknown_product' AS reason FROM ({REPLAYED}) WHERE in_time AND NOT changed AND part_key % 7 = 0",
+    "stream_replay_balance": f"""SELECT CASE WHEN NOT in_time THEN 'expired' WHEN changed OR part_key % 7 <> 0 THEN 'fact'
+       ELSE 'rejected' END AS outcome, count(*) AS transactions FROM ({REPLAYED}) WHERE turn = 1 GROUP BY ALL""",
+    "stream_dedupe_facts": TABLES["fact_sales"],
 }
 
 

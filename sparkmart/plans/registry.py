@@ -140,4 +140,7 @@ QUERIES.update({
     "check_length_violations": length_violations,
     "stream_hybrid_join": _streaming("stream_hybrid_join"),
     "stream_store_quarterly": _streaming("stream_store_quarterly"),
+    **{name: _streaming(name) for name in [
+        "stream_replay_facts", "stream_replay_dim_customer", "stream_replay_dim_product", "stream_expired", "stream_rejects",
+        "stream_replay_balance", "stream_dedupe_facts"]},
 })

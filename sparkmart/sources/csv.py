@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart import schema
 
@@ -22,9 +23,8 @@ def with_source_position(df: DataFrame, fmt: str = "csv", streaming: bool = Fals
 
     Parquet exposes each row's index in its file.  Batch CSV uses the split
     start and an id that increases within the split (the id alone does not
-    order rows across files).  A streaming CSV source has neither row index
-    nor ordered ids, so its position is the file and split only; rows of one
-    split then tie and later tie-breaks use the row's values.
+    order rows across files).  A streaming CSV source knows the file and split
+    only; ``batch_position`` adds the line order inside each micro-batch.
     """
     fields = [F.col("_metadata.file_path").alias("file")]
     if fmt == "parquet":
@@ -36,6 +36,17 @@ def with_source_position(df: DataFrame, fmt: str = "csv", streaming: bool = Fals
     return df.withColumn(POS, F.struct(*fields))
 
 
+def batch_position(batch: DataFrame) -> DataFrame:
+    """Complete ``src_pos`` of a micro-batch that comes straight from file
+    sources: ids increase along each split, so file, split and id give the
+    order of the file's lines.  (Parquet rows carry their index already.)"""
+    has = batch.schema[POS].dataType.names
+    row = F.col(f"{POS}.row") if "row" in has else F.lit(None).cast("long")
+    block = F.col(f"{POS}.block") if "block" in has else F.lit(0).cast("long")
+    return batch.withColumn(POS, F.struct(F.col(f"{POS}.file").alias("file"), block.alias("block"),
+                                          F.coalesce(row, F.monotonically_increasing_id()).alias("row")))
+
+
 def _read(spark: SparkSession, path: str, sch) -> DataFrame:
     """Headed CSV read as text; columns are taken by header name, so their
     order in the file and any extra columns do not matter.  A missing
@@ -61,32 +72,44 @@ def read_transactions_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, path: str, sch, fmt: str,
-            max_files_per_trigger: int | None) -> DataFrame:
+            max_files_per_trigger: int | None, arrival: str | None) -> DataFrame:
+    if arrival:
+        sch = T.StructType([*sch.fields, T.StructField(arrival, T.StringType())])
     reader = spark.readStream.schema(sch)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
     df = with_source_position(df, fmt, streaming=True)
-    return df.withColumn("arrival_ts", F.current_timestamp())
+    if not arrival:
+        return df.withColumn("arrival_ts", F.current_timestamp())
+    return df.withColumn("arrival_ts", F.coalesce(F.col(arrival).try_cast("timestamp"), F.current_timestamp())).drop(arrival)
 
 
 def read_transactions_stream(spark: SparkSession, path: str,
                              max_files_per_trigger: int | None = None,
-                             fmt: str = "csv") -> DataFrame:
+                             fmt: str = "csv", arrival: str | None = None) -> DataFrame:
     """Transactions arriving as files in ``path`` (CSV, or Parquet with the
     same text columns).
 
     ``maxFilesPerTrigger`` bounds each micro-batch (the bounded intake buffer
-    of a stream reader); ``arrival_ts`` stamps processing time.
+    of a stream reader); ``arrival_ts`` stamps processing time, or is read from
+    the feed's column ``arrival``, so that a stored feed replays as it arrived.
     """
-    return _stream(spark, path, schema.TRANSACTION_CSV, fmt, max_files_per_trigger)
+    return _stream(spark, path, schema.TRANSACTION_CSV, fmt, max_files_per_trigger, arrival)
 
 
 def read_customer_stream(spark: SparkSession, path: str,
                          max_files_per_trigger: int | None = None,
-                         fmt: str = "csv") -> DataFrame:
+                         fmt: str = "csv", arrival: str | None = None) -> DataFrame:
     """Customer master rows arriving as files (late master data)."""
-    return _stream(spark, path, schema.CUSTOMER_CSV, fmt, max_files_per_trigger)
+    return _stream(spark, path, schema.CUSTOMER_CSV, fmt, max_files_per_trigger, arrival)
+
+
+def read_product_stream(spark: SparkSession, path: str,
+                        max_files_per_trigger: int | None = None,
+                        fmt: str = "csv", arrival: str | None = None) -> DataFrame:
+    """Product master rows arriving as files (new products, price changes)."""
+    return _stream(spark, path, schema.PRODUCT_CSV, fmt, max_files_per_trigger, arrival)
 
 
 def write_text_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -38,6 +38,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a name that isn't taken, in one step."""
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[1]):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A star table as stored; empty while nothing was written."""
     fields = list(schema.STAR_TABLES[name].fields)

@@ -1,128 +1,219 @@
 """Streaming transaction -> customer join with a waiting TTL, and its loader.
 
-A transaction waits for its customer's master row for up to ``ttl`` after its
-own arrival.  This is a stream-stream left outer equi-join on the customer
-key with the one-sided time bound
-
-    customer.arrival_ts <= transaction.arrival_ts + ttl
-
-Both sides are stamped with processing time on arrival and carry a
-watermark, so Spark keeps waiting transactions in its state store only until
-the watermark passes ``arrival + ttl``; then they come out with a NULL
-customer side (dead letters).  A customer row can match any later
-transaction, so the customer side is never evicted: it plays the part of
-the re-scanned master file.  ``spark.sql.streaming.multipleWatermarkPolicy``
-must be ``max`` so that an idle customer stream does not stop expiry.
-
-The loader (``foreachBatch``) tags every row with the product lookup (loaded
-once at start, like the product dimensions) and the calendar key: facts go to
-the warehouse with insert-if-absent on every table, all other rows to rejects
-or dead letters by epoch, so replaying a micro-batch after a failure adds
-nothing and no row gets lost.
+A transaction waits for its customer's master row for up to ``ttl`` after its own
+arrival, and meets it once.  Two streaming queries do this:
+
+1. *Probe.*  Each micro-batch of transactions, customers and products first adds
+   the master rows to the stored masters (a customer's first row, every version
+   of a product), then joins its transactions with that snapshot, restricted to
+   the batch's keys.  Matches are loaded at once.  Misses are written out.
+2. *Wait.*  Misses and customers new to the master, read as two streams, meet in a
+   stream-stream left outer join bounded from both sides:
+
+       wait_ts - disorder <= customer's c_ts <= wait_ts + ttl
+
+   A miss stays in the state store until its customer comes or the watermark
+   passes ``wait_ts + ttl`` (then it comes out with a null customer: a dead
+   letter); a customer is forgotten once no earlier miss can come.  The master
+   itself is never in the state.
+
+Arrival is processing time, or a column of the feed, which replays a stored feed
+as it arrived.  Arrivals may be out of order, inside a source or between sources,
+by at most ``disorder``; whatever comes later still waits from the watermark on,
+and nothing is dropped as late.  The probe ends every micro-batch with a *tick* in
+both folders, a row that only carries the clock, so an idle customer stream
+doesn't stop expiry.  A match must also satisfy ``c_arrival_ts <= arrival_ts +
+ttl``, whichever of the two queries finds it.
+
+Files of a micro-batch appear at once (written aside, then renamed, as Spark does
+in its own checkpoints), and only once: a replayed micro-batch finds them there.
+Facts and dimensions are insert-if-absent, everything else is kept by epoch with
+the reason why it is no fact, so a replay adds nothing and no row gets lost.
 """
 
 from __future__ import annotations
 
+import hashlib
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart import schema
 from sparkmart.operators import dims
-from sparkmart.operators.dedupe import first_by, insert_ignore, insert_ignore_batch
-from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
+from sparkmart.operators.clean import clean_customers, clean_products, clean_transactions
+from sparkmart.operators.dedupe import first_by, insert_ignore_batch
+from sparkmart.operators.joins import enrich_date, enrich_product_as_of, with_revenue
 from sparkmart.plans.etl import FACT_COLS, with_partition_column
-from sparkmart.sources.csv import POS
-from sparkmart.sources.warehouse import read_table, table_path
+from sparkmart.sources.csv import POS, batch_position
+from sparkmart.sources.warehouse import make_folder, path_exists, read_table, rename, table_path
 
 DEFAULT_TTL = "24 hours"
+DEFAULT_DISORDER = "1 second"
 C_ARRIVAL = "c_arrival_ts"
+#: Stored masters and misses under the warehouse root: <name>/feed=F/epoch=N.
+CUSTOMERS, PRODUCTS, MISSES = "_customers", "_products", "_misses"
+#: Since when a master row holds that was there before the stream.
+ALWAYS = "TIMESTAMP '0001-01-01 00:00:00'"
 
+_POS_TYPE = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()),
+                          T.StructField("row", T.LongType())])
+_ATTRS = [f for f in schema.DIM_CUSTOMER.fields if f.name in dims.CUSTOMER_ATTRS]
+CUSTOMER_ROWS = T.StructType([T.StructField("c_customer_id", T.LongType()), *_ATTRS, T.StructField("c_pos", _POS_TYPE),
+                              T.StructField(C_ARRIVAL, T.TimestampType()), T.StructField("c_ts", T.TimestampType()),
+                              T.StructField("c_tick", T.BooleanType())])
+MISS_ROWS = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+                          T.StructField("product_id", T.StringType()), T.StructField("quantity", T.IntegerType()),
+                          T.StructField("sale_date", T.DateType()), T.StructField(POS, _POS_TYPE),
+                          T.StructField("arrival_ts", T.TimestampType()), T.StructField("wait_ts", T.TimestampType()),
+                          T.StructField("tick", T.BooleanType())])
+PRODUCT_ROWS = T.StructType([T.StructField("product_id", T.StringType()), T.StructField("since", T.TimestampType()),
+                             T.StructField(POS, _POS_TYPE), T.StructField("price", T.DoubleType()),
+                             T.StructField("store_id", T.LongType()), T.StructField("supplier_id", T.LongType())])
+_PART = [T.StructField("feed", T.StringType()), T.StructField("epoch", T.LongType())]
 
-def hybrid_join_stream(transactions: DataFrame, customers: DataFrame,
-                       ttl: str = DEFAULT_TTL) -> DataFrame:
-    """Left outer stream-stream join; ``matched`` tells hits from expired rows.
 
-    ``transactions``: typed stream with ``arrival_ts``; ``customers``: typed
-    customer stream with ``arrival_ts``.
-    """
-    t = transactions.withWatermark("arrival_ts", "0 seconds")
-    c = (customers.select(
-            F.col("customer_id").alias("c_customer_id"),
-            *[F.col(a) for a in dims.CUSTOMER_ATTRS],
-            F.col(POS).alias("c_pos"),
-            F.col("arrival_ts").alias(C_ARRIVAL))
-         .withWatermark(C_ARRIVAL, "0 seconds"))
-    cond = ((F.col("customer_id") == F.col("c_customer_id"))
-            & (F.col(C_ARRIVAL) <= F.col("arrival_ts") + F.expr(f"INTERVAL {ttl}")))
-    return (t.join(c, cond, "leftOuter")
-            .withColumn("matched", F.col("c_customer_id").isNotNull()))
+def feed_name(checkpoint: str) -> str:
+    """Name of a feed's folders: a checkpoint counts its own epochs."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def preload_products(spark: SparkSession, root: str, products: DataFrame) -> None:
-    """Load the product-side dimensions and the product lookup once, before
-    the stream starts (the reference loads its product master at start-up).
+def folder(root: str, name: str, feed: str, epoch: int | None = None) -> str:
+    base = f"{table_path(root, name)}/feed={feed}"
+    return base if epoch is None else f"{base}/epoch={epoch}"
 
-    ``products``: typed product master with ``src_pos``.  Dimensions get
-    insert-if-absent; the lookup (last row per product: price, store,
-    supplier) is rewritten.
-    """
-    for name, rows, keys, order in [
-        ("dim_store", dims.extract_stores(products), ["store_id"], None),
-        ("dim_supplier", dims.extract_suppliers(products), ["supplier_id"], None),
-        ("dim_product", products.withColumn("price", F.col("price").try_cast("decimal(10,2)")),
-         ["product_id"], POS),
-    ]:
-        cols = [f.name for f in schema.STAR_TABLES[name].fields]
-        insert_ignore(rows, read_table(spark, root, name), keys, order, cols).write.mode("append").parquet(table_path(root, name))
-    dims.product_lookup(products).write.mode("overwrite").parquet(table_path(root, LOOKUP))
 
+def write_once(df: DataFrame, path: str) -> None:
+    """Write ``df`` to ``path`` so that it appears whole, unless it is there: a
+    replay leaves what other queries may have read."""
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        return
+    parent, name = path.rsplit("/", 1)
+    aside = f"{parent}/.writing-{name}"
+    df.write.mode("overwrite").parquet(aside)
+    rename(spark, aside, path)
 
-LOOKUP = "_product_lookup"
 
+def stored_rows(spark: SparkSession, root: str, name: str, rows: T.StructType) -> DataFrame:
+    """A stored master with ``feed`` and ``epoch``; empty while there is none."""
+    sch = T.StructType([*rows.fields, *_PART])
+    path = table_path(root, name)
+    return spark.read.schema(sch).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], sch)
 
-DROPPED = ["order_id", "customer_id", "product_id", "quantity", "sale_date", POS, "reason"]
 
+# ------------------------------------------------------------------ waiting
+
+def hybrid_join_stream(misses: DataFrame, customers: DataFrame, ttl: str = DEFAULT_TTL,
+                       disorder: str = DEFAULT_DISORDER) -> DataFrame:
+    """Left outer stream-stream join of waiting transactions (``MISS_ROWS``)
+    with the customers that came after them (``CUSTOMER_ROWS``, one row per
+    customer); ``matched`` tells hits from expired rows.  Ticks move the
+    watermark and go no further."""
+    # The filters read the watermark's column (no tick is that old), so they stay
+    # above the operator that observes it.
+    old = F.expr(ALWAYS)
+    t = misses.withWatermark("wait_ts", disorder).where(~F.col("tick") | (F.col("wait_ts") < old))
+    c = customers.withWatermark("c_ts", disorder).where(~F.col("c_tick") | (F.col("c_ts") < old))
+    wait, slack = F.expr(f"INTERVAL {ttl}"), F.expr(f"INTERVAL {disorder}")
+    cond = ((F.col("customer_id") == F.col("c_customer_id"))
+            & (F.col("c_ts") <= F.col("wait_ts") + wait) & (F.col("c_ts") >= F.col("wait_ts") - slack)
+            & (F.col(C_ARRIVAL) <= F.col("arrival_ts") + wait))
+    return (t.drop("tick").join(c.drop("c_tick"), cond, "leftOuter")
+            .withColumn("matched", F.col("c_customer_id").isNotNull()))
+
+
+def waiting_stream(spark: SparkSession, root: str, feed: str, ttl: str, disorder: str) -> DataFrame:
+    """The second query's rows: what the probe of this feed left waiting."""
+    def read(name: str, rows: T.StructType) -> DataFrame:
+        path = folder(root, name, feed)
+        make_folder(spark, path)
+        return spark.readStream.schema(rows).option("recursiveFileLookup", True).parquet(path)
+
+    return hybrid_join_stream(read(MISSES, MISS_ROWS), read(CUSTOMERS, CUSTOMER_ROWS), ttl, disorder)
+
+
+# ------------------------------------------------------------------ loading
 
 class EpochWriter:
     """``foreachBatch`` sink: each micro-batch overwrites its own folder, so a
     replay adds nothing."""
 
-    def __init__(self, root: str, name: str):
-        self.path = f"{table_path(root, name)}"
+    def __init__(self, root: str, name: str, tag: str = ""):
+        self.path, self.tag = table_path(root, name), tag
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.path}/epoch={self.tag}{epoch_id}")
+
+
+DROPPED = ["order_id", "customer_id", "product_id", "quantity", "sale_date", "arrival_ts", POS, "reason"]
+
+
+def insert_products(spark: SparkSession, root: str, products: DataFrame, order: str) -> None:
+    """Product, store and supplier rows that are new to the dimensions; a
+    product's first row stays."""
+    for name, rows, keys in [
+        ("dim_store", dims.extract_stores(products), ["store_id"]),
+        ("dim_supplier", dims.extract_suppliers(products), ["supplier_id"]),
+        ("dim_product", first_by(products.withColumn("price", F.col("price").try_cast("decimal(10,2)")), ["product_id"], order), ["product_id"]),
+    ]:
+        cols = [f.name for f in schema.STAR_TABLES[name].fields]
+        new = insert_ignore_batch(rows.select(*cols), read_table(spark, root, name), keys)
+        new.write.mode("append").parquet(table_path(root, name))
+
+
+def preload_products(spark: SparkSession, root: str, products: DataFrame) -> None:
+    """Load a product master before the stream starts (typed, with ``src_pos``).
+    The lookup (last row per product) replaces what was preloaded before; the
+    dimensions keep the rows they have."""
+    insert_products(spark, root, products, POS)
+    lookup = dims.product_lookup(products).withColumn("since", F.expr(ALWAYS)).withColumn(POS, F.lit(None).cast(_POS_TYPE))
+    lookup.select(*PRODUCT_ROWS.names).write.mode("overwrite").parquet(folder(root, PRODUCTS, "preload", -1))
+
+
+def add_products(spark: SparkSession, root: str, products: DataFrame, feed: str, epoch: int) -> None:
+    """Product rows that arrive with the stream (typed, with ``src_pos`` and
+    ``since``): new dimension rows, and versions.  ``dim_product`` keeps the first
+    price; facts are priced by the version that held at their arrival."""
+    insert_products(spark, root, products.withColumn("__order", F.struct("since", POS)), "__order")
+    write_once(products.select(*PRODUCT_ROWS.names), folder(root, PRODUCTS, feed, epoch))
 
 
 class WarehouseLoader:
     """``foreachBatch`` sink: joined micro-batch -> facts, the customers they
     matched, and every other row with the reason why it isn't a fact.
 
-    Product-side dimensions and the lookup are loaded by ``preload_products``
-    before the stream starts.  Expired rows go to ``dead_letters``, rows with an
-    unknown product, a date outside the calendar or too large a revenue to
-    ``rejects/transactions_load``; both per epoch.  Matched rows insert their
-    customer if absent (dimension before fact), then themselves, with
-    insert-if-absent on (order_id, product_id).
+    Expired rows go to ``dead_letters``, rows with an unknown product, a date
+    outside the calendar or too large a revenue to ``rejects/transactions_load``;
+    both per epoch.  Matched rows insert their customer if absent (dimension
+    before fact), then themselves, with insert-if-absent on (order_id,
+    product_id).  One loader at a time works on a root (``lock``), so the two
+    queries of a load can't both insert one key.
     """
 
-    def __init__(self, root: str):
-        self.root = root.rstrip("/")
+    def __init__(self, root: str, tag: str = "", lock: threading.Lock | None = None):
+        self.root, self.tag, self.lock = root.rstrip("/"), tag, lock or threading.Lock()
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        lookup = spark.read.parquet(table_path(self.root, LOOKUP)).withColumn("__product", F.lit(True))
+        batch = batch.persist()
+        batch.count()                       # the stateful plan runs once, though the rows are read twice below
+        versions = stored_rows(spark, self.root, PRODUCTS, PRODUCT_ROWS)
+        versions = versions.join(batch.select("product_id").distinct(), "product_id", "left_semi")
         cal = read_table(spark, self.root, "dim_date")
-        tagged = with_revenue(enrich_date(enrich_product(batch, lookup, "left"), cal, how="left"))
+        tagged = with_revenue(enrich_date(enrich_product_as_of(batch, versions), cal, how="left"))
         reason = (F.when(~F.col("matched"), F.lit("customer_not_seen_within_ttl"))
-                  .when(F.col("__product").isNull(), F.lit("unknown_product"))
+                  .when(F.col("price").isNull(), F.lit("unknown_product"))
                   .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))
                   .when(F.col("revenue").isNull(), F.lit("revenue_overflow")))
         tagged = tagged.withColumn("reason", reason).persist()
         try:
-            self._load(spark, tagged, epoch_id)
+            with self.lock:
+                self._load(spark, tagged, epoch_id)
         finally:
             tagged.unpersist()
+            batch.unpersist()
 
     def _insert(self, spark, rows: DataFrame, name: str, key_range, partition: str | None = None, transform=None) -> None:
         """First row per key, then insert-if-absent against the stored table."""
@@ -143,9 +234,10 @@ class WarehouseLoader:
             F.min("order_id").alias("o_lo"), F.max("order_id").alias("o_hi"),
             F.min("c_customer_id").alias("c_lo"), F.max("c_customer_id").alias("c_hi")).collect()}
         if "dead" in stats:
-            EpochWriter(self.root, "dead_letters")(tagged.where(~F.col("matched")).select(*DROPPED), epoch_id)
+            dead = tagged.where(~F.col("matched")).select(*DROPPED)
+            EpochWriter(self.root, "dead_letters", self.tag)(dead.orderBy("arrival_ts", POS), epoch_id)       # oldest first
         if "reject" in stats:
-            EpochWriter(self.root, "rejects/transactions_load")(
+            EpochWriter(self.root, "rejects/transactions_load", self.tag)(
                 tagged.where(F.col("matched") & F.col("reason").isNotNull()).select(*DROPPED), epoch_id)
         if "fact" not in stats:
             return
@@ -157,6 +249,114 @@ class WarehouseLoader:
                      schema.FACT_PARTITION, with_partition_column)
 
 
+# ------------------------------------------------------------------ probing
+
+def tagged_rows(stream: DataFrame, kind: str) -> DataFrame:
+    """A source's raw rows as one struct, so that several sources make one stream."""
+    raw = [c for c in stream.columns if c not in (POS, "arrival_ts")]
+    return stream.select(F.lit(kind).alias("kind"), F.struct(*[F.col(f"`{c}`") for c in raw]).alias(kind), POS, "arrival_ts")
+
+
+class Probe:
+    """``foreachBatch`` sink of the first query: raw rows of all sources."""
+
+    CLEAN = {"transactions": clean_transactions, "customers": clean_customers, "products": clean_products}
+
+    def __init__(self, root: str, feed: str, ttl: str, disorder: str, loader: WarehouseLoader):
+        self.root, self.feed, self.loader = root.rstrip("/"), feed, loader
+        self.ttl, self.disorder = F.expr(f"INTERVAL {ttl}"), F.expr(f"INTERVAL {disorder}")
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch_position(batch).persist()
+        try:
+            seen = {r["kind"]: r["top"] for r in rows.groupBy("kind").agg(F.max("arrival_ts").alias("top")).collect()}
+            before = self._clock(spark, epoch_id)
+            now = max([t for t in [before, *seen.values()] if t is not None], default=None)
+            if now is None:
+                return
+            good = {}
+            for kind, clean in self.CLEAN.items():
+                if kind in seen:
+                    good[kind], bad = clean(rows.where(F.col("kind") == kind).select(f"{kind}.*", POS, "arrival_ts"))
+                    EpochWriter(self.root, f"rejects/{kind}", self.loader.tag)(bad, epoch_id)
+            floor = F.lit(before).cast("timestamp") - self.disorder + F.expr("INTERVAL 1 millisecond")
+            if "products" in good:
+                add_products(spark, self.root, good["products"].withColumnRenamed("arrival_ts", "since"), self.feed, epoch_id)
+            self._customers(spark, good.get("customers"), floor, now, epoch_id)
+            self._transactions(spark, good.get("transactions"), floor, now, epoch_id)
+        finally:
+            rows.unpersist()
+
+    def _clock(self, spark: SparkSession, epoch_id: int):
+        """The latest arrival up to the epoch before."""
+        path = folder(self.root, MISSES, self.feed, epoch_id - 1)
+        if not path_exists(spark, path):
+            return None
+        return spark.read.schema(MISS_ROWS).parquet(path).where("tick").agg(F.max("wait_ts")).first()[0]
+
+    def _master(self, spark: SparkSession, epoch_id: int) -> DataFrame:
+        """Customers stored before this epoch, as ``CUSTOMER_ROWS``."""
+        rows = stored_rows(spark, self.root, CUSTOMERS, CUSTOMER_ROWS)
+        return rows.where(~F.col("c_tick") & ~((F.col("feed") == self.feed) & (F.col("epoch") >= epoch_id))).drop("feed", "epoch")
+
+    def _customers(self, spark: SparkSession, good: DataFrame | None, floor, now, epoch_id: int) -> None:
+        """Store the customers that are new, one row each: the first."""
+        path = folder(self.root, CUSTOMERS, self.feed, epoch_id)
+        if path_exists(spark, path):
+            return
+        # The join's null checks run below the watermark: a tick has a key.
+        tick = (spark.createDataFrame([(-1, now)], f"c_customer_id long, {C_ARRIVAL} timestamp")
+                .withColumn("c_ts", F.col(C_ARRIVAL)).withColumn("c_tick", F.lit(True)))
+        out = spark.createDataFrame([], CUSTOMER_ROWS).unionByName(tick, allowMissingColumns=True)
+        if good is not None:
+            first = first_by(good.withColumn("__order", F.struct("arrival_ts", POS)).withColumnRenamed(POS, "c_pos")
+                             .withColumnRenamed("arrival_ts", C_ARRIVAL).withColumnRenamed("customer_id", "c_customer_id"),
+                             ["c_customer_id"], "__order").persist()
+            lo, hi = first.agg(F.min("c_customer_id"), F.max("c_customer_id")).first()
+            new = insert_ignore_batch(first, self._master(spark, epoch_id), ["c_customer_id"], (lo, hi))
+            new = new.withColumn("c_ts", F.greatest(C_ARRIVAL, floor)).withColumn("c_tick", F.lit(False))
+            out = out.unionByName(new.select(*CUSTOMER_ROWS.names))
+            write_once(out, path)
+            first.unpersist()
+        else:
+            write_once(out, path)
+
+    def known(self, spark: SparkSession, keys: DataFrame, epoch_id: int) -> DataFrame:
+        """The stored customers of ``keys (customer_id)``, one row each: the
+        masters of this and other feeds (first arrival), else ``dim_customer``.
+        The keys are the small side, so the masters are not shuffled while
+        Spark can broadcast them."""
+        keys = keys.select(F.col("customer_id").alias("c_customer_id")).distinct()
+        rows = stored_rows(spark, self.root, CUSTOMERS, CUSTOMER_ROWS).where(
+            ~F.col("c_tick") & ~((F.col("feed") == self.feed) & (F.col("epoch") > epoch_id))).join(keys, "c_customer_id", "left_semi")
+        rows = rows.withColumn("__order", F.struct(C_ARRIVAL, "c_pos"))
+        mine = first_by(rows, ["c_customer_id"], "__order", ["c_customer_id", *dims.CUSTOMER_ATTRS, "c_pos", C_ARRIVAL])
+        dim = read_table(spark, self.root, "dim_customer").withColumnRenamed("customer_id", "c_customer_id")
+        dim = dim.join(keys, "c_customer_id", "left_semi").join(mine.select("c_customer_id"), "c_customer_id", "left_anti")
+        dim = dim.withColumn("c_pos", F.lit(None).cast(_POS_TYPE)).withColumn(C_ARRIVAL, F.expr(ALWAYS))
+        return mine.unionByName(dim.select(*mine.columns))
+
+    def _transactions(self, spark: SparkSession, good: DataFrame | None, floor, now, epoch_id: int) -> None:
+        tick = (spark.createDataFrame([(-1, now)], "customer_id long, arrival_ts timestamp")
+                .withColumn("wait_ts", F.col("arrival_ts")).withColumn("tick", F.lit(True)))
+        out = spark.createDataFrame([], MISS_ROWS).unionByName(tick, allowMissingColumns=True)
+        path = folder(self.root, MISSES, self.feed, epoch_id)
+        if good is None:
+            return write_once(out, path)
+        known = self.known(spark, good.select("customer_id"), epoch_id)
+        in_time = F.col(C_ARRIVAL) <= F.col("arrival_ts") + self.ttl
+        probed = good.join(known, (F.col("customer_id") == F.col("c_customer_id")) & in_time, "left")
+        probed = probed.withColumn("matched", F.col("c_customer_id").isNotNull()).persist()
+        try:
+            self.loader(probed.where("matched"), epoch_id)
+            misses = probed.where(~F.col("matched")).withColumn("tick", F.lit(False))
+            misses = misses.withColumn("wait_ts", F.greatest("arrival_ts", floor))
+            write_once(out.unionByName(misses.select(*MISS_ROWS.names)), path)
+        finally:
+            probed.unpersist()
+
+
 def ensure_dim_date(spark: SparkSession, root: str, calendar: DataFrame) -> None:
     """Populate the calendar only when the stored table is empty or absent."""
     if read_table(spark, root, "dim_date").isEmpty():

@@ -10,19 +10,24 @@ streaming the loaded fact files through a stateful aggregation.
 
 from __future__ import annotations
 
+import threading
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart import schema
-from sparkmart.operators.clean import clean_customers, clean_products, clean_transactions
+from sparkmart.operators.clean import clean_products
+from sparkmart.operators.dedupe import dedupe_facts_stream
 from sparkmart.plans.etl import FACT_COLS
 from sparkmart.plans.inputs import csv_path
 from sparkmart.sources import csv as csv_src
 from sparkmart.sources import testdata, warehouse
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.streaming.hybrid_join import (
-    DEFAULT_TTL, EpochWriter, WarehouseLoader, ensure_dim_date, hybrid_join_stream, preload_products,
+    DEFAULT_DISORDER, DEFAULT_TTL, Probe, WarehouseLoader, ensure_dim_date, feed_name, preload_products, tagged_rows,
+    waiting_stream,
 )
 
 FILES_PER_TRIGGER = 8
@@ -50,30 +55,45 @@ def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
 def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: str,
                       ttl: str = DEFAULT_TTL, files_per_trigger: int = FILES_PER_TRIGGER,
                       available_now: bool = True, processing_time: str | None = None,
-                      fmt: str = "parquet"):
+                      fmt: str = "parquet", arrival: str | None = None, disorder: str = DEFAULT_DISORDER):
     """Start the streaming load; returns a ``HybridLoad``.
 
     ``inbox`` holds arriving files in the raw text layout (``fmt`` = parquet or
     csv) in ``transactions/`` and ``customers/``, and the product master, loaded
     once before the stream: typed Parquet rows, or with csv a file or folder in
-    the raw layout.  Rows that the cleaners reject are written to
-    ``rejects/<source>`` by queries of their own.
+    the raw layout.  Product rows that come later arrive as files in
+    ``product_updates/``, also in the raw layout.  Rows that the cleaners reject
+    are written to ``rejects/<source>``.
+
+    Arrival is processing time, or the feed's column ``arrival``; see
+    ``hybrid_join`` for ``ttl`` and ``disorder``.  With ``available_now`` the two
+    queries run one after the other, else side by side.
 
-    The time limit needs the watermark policy ``max`` (an idle customer stream
-    must not stop expiry), so the queries run in a session of their own that
-    has it; the caller's settings stay."""
+    The ticks keep both streams' watermarks in step, so the least of the two
+    holds, and the queries run in a session of their own that says so; the
+    caller's settings stay."""
     spark = spark.newSession()
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     if fmt == "csv":
         base = csv_path(spark, inbox, "products")
         base = base if warehouse.path_exists(spark, base) else f"{inbox}/products"
-        products, bad = clean_products(csv_src.read_product_master(spark, base))
-        bad.write.mode("overwrite").parquet(f"{root}/rejects/products")
+        master, bad = (clean_products(csv_src.read_product_master(spark, base)) if warehouse.path_exists(spark, base)
+                       else (None, None))
+        if bad is not None:
+            bad.write.mode("overwrite").parquet(f"{root}/rejects/products/epoch=preload")
     else:
-        products = spark.read.parquet(f"{inbox}/products")
-    preload_products(spark, root, products)
-    tx, tx_bad = clean_transactions(csv_src.read_transactions_stream(spark, f"{inbox}/transactions", files_per_trigger, fmt))
-    cu, cu_bad = clean_customers(csv_src.read_customer_stream(spark, f"{inbox}/customers", files_per_trigger, fmt))
+        path = f"{inbox}/products"
+        master = spark.read.parquet(path) if warehouse.path_exists(spark, path) else None
+    if master is not None:
+        preload_products(spark, root, master)
+    sources = {"transactions": csv_src.read_transactions_stream, "customers": csv_src.read_customer_stream}
+    if warehouse.path_exists(spark, f"{inbox}/product_updates"):
+        sources["products"] = csv_src.read_product_stream
+    folders = {"products": "product_updates"}
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        tagged_rows(read(spark, f"{inbox}/{folders.get(kind, kind)}", files_per_trigger, fmt, arrival), kind)
+        for kind, read in sources.items()])
+    feed, lock = feed_name(checkpoint), threading.Lock()
 
     def start(rows: DataFrame, sink, name: str):
         writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint}/{name}")
@@ -83,20 +103,27 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
             writer = writer.trigger(processingTime=processing_time)
         return writer.start()
 
-    return HybridLoad([start(hybrid_join_stream(tx, cu, ttl), WarehouseLoader(root), "load"),
-                       start(tx_bad, EpochWriter(root, "rejects/transactions"), "bad_transactions"),
-                       start(cu_bad, EpochWriter(root, "rejects/customers"), "bad_customers")])
+    probe = Probe(root, feed, ttl, disorder, WarehouseLoader(root, f"{feed}-", lock))
+    wait = WarehouseLoader(root, f"{feed}-late-", lock)
+    return HybridLoad([lambda: start(rows, probe, "probe"),
+                       lambda: start(waiting_stream(spark, root, feed, ttl, disorder), wait, "wait")], in_turn=available_now)
 
 
 class HybridLoad:
-    """The queries of one streaming load."""
+    """The queries of one streaming load: the probe, and what waits."""
 
-    def __init__(self, queries):
-        self.queries = queries
+    def __init__(self, starts, in_turn: bool):
+        self.starts = list(starts)
+        self.queries = [self.starts.pop(0)()]
+        while self.starts and not in_turn:
+            self.queries.append(self.starts.pop(0)())
 
     def awaitTermination(self) -> None:
         for q in self.queries:
             q.awaitTermination()
+        while self.starts:
+            self.queries.append(self.starts.pop(0)())
+            self.queries[-1].awaitTermination()
 
     def processAllAvailable(self) -> None:
         for q in self.queries:
@@ -120,6 +147,123 @@ def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None
     return spark.read.parquet(warehouse.table_path(root, "fact_sales")).select(*FACT_COLS)
 
 
+# ------------------------------------------------------- a replayed feed
+
+#: The replay: customers come in ten classes, some late and one never, and every
+#: customer row is sent again later; a fifth of the products change their price
+#: in mid-feed and a seventh appear only then.
+REPLAY_TTL = "30 days"
+REPLAY_START, REPLAY_CHANGE, REPLAY_END = "1990-01-01", "1998-01-01", "2040-01-01"
+CLASS_DAYS, RESENT_DAYS = 200, 50
+#: Sources of the feed are not in step: one may be all there before another.
+REPLAY_DISORDER = "5000 days"
+
+
+def write_replay(spark: SparkSession, sf_dir: str, inbox: str) -> None:
+    """The test tables as a feed with arrival times (column ``arrived``)."""
+    first_day = testdata.calendar_range(spark, sf_dir)[0]
+    key = F.col("Customer_ID").cast("long")
+    came = F.date_add(F.lit(first_day).cast("date"), (key % 10 * CLASS_DAYS).cast("int"))
+    cust = testdata.customers_as_csv(testdata.customers(spark, sf_dir)).where(key % 10 != 9)
+    first = cust.withColumn("arrived", came.cast("string"))
+    again = cust.withColumn("Gender", F.lit("X")).withColumn("arrived", F.date_add(came, RESENT_DAYS).cast("string"))
+    tick = first.limit(1).select(F.lit("-5").alias("Customer_ID"), *[F.lit("0").alias(c) for c in first.columns[1:-1]],
+                                 F.lit(REPLAY_END).alias("arrived"))
+    csv_src.write_text_parquet(first.unionByName(again).unionByName(tick), f"{inbox}/customers")
+
+    prod = testdata.products(spark, sf_dir)
+    part = F.substring("product_id", 2, 8).cast("int")
+    old = prod.where(part % 7 != 0)
+    new = prod.where((part % 7 == 0) | (part % 5 == 0)).withColumn("price", F.when(part % 5 == 0, F.col("price") * 2).otherwise(F.col("price")))
+    updates = (testdata.products_as_csv(old).withColumn("arrived", F.lit(REPLAY_START))
+               .unionByName(testdata.products_as_csv(new).withColumn("arrived", F.lit(REPLAY_CHANGE))))
+    csv_src.write_text_parquet(updates, f"{inbox}/product_updates")
+
+    transactions = testdata.transactions(spark, sf_dir)
+    files = transactions.count() // FEED_ROWS + 1
+    feed = (transactions.repartitionByRange(files, "sale_date", "order_id", "product_id")
+            .sortWithinPartitions("sale_date", "order_id", "product_id", "src_pos"))
+    hour = F.make_interval(hours=(F.col("orderID").cast("long") % 24).cast("int"))
+    csv_src.write_text_parquet(testdata.transactions_as_csv(feed).withColumn(
+        "arrived", (F.col("date").cast("timestamp") + hour).cast("string")), f"{inbox}/transactions")
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> str:
+    """Root of the warehouse that the replayed feed has loaded (once)."""
+    base = warehouse.warehouse_root(spark, sf_dir, tag="replay")
+    root = f"{base}/warehouse"
+    if not warehouse.exists(spark, base):
+        write_replay(spark, sf_dir, f"{base}/inbox")
+        ensure_dim_date(spark, root, make_calendar(spark, *testdata.calendar_range(spark, sf_dir)))
+        q = start_hybrid_load(spark, f"{base}/inbox", root, f"{base}/checkpoints/load", ttl=REPLAY_TTL,
+                              arrival="arrived", disorder=REPLAY_DISORDER)
+        q.awaitTermination()
+        warehouse.complete(spark, base)
+    return root
+
+
+def stream_replay_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of the replayed feed: customers known or in time, prices as of arrival."""
+    return warehouse.read_table(spark, replayed(spark, sf_dir), "fact_sales").select(*FACT_COLS)
+
+
+def _dimension(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.read_table(spark, replayed(spark, sf_dir), name)
+    return run
+
+
+stream_replay_dim_customer = _dimension("dim_customer")
+stream_replay_dim_product = _dimension("dim_product")
+
+
+def stream_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions of the replayed feed whose customer didn't come in time."""
+    root = replayed(spark, sf_dir)
+    return spark.read.parquet(f"{root}/dead_letters").select(
+        "order_id", "customer_id", "product_id", "quantity", "sale_date", "arrival_ts", "reason")
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions of the replayed feed that met a customer but no product."""
+    root = replayed(spark, sf_dir)
+    return spark.read.parquet(f"{root}/rejects/transactions_load").select(
+        "order_id", "customer_id", "product_id", "quantity", "sale_date", "arrival_ts", "reason")
+
+
+def stream_replay_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction key of the feed ends in one way: how many of each."""
+    keys = lambda df, outcome: df.select("order_id", "product_id").distinct().withColumn("outcome", F.lit(outcome))
+    ends = (keys(stream_replay_facts(spark, sf_dir), "fact")
+            .unionByName(keys(stream_expired(spark, sf_dir), "expired"))
+            .unionByName(keys(stream_rejects(spark, sf_dir), "rejected")))
+    return ends.groupBy("outcome").agg(F.count("*").alias("transactions"))
+
+
+def stream_dedupe_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded facts sent three times, twice in one file and again in a later
+    one, through the keyed deduplication of the stream."""
+    base = warehouse.warehouse_root(spark, sf_dir, tag="dedupe")
+    out = f"{base}/facts"
+    if not warehouse.exists(spark, base):
+        facts = warehouse.star_for(spark, sf_dir).fact_sales.select(*FACT_COLS)
+        facts.unionAll(facts).repartition("order_id", "product_id").write.mode("overwrite").parquet(f"{base}/inbox/1")
+        facts.write.mode("overwrite").parquet(f"{base}/inbox/2")
+        for _ in range(2):                    # the second run resumes from the checkpoint and finds nothing new
+            dedupe_feed(spark, f"{base}/inbox", out, f"{base}/checkpoints/dedupe").awaitTermination()
+        warehouse.complete(spark, base)
+    return spark.read.parquet(out).select(*FACT_COLS)
+
+
+def dedupe_feed(spark: SparkSession, inbox: str, out: str, checkpoint: str, files_per_trigger: int = FILES_PER_TRIGGER):
+    """Start the deduplication of arriving fact files into ``out`` (a file sink,
+    which commits each micro-batch once)."""
+    facts = (spark.readStream.schema(schema.FACT_SALES).option("recursiveFileLookup", True)
+             .option("maxFilesPerTrigger", files_per_trigger).parquet(inbox))
+    return (dedupe_facts_stream(facts, schema.PRIMARY_KEYS["fact_sales"]).writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def live_store_quarterly(facts: DataFrame, dim_date: DataFrame, dim_store: DataFrame) -> DataFrame:
     """Streaming aggregate: store_name, year, quarter, total_quarterly_sales.
 
