@@ -72,8 +72,10 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
     The ticks keep both streams' watermarks in step, so the least of the two
     holds, and the queries run in a session of their own that says so; the
     caller's settings stay."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
     spark = spark.newSession()
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     if fmt == "csv":
         base = csv_path(spark, inbox, "products")
         base = base if warehouse.path_exists(spark, base) else f"{inbox}/products"
