@@ -43,14 +43,18 @@ def last_by(df: DataFrame, keys: Sequence[str], order: str,
 
 def insert_ignore(incoming: DataFrame, existing: DataFrame | None,
                   keys: Sequence[str], order: str | None,
-                  cols: Sequence[str] | None = None) -> DataFrame:
+                  cols: Sequence[str] | None = None, buckets: int = 0) -> DataFrame:
     """Rows to append so that ``existing`` keeps its first row per key.
 
     Within the batch the earliest source position wins; keys already stored
     are dropped (anti join).  Replaying the same batch yields no rows, which
     makes the load idempotent.  ``order=None`` states that ``incoming`` is
-    already one row per key (no selection step).
+    already one row per key (no selection step).  ``buckets``: ``existing`` is a
+    table in that many buckets by these keys; the incoming rows are dealt alike,
+    once for the selection and the join, and the stored side isn't shuffled.
     """
+    if buckets:
+        incoming = incoming.repartition(buckets, *keys)
     if order is None:
         fresh = incoming.select(*(cols or incoming.columns))
     else:

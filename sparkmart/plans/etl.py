@@ -37,7 +37,8 @@ class Star:
     """The six warehouse tables as DataFrames.
 
     ``fact_sales`` may carry the storage partition column ``sale_year``
-    (``date_id`` div 10000) in addition to its eight schema columns.
+    (``date_id`` div 10000) in addition to its eight schema columns.  A stored
+    star knows in how many buckets its keyed tables lie.
     """
     dim_customer: DataFrame
     dim_store: DataFrame
@@ -45,6 +46,7 @@ class Star:
     dim_product: DataFrame
     dim_date: DataFrame
     fact_sales: DataFrame
+    buckets: int = 0                                  # of the stored keyed tables
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in schema.STAR_TABLES}
@@ -104,7 +106,8 @@ def new_rows(spark: SparkSession, inputs: Inputs, existing: Star | None = None)
     def ignore(df, name, order=POS):
         keys = schema.PRIMARY_KEYS[name]
         cols = [f.name for f in schema.STAR_TABLES[name].fields]
-        return insert_ignore(df, getattr(ex, name) if ex else None, keys, order, cols)
+        keyed = ex.buckets if ex and name in ("dim_customer", "dim_product", "fact_sales") else 0
+        return insert_ignore(df, getattr(ex, name) if ex else None, keys, order, cols, keyed)
 
     # extract_* already yield one row per key.
     stores = dims.extract_stores(inputs.products)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions.calendar import day_type, is_first_half, season
 from sparkmart.functions.measures import cents, safe_ratio
 from sparkmart.operators.affinity import top_pairs
+from sparkmart.operators.grouping import rollup
 from sparkmart.operators.windows import period_over_period, top_n_per_group
 from sparkmart.plans.etl import Star
 
@@ -263,14 +264,15 @@ def q16_product_affinity(star: Star, k: int = 5) -> DataFrame:
     return top_pairs(star.facts().select("customer_id", "date_id", "product_id"), k)
 
 
-def q17_yearly_rollup(star: Star) -> DataFrame:
-    """Revenue by year > store > supplier > product with subtotals (ROLLUP)."""
+def q17_yearly_rollup(star: Star, grouping_id: str | None = None) -> DataFrame:
+    """Revenue by year > store > supplier > product with subtotals (ROLLUP).
+    ``grouping_id`` names a column that tells a subtotal from a missing name."""
     f = _with_dates(star.facts(), star, "year")
     pre = f.groupBy("year", "store_id", "supplier_id", "product_id").agg(
         F.sum("revenue").alias("rev"))
     named = _store_supplier_names(pre, star)
-    return (named.rollup("year", "store_name", "supplier_name", "product_id")
-            .agg(_money_sum("rev", "total_revenue"))
+    return (rollup(named, ["year", "store_name", "supplier_name", "product_id"], _money_sum("rev", "total_revenue"),
+                   grouping_id=grouping_id)
             .orderBy(F.asc_nulls_first("year"), F.asc_nulls_first("store_name"),
                      F.asc_nulls_first("supplier_name"), F.asc_nulls_first("product_id")))
 

@@ -171,6 +171,10 @@ FROM (SELECT *, CAST(sum(daily_sales) OVER p AS DOUBLE) / CAST(count(*) OVER p A
       WINDOW p AS (PARTITION BY product_id))
 WHERE above > 0 AND above * above > spread OR over_half > 0""",
     "q20_store_quarterly_view": f"SELECT * FROM ({STORE_QUARTERS}) WHERE store_name = 'NATION_8'",
+    "q17_rollup_grouping_id": f"""SELECT CAST(y AS INTEGER) AS year, shop AS store_name, maker AS supplier_name,
+       code AS product_id, CAST(grouping(y, shop, maker, code) AS BIGINT) AS subtotal, {PAID} AS total_revenue
+FROM sold GROUP BY ROLLUP (y, shop, maker, code)""",
+    "catalog_view_by_name": f"SELECT * FROM ({STORE_QUARTERS}) WHERE store_name = 'NATION_8'",
     "x1_row_count_audit": _each(f"SELECT '{t}' AS table_name, count(*) AS no_rows FROM ({sql})" for t, sql in TABLES.items()),
     "x2_product_coverage": """SELECT count(part_key) AS matched, count(*) AS total, count(*) - count(part_key) AS unmatched
 FROM line LEFT JOIN offer ON part_key = l_partkey""",

@@ -111,6 +111,20 @@ def rejects(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select("order_id", "customer_id", "product_id", "quantity", "sale_date", "reason")
 
 
+def view_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """The store view, queried by name in a session that didn't make it."""
+    warehouse.star_for(spark, sf)
+    root = warehouse.warehouse_root(spark, sf)
+    database = warehouse.table_name(root, "").rstrip(".") + "_named"
+    warehouse.create_star(spark, root, database)
+    store = olap.TEST_PARAMS["q20"]["store_name"]
+    return spark.newSession().sql(f"SELECT * FROM {database}.STORE_QUARTERLY_SALES WHERE store_name = :store", {"store": store})
+
+
+def rollup_with_grouping_id(spark: SparkSession, sf: str) -> DataFrame:
+    return olap.q17_yearly_rollup(warehouse.star_for(spark, sf), grouping_id="subtotal")
+
+
 def _streaming(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         from sparkmart.streaming import jobs  # streaming imports stay lazy
@@ -134,6 +148,8 @@ QUERIES.update({
     "etl_reload_new_rows": reload_new_rows,
     "etl_rejects": rejects,
     "etl_trailing_months": trailing_months,
+    "catalog_view_by_name": view_by_name,
+    "q17_rollup_grouping_id": rollup_with_grouping_id,
     "check_pk_violations": pk_violations,
     "check_fk_violations": fk_violations,
     "check_master_duplicates": master_duplicates,

@@ -72,12 +72,16 @@ def read_transactions_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, path: str, sch, fmt: str,
-            max_files_per_trigger: int | None, arrival: str | None) -> DataFrame:
+            max_files_per_trigger: int | None, arrival: str | None, max_bytes_per_trigger: str | None) -> DataFrame:
+    if max_bytes_per_trigger and max_files_per_trigger:
+        raise ValueError("a trigger is bounded by files or by bytes, not by both")
     if arrival:
         sch = T.StructType([*sch.fields, T.StructField(arrival, T.StringType())])
     reader = spark.readStream.schema(sch)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
     df = with_source_position(df, fmt, streaming=True)
     if not arrival:
@@ -87,29 +91,34 @@ def _stream(spark: SparkSession, path: str, sch, fmt: str,
 
 def read_transactions_stream(spark: SparkSession, path: str,
                              max_files_per_trigger: int | None = None,
-                             fmt: str = "csv", arrival: str | None = None) -> DataFrame:
+                             fmt: str = "csv", arrival: str | None = None,
+                             max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Transactions arriving as files in ``path`` (CSV, or Parquet with the
     same text columns).
 
-    ``maxFilesPerTrigger`` bounds each micro-batch (the bounded intake buffer
-    of a stream reader); ``arrival_ts`` stamps processing time, or is read from
+    ``max_files_per_trigger`` or ``max_bytes_per_trigger`` (such as "256m") bounds
+    each micro-batch, the bounded intake buffer of a stream reader.  A file is
+    never divided: one that is larger than the bound comes alone, and is read in
+    splits by many tasks.  ``arrival_ts`` stamps processing time, or is read from
     the feed's column ``arrival``, so that a stored feed replays as it arrived.
     """
-    return _stream(spark, path, schema.TRANSACTION_CSV, fmt, max_files_per_trigger, arrival)
+    return _stream(spark, path, schema.TRANSACTION_CSV, fmt, max_files_per_trigger, arrival, max_bytes_per_trigger)
 
 
 def read_customer_stream(spark: SparkSession, path: str,
                          max_files_per_trigger: int | None = None,
-                         fmt: str = "csv", arrival: str | None = None) -> DataFrame:
+                         fmt: str = "csv", arrival: str | None = None,
+                         max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Customer master rows arriving as files (late master data)."""
-    return _stream(spark, path, schema.CUSTOMER_CSV, fmt, max_files_per_trigger, arrival)
+    return _stream(spark, path, schema.CUSTOMER_CSV, fmt, max_files_per_trigger, arrival, max_bytes_per_trigger)
 
 
 def read_product_stream(spark: SparkSession, path: str,
                         max_files_per_trigger: int | None = None,
-                        fmt: str = "csv", arrival: str | None = None) -> DataFrame:
+                        fmt: str = "csv", arrival: str | None = None,
+                        max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Product master rows arriving as files (new products, price changes)."""
-    return _stream(spark, path, schema.PRODUCT_CSV, fmt, max_files_per_trigger, arrival)
+    return _stream(spark, path, schema.PRODUCT_CSV, fmt, max_files_per_trigger, arrival, max_bytes_per_trigger)
 
 
 def write_text_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,11 +1,19 @@
-"""Star-schema storage: Parquet tables under one warehouse folder.
-
-Both loaders share the layout.  ``fact_sales`` is partitioned by ``sale_year``
-and written in ranges of ``date_id``, so year filters prune partitions and
-date ranges skip files and row groups.  Dimensions are plain Parquet tables.
-A table that isn't there yet reads as empty, and loads append: nothing
+"""Star-schema storage: catalog tables over Parquet under one warehouse folder.
+
+Both loaders share the layout.  The tables that grow with the data are bucketed by
+their primary key: ``fact_sales`` inside the partitions of ``sale_year``,
+``dim_customer`` and ``dim_product``.  The number of buckets is fixed when the
+warehouse is laid out (a folder name under the root keeps it).  Insert-if-absent
+then deals the incoming rows by the same hash, and the stored keys are read where
+they lie, without a shuffle.  Inside a file facts are sorted by date, so year
+filters prune partitions and date ranges skip row groups.
+
+A root has a database in the session's catalog, which any session of the
+application (or of the metastore, where there is one) can use by name; see
+``create_star``.  A table without rows reads as empty and loads append: nothing
 decides by a separate marker whether stored rows count, and nothing is
-overwritten unless the caller says so.
+overwritten unless the caller says so.  A root that was filled before there were
+buckets is read and written as plain Parquet folders.
 """
 
 from __future__ import annotations
@@ -13,7 +21,8 @@ from __future__ import annotations
 import hashlib
 import pathlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart import schema
@@ -50,33 +59,116 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+#: Bucketed tables: the keys, and the order inside a file.
+BUCKETED = {"fact_sales": (schema.PRIMARY_KEYS["fact_sales"], "date_id"),
+            "dim_customer": (schema.PRIMARY_KEYS["dim_customer"], "customer_id"),
+            "dim_product": (schema.PRIMARY_KEYS["dim_product"], "product_id")}
+
+
+def buckets(spark: SparkSession, root: str) -> int:
+    """Buckets of the warehouse's keyed tables; a root without tables is laid
+    out now, with as many as the session has shuffle partitions.  0: plain."""
+    base = f"{root.rstrip('/')}/_layout"
+    if path_exists(spark, base):
+        fs, p = _fs(spark, base)
+        return int(fs.listStatus(p)[0].getPath().getName().split("=")[1])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if any(path_exists(spark, table_path(root, t)) for t in schema.STAR_TABLES):
+        return 0
+    make_folder(spark, f"{base}/buckets={n}")
+    return n
+
+
+def _columns(name: str) -> list[T.StructField]:
+    part = [T.StructField(schema.FACT_PARTITION, T.IntegerType())] if name == "fact_sales" else []
+    return [*schema.STAR_TABLES[name].fields, *part]
+
+
+def table_name(root: str, name: str, database: str | None = None) -> str:
+    return f"{database or 'star_' + hashlib.sha1(root.rstrip('/').encode()).hexdigest()[:16]}.{name}"
+
+
+def define_table(spark: SparkSession, root: str, name: str, database: str | None = None) -> str:
+    """The catalog table of a stored table, made if it isn't there; its name."""
+    full, n = table_name(root, name, database), buckets(spark, root)
+    if not spark.catalog.tableExists(full):
+        make_folder(spark, table_path(root, name))
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _columns(name))
+        partition = f"PARTITIONED BY ({schema.FACT_PARTITION})" if name == "fact_sales" else ""
+        keyed = ""
+        if n and name in BUCKETED:
+            keys, order = BUCKETED[name]
+            keyed = f"CLUSTERED BY ({', '.join(keys)}) SORTED BY ({order}) INTO {n} BUCKETS"
+        where = table_path(root, name).replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {full.split('.')[0]}")
+        # Partitions are those that the folder has, whoever wrote them.
+        tracked = "spark.sql.hive.manageFilesourcePartitions"
+        before = spark.conf.get(tracked)
+        spark.conf.set(tracked, "false")
+        try:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet {partition} {keyed} LOCATION '{where}'")
+        finally:
+            spark.conf.set(tracked, before)
+    return full
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A star table as stored; empty while nothing was written."""
-    fields = list(schema.STAR_TABLES[name].fields)
-    if name == "fact_sales":
-        fields.append(T.StructField(schema.FACT_PARTITION, T.IntegerType()))
-    sch = T.StructType(fields)
+    if buckets(spark, root):
+        full = define_table(spark, root, name)
+        spark.catalog.refreshTable(full)                     # files that other sessions have added
+        return spark.table(full)
+    sch = T.StructType(_columns(name))
     if not path_exists(spark, table_path(root, name)):
         return spark.createDataFrame([], sch)
     return spark.read.schema(sch).parquet(table_path(root, name))
 
 
+def write_table(spark: SparkSession, root: str, name: str, rows: DataFrame, mode: str = "append") -> int:
+    """Append (or write anew) rows of a star table; returns how many, counted as
+    they are written."""
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.STAR_TABLES[name].fields])
+    if name == "fact_sales":
+        rows = with_partition_column(rows)
+    n, written = buckets(spark, root), Observation()
+    if not n:
+        out = rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode(mode)
+        (out.partitionBy(schema.FACT_PARTITION) if name == "fact_sales" else out).parquet(table_path(root, name))
+        return written.get["n"]
+    full = define_table(spark, root, name)
+    if name in BUCKETED:
+        rows = rows.repartition(n, *BUCKETED[name][0])       # a task has one bucket
+    rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(full, overwrite=mode == "overwrite")
+    return written.get["n"]
+
+
 def write_star(star: Star, root: str, mode: str = "append") -> dict[str, int]:
     """Write the six tables (``append`` or, if asked for, ``overwrite``);
     returns the rows each table has gained or, overwritten, has."""
     spark = star.fact_sales.sparkSession
-    before = {n: 0 if mode == "overwrite" else df.count() for n, df in read_star(spark, root).tables().items()}
-    for name in DIMENSIONS:
-        getattr(star, name).write.mode(mode).parquet(table_path(root, name))
-    fact = with_partition_column(star.fact_sales.select(*[f.name for f in schema.FACT_SALES.fields]))
-    # Ranges of date inside a year: a file holds few days, whatever their number.
-    (fact.repartitionByRange(schema.FACT_PARTITION, "date_id").sortWithinPartitions(schema.FACT_PARTITION, "date_id")
-         .write.mode(mode).partitionBy(schema.FACT_PARTITION).parquet(table_path(root, "fact_sales")))
-    return {n: df.count() - before[n] for n, df in read_star(spark, root).tables().items()}
+    return {name: write_table(spark, root, name, getattr(star, name), mode) for name in [*DIMENSIONS, "fact_sales"]}
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    return Star(**{name: read_table(spark, root, name) for name in schema.STAR_TABLES})
+    return Star(**{name: read_table(spark, root, name) for name in schema.STAR_TABLES}, buckets=buckets(spark, root))
+
+
+def create_star(spark: SparkSession, root: str, database: str, replace: bool = False) -> None:
+    """Tables of the warehouse under ``root`` and the view
+    ``STORE_QUARTERLY_SALES``, by name in ``database``, for every session of the
+    catalog.  With ``replace`` the stored tables are emptied first."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in schema.STAR_TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")          # the definition; the files stay
+        full = define_table(spark, root, name, database)
+        if replace:
+            write_table(spark, root, name, spark.createDataFrame([], schema.STAR_TABLES[name]), "overwrite")
+            spark.catalog.refreshTable(full)
+    spark.sql(f"""CREATE OR REPLACE VIEW {database}.STORE_QUARTERLY_SALES AS
+        SELECT s.store_name, d.year, d.quarter, CAST(SUM(f.revenue) AS DECIMAL(22,2)) AS total_quarterly_sales
+        FROM {database}.fact_sales f JOIN {database}.dim_date d ON d.date_id = f.date_id
+             JOIN {database}.dim_store s ON s.store_id = f.store_id
+        GROUP BY s.store_name, d.year, d.quarter""")
 
 
 def exists(spark: SparkSession, root: str) -> bool:

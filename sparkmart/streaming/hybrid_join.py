@@ -45,9 +45,9 @@ from sparkmart.operators import dims
 from sparkmart.operators.clean import clean_customers, clean_products, clean_transactions
 from sparkmart.operators.dedupe import first_by, insert_ignore_batch
 from sparkmart.operators.joins import enrich_date, enrich_product_as_of, with_revenue
-from sparkmart.plans.etl import FACT_COLS, with_partition_column
+from sparkmart.plans.etl import FACT_COLS
 from sparkmart.sources.csv import POS, batch_position
-from sparkmart.sources.warehouse import make_folder, path_exists, read_table, rename, table_path
+from sparkmart.sources.warehouse import make_folder, path_exists, read_table, rename, table_path, write_table
 
 DEFAULT_TTL = "24 hours"
 DEFAULT_DISORDER = "1 second"
@@ -159,8 +159,7 @@ def insert_products(spark: SparkSession, root: str, products: DataFrame, order:
         ("dim_product", first_by(products.withColumn("price", F.col("price").try_cast("decimal(10,2)")), ["product_id"], order), ["product_id"]),
     ]:
         cols = [f.name for f in schema.STAR_TABLES[name].fields]
-        new = insert_ignore_batch(rows.select(*cols), read_table(spark, root, name), keys)
-        new.write.mode("append").parquet(table_path(root, name))
+        write_table(spark, root, name, insert_ignore_batch(rows.select(*cols), read_table(spark, root, name), keys))
 
 
 def preload_products(spark: SparkSession, root: str, products: DataFrame) -> None:
@@ -215,14 +214,12 @@ class WarehouseLoader:
             tagged.unpersist()
             batch.unpersist()
 
-    def _insert(self, spark, rows: DataFrame, name: str, key_range, partition: str | None = None, transform=None) -> None:
+    def _insert(self, spark, rows: DataFrame, name: str, key_range) -> None:
         """First row per key, then insert-if-absent against the stored table."""
         keys, cols = schema.PRIMARY_KEYS[name], [f.name for f in schema.STAR_TABLES[name].fields]
         first = first_by(rows, keys, POS, cols).persist()
         try:
-            new = insert_ignore_batch(first, read_table(spark, self.root, name), keys, key_range)
-            out = (transform(new) if transform else new).write.mode("append")
-            (out.partitionBy(partition) if partition else out).parquet(table_path(self.root, name))
+            write_table(spark, self.root, name, insert_ignore_batch(first, read_table(spark, self.root, name), keys, key_range))
         finally:
             first.unpersist()
 
@@ -245,8 +242,7 @@ class WarehouseLoader:
         good, hit = tagged.where(F.col("reason").isNull()), stats["fact"]
         cust = good.select(F.col("c_customer_id").alias("customer_id"), *dims.CUSTOMER_ATTRS, F.col("c_pos").alias(POS))
         self._insert(spark, cust, "dim_customer", (hit["c_lo"], hit["c_hi"]))
-        self._insert(spark, good.select(*FACT_COLS, POS), "fact_sales", (hit["o_lo"], hit["o_hi"]),
-                     schema.FACT_PARTITION, with_partition_column)
+        self._insert(spark, good.select(*FACT_COLS, POS), "fact_sales", (hit["o_lo"], hit["o_hi"]))
 
 
 # ------------------------------------------------------------------ probing
@@ -360,4 +356,4 @@ class Probe:
 def ensure_dim_date(spark: SparkSession, root: str, calendar: DataFrame) -> None:
     """Populate the calendar only when the stored table is empty or absent."""
     if read_table(spark, root, "dim_date").isEmpty():
-        calendar.write.mode("append").parquet(table_path(root, "dim_date"))
+        write_table(spark, root, "dim_date", calendar)

@@ -26,7 +26,7 @@ from sparkmart.sources import csv as csv_src
 from sparkmart.sources import testdata, warehouse
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.streaming.hybrid_join import (
-    DEFAULT_DISORDER, DEFAULT_TTL, Probe, WarehouseLoader, ensure_dim_date, feed_name, preload_products, tagged_rows,
+    DEFAULT_DISORDER, DEFAULT_TTL, EpochWriter, Probe, WarehouseLoader, ensure_dim_date, feed_name, preload_products, tagged_rows,
     waiting_stream,
 )
 
@@ -55,7 +55,8 @@ def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
 def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: str,
                       ttl: str = DEFAULT_TTL, files_per_trigger: int = FILES_PER_TRIGGER,
                       available_now: bool = True, processing_time: str | None = None,
-                      fmt: str = "parquet", arrival: str | None = None, disorder: str = DEFAULT_DISORDER):
+                      fmt: str = "parquet", arrival: str | None = None, disorder: str = DEFAULT_DISORDER,
+                      bytes_per_trigger: str | None = None):
     """Start the streaming load; returns a ``HybridLoad``.
 
     ``inbox`` holds arriving files in the raw text layout (``fmt`` = parquet or
@@ -65,6 +66,9 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
     ``product_updates/``, also in the raw layout.  Rows that the cleaners reject
     are written to ``rejects/<source>``.
 
+    Each source's share of a micro-batch is bounded by ``files_per_trigger``, or by
+    ``bytes_per_trigger`` if that is given.
+
     Arrival is processing time, or the feed's column ``arrival``; see
     ``hybrid_join`` for ``ttl`` and ``disorder``.  With ``available_now`` the two
     queries run one after the other, else side by side.
@@ -93,7 +97,8 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
         sources["products"] = csv_src.read_product_stream
     folders = {"products": "product_updates"}
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-        tagged_rows(read(spark, f"{inbox}/{folders.get(kind, kind)}", files_per_trigger, fmt, arrival), kind)
+        tagged_rows(read(spark, f"{inbox}/{folders.get(kind, kind)}", None if bytes_per_trigger else files_per_trigger,
+                         fmt, arrival, bytes_per_trigger), kind)
         for kind, read in sources.items()])
     feed, lock = feed_name(checkpoint), threading.Lock()
 
@@ -146,7 +151,7 @@ def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None
         q = start_hybrid_load(spark, f"{base}/inbox", root, f"{base}/checkpoints/load")
         q.awaitTermination()
         warehouse.complete(spark, base)
-    return spark.read.parquet(warehouse.table_path(root, "fact_sales")).select(*FACT_COLS)
+    return warehouse.read_table(spark, root, "fact_sales").select(*FACT_COLS)
 
 
 # ------------------------------------------------------- a replayed feed
@@ -280,6 +285,38 @@ def live_store_quarterly(facts: DataFrame, dim_date: DataFrame, dim_store: DataF
             .agg(F.sum("revenue").cast("decimal(22,2)").alias("total_quarterly_sales")))
 
 
+VIEW_KEYS = ["store_name", "year", "quarter"]
+
+
+def start_live_view(facts: DataFrame, dim_date: DataFrame, dim_store: DataFrame, out: str, checkpoint: str):
+    """Keep the store view current: each micro-batch adds the groups that it has
+    changed, with their new totals, under its own epoch (a replay writes the
+    same folder again).  What is written follows the changes, not the view."""
+    changed = live_store_quarterly(facts, dim_date, dim_store)
+    return (changed.writeStream.outputMode("update").foreachBatch(EpochWriter(out, "changes"))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def read_live_view(spark: SparkSession, out: str) -> DataFrame:
+    """The view as of the last epoch: the latest total of each group (a partial
+    aggregate over the changes)."""
+    changes = spark.read.parquet(f"{out}/changes")
+    last = changes.groupBy(*VIEW_KEYS).agg(F.max(F.struct("epoch", "total_quarterly_sales")).alias("last"))
+    return last.select(*VIEW_KEYS, "last.total_quarterly_sales")
+
+
+def compact_live_view(spark: SparkSession, out: str) -> None:
+    """Fold all changes into one folder (between runs of the view's query).  The
+    folded rows keep the last epoch, so a replay of that epoch gives the same."""
+    path = f"{out}/changes"
+    changes = spark.read.parquet(path)
+    top = changes.agg(F.max("epoch")).first()[0]
+    folded = f"{out}/.folded-{top}"
+    read_live_view(spark, out).write.mode("overwrite").parquet(f"{folded}/epoch={top}")
+    warehouse.rename(spark, path, f"{out}/.before-{top}")
+    warehouse.rename(spark, folded, path)
+
+
 def stream_store_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_hybrid_join(spark, sf_dir)  # make sure the streamed warehouse exists
     base = warehouse.warehouse_root(spark, sf_dir, tag="stream")
@@ -290,16 +327,7 @@ def stream_store_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    + [T.StructField(schema.FACT_PARTITION, T.IntegerType())])
         facts = (spark.readStream.schema(fact_schema).option("maxFilesPerTrigger", 16)
                  .parquet(warehouse.table_path(root, "fact_sales")))
-        dims = {n: spark.read.schema(schema.STAR_TABLES[n]).parquet(warehouse.table_path(root, n))
-                for n in ("dim_date", "dim_store")}
-        agg = live_store_quarterly(facts, dims["dim_date"], dims["dim_store"])
-
-        def publish(batch: DataFrame, epoch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-
-        q = (agg.writeStream.outputMode("complete").foreachBatch(publish)
-             .option("checkpointLocation", f"{base}/checkpoints/store_quarterly")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        dims = {n: warehouse.read_table(spark, root, n) for n in ("dim_date", "dim_store")}
+        start_live_view(facts, dims["dim_date"], dims["dim_store"], out, f"{base}/checkpoints/store_quarterly").awaitTermination()
         warehouse.complete(spark, out + "_done")
-    return spark.read.parquet(out)
+    return read_live_view(spark, out)

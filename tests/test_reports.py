@@ -174,3 +174,21 @@ def test_view_filter(spark):
         ("S1", 2016, 1, Decimal("2.00"))]
     assert spark.sql("SELECT count(*) FROM STORE_QUARTERLY_SALES").first()[0] == 1
     assert olap.store_quarterly_sales(star).where(F.col("store_name") == "none").count() == 0
+
+
+def test_grouping_id_tells_a_subtotal_from_a_missing_name(spark):
+    from sparkmart.operators.grouping import grouping_sets
+    sales = spark.createDataFrame([("A", "x", 1), (None, "x", 2), (None, None, 4)], "store string, product string, n int")
+    total = F.sum("n").alias("n")
+    got = grouping_sets(sales, ["store", "product"], [["store", "product"], ["store"], []], total, grouping_id="g")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        ("A", "x", 0, 1), (None, "x", 0, 2), (None, None, 0, 4), ("A", None, 1, 1), (None, None, 1, 6), (None, None, 3, 7)], key=str)
+
+
+def test_rollup_over_a_store_without_a_name(spark):
+    star = star_rows(spark, fx.inputs(spark, [fx.cust_row(1)], [fx.prod_row("P1", 1.0, 0, store_name=None), fx.prod_row("P2", 2.0, 1, store=2)],
+                                      [(1, 1, "P1", 1, fx.d("2016-01-01"), 0), (2, 1, "P2", 1, fx.d("2016-01-01"), 1)]))
+    rows = olap.q17_yearly_rollup(star, grouping_id="level").collect()
+    at = {(r.year, r.store_name, r.supplier_name, r.product_id, r.level): str(r.total_revenue) for r in rows}
+    assert len(at) == len(rows) == 8
+    assert at[(2016, None, None, None, 3)] == "1.00" and at[(2016, None, None, None, 7)] == "3.00" and at[(None,) * 4 + (15,)] == "3.00"

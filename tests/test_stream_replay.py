@@ -1,5 +1,7 @@
 """Replayed feeds: arrival is a column, so nothing has to wait or sleep."""
 
+from decimal import Decimal
+
 import pytest
 
 from sparkmart import schema
@@ -180,3 +182,48 @@ def test_price_as_of_arrival(spark):
                    "('Q', TIMESTAMP '2016-01-04') AS t(product_id, arrival_ts)")
     got = {(r.product_id, str(r.arrival_ts)[:10]): (r.price, r.store_id) for r in enrich_product_as_of(at, versions).collect()}
     assert got == {("P", "2015-12-31"): (None, None), ("P", "2016-01-01"): (1.0, 1), ("P", "2016-01-04"): (4.0, 2), ("Q", "2016-01-04"): (None, None)}
+
+
+def test_intake_is_bounded_by_bytes(spark, scratch):
+    """One large and many small files: no micro-batch beyond the bound, but for a
+    file that alone is larger."""
+    import os
+    rows = lambda n: [(str(i), "1", "P1", "1", "2016-04-02") for i in range(n)]
+    columns = TX.rsplit(",", 1)[0]
+    for n in [60] * 6 + [4000]:
+        csv_src.write_csv(spark.createDataFrame(rows(n), columns).coalesce(1), f"{scratch}/in", mode="append")
+    sizes = sorted(os.path.getsize(f"{scratch}/in/{f}") for f in os.listdir(f"{scratch}/in") if f.endswith(".csv"))
+    bound = 2 * sizes[0] + 10
+    seen = []
+    stream = csv_src.read_transactions_stream(spark, f"{scratch}/in", max_bytes_per_trigger=str(bound))
+    stream.writeStream.foreachBatch(lambda batch, _: seen.append(batch.count())).option(
+        "checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start().awaitTermination()
+    assert sum(seen) == 6 * 60 + 4000
+    assert all(n <= 120 or n == 4000 for n in seen), seen
+    with pytest.raises(ValueError):
+        csv_src.read_transactions_stream(spark, scratch, max_files_per_trigger=1, max_bytes_per_trigger="1m")
+
+
+def test_live_view_writes_what_changed(spark, scratch):
+    days = dim_date(spark, "2016-01-01", "2016-12-31")
+    stores = spark.createDataFrame([(i, f"S{i}") for i in range(40)], schema.DIM_STORE)
+    put = lambda rows: spark.createDataFrame(
+        [(o, 1, "P", d, s, 1, 1, Decimal(r)) for o, d, s, r in rows], schema.FACT_SALES).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+
+    def run():
+        facts = spark.readStream.schema(schema.FACT_SALES).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+        jobs.start_live_view(facts, days, stores, f"{scratch}/out", f"{scratch}/ckpt").awaitTermination()
+        return spark.read.parquet(f"{scratch}/out/changes")
+
+    view = lambda: {(r.store_name, r.quarter): str(r.total_quarterly_sales) for r in jobs.read_live_view(spark, f"{scratch}/out").collect()}
+    put([(i, 20160110, i, "1.00") for i in range(40)])
+    assert run().count() == 40
+    put([(100, 20160210, 3, "2.50"), (101, 20160710, 3, "4.00")])
+    assert run().where("epoch = 1").count() == 2                  # of 41 groups
+    assert len(view()) == 41 and view()[("S3", 1)] == "3.50" and view()[("S3", 3)] == "4.00" and view()[("S4", 1)] == "1.00"
+    before = view()
+    jobs.compact_live_view(spark, f"{scratch}/out")
+    assert view() == before and spark.read.parquet(f"{scratch}/out/changes").count() == 41
+    put([(102, 20160710, 4, "1.00")])
+    run()
+    assert view() == {**before, ("S4", 3): "1.00"}
