@@ -220,12 +220,14 @@ def _best_other(size: int, low: int, high: int):
 
 def _blocks(rows: DataFrame, least: int, path: str) -> tuple[DataFrame, int]:
     """Rows in blocks of about ``BLOCK_BYTES``, ordered by length and label,
-    stored; and the number of blocks."""
+    stored; and the number of blocks.  However many ranges the session makes,
+    neighbouring ones share a block."""
     total = rows.agg(F.sum(F.col("dim").cast("long") * 8 + 16)).first()[0] or 0
     n = int(max(least, total // BLOCK_BYTES + 1))
-    dealt = rows.repartitionByRange(n, "dim", "label", "row").withColumn("block", F.spark_partition_id())
-    dealt = stored(dealt, path)
-    return dealt, (dealt.agg(F.max("block")).first()[0] or 0) + 1
+    dealt = stored(rows.repartitionByRange(n, "dim", "label", "row").withColumn("range", F.spark_partition_id()), path)
+    ranges = (dealt.agg(F.max("range")).first()[0] or 0) + 1
+    n = min(n, ranges)
+    return dealt.withColumn("block", F.expr(f"cast(cast(range as bigint) * {n} div {ranges} as int)")).drop("range"), n
 
 
 def _top(found: DataFrame, size: int) -> DataFrame:
