@@ -38,8 +38,10 @@ LONG = 1 << 20
 PIECE = 1 << 18
 #: Pre-tokens of more bytes than this are concatenated from halves.
 UNSPLIT = 1 << 12
-#: Words a task's cache holds in each of two generations.
-CACHE = 3 << 18
+#: Bytes that a task's cache holds in each of two generations, about: a word
+#: takes ``ENTRY`` bytes besides its letters and ids.
+CACHE_BYTES = 88 << 20
+ENTRY = 120
 
 #: Below this character the library's Unicode tables and ours agree.
 LATIN = "\u0250"
@@ -92,6 +94,8 @@ class Codec:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.others: dict[str, bytes] = {}
+        self.held = self.held_others = 0
+        self.decimal = [str(i) for i in range(size)]
 
     # ------------------------------------------------------------ encoding
 
@@ -110,8 +114,8 @@ class Codec:
 
     def _spaced(self, words: list[str]) -> list[bytes]:
         """Ids of each word with a space before it."""
-        if len(self.young) > CACHE:
-            self.old, self.young = self.young, {}
+        if self.held > CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
         young, old = self.young, self.old
         out = list(map(young.get, words))
         if None in out:
@@ -119,8 +123,9 @@ class Codec:
                 if x is None:
                     w = words[i]
                     out[i] = x = young.get(w) or old.get(w) or self._new(" " + w)
-                    if len(w) <= UNSPLIT // 4:                  # the cache stays bounded
+                    if len(w) <= UNSPLIT // 4 and w not in young:
                         young[w] = x
+                        self.held += ENTRY + len(w) + len(x)
         return out
 
     def _known(self, piece: str) -> bytes:
@@ -130,10 +135,12 @@ class Codec:
         x = self.others.get(piece)
         if x is None:
             x = self._new(piece)
-            if len(self.others) > CACHE // 4:
+            if self.held_others > CACHE_BYTES // 4:
                 self.others.clear()
+                self.held_others = 0
             if len(piece) <= UNSPLIT // 4:
                 self.others[piece] = x
+                self.held_others += ENTRY + len(piece) + len(x)
         return x
 
     def _new(self, piece: str) -> bytes:
@@ -317,39 +324,59 @@ def _put_together(path: str):
     return run
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids``: ids of every text as little-endian 32-bit integers."""
+def _shapes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text`` of the short and of the long texts."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0))
-    short = docs.where(size <= LONG).mapInArrow(_encode(path), IDS)
-    long = (docs.where(size > LONG).select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
+    return docs.where(size <= LONG), docs.where(size > LONG)
+
+
+def _encoded_long(long: DataFrame, path: str) -> DataFrame:
+    """Long texts: cut, encoded piece by piece in parallel, put together."""
+    return (long.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
             .mapInArrow(_cut(path), "key long, doc_id long, no long, tree long, raw binary")
             .repartition("key", "no")
             .mapInArrow(_encode_pieces(path), "key long, doc_id long, no long, tree long, ids binary")
             .groupBy("key").applyInArrow(_put_together(path), IDS))
-    return short.unionByName(long)
 
 
-def _digests(path: str):
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids``: ids of every text as little-endian 32-bit integers."""
+    short, long = _shapes(docs)
+    return short.mapInArrow(_encode(path), IDS).unionByName(_encoded_long(long, path))
+
+
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _digest(c: Codec, ids: list[int]) -> tuple[int, str, str]:
+    return (len(ids), hashlib.sha256(",".join([c.decimal[i] for i in ids]).encode()).hexdigest(),
+            hashlib.sha256(c.decode(ids).encode()).hexdigest())
+
+
+def _digests(path: str, of_text: bool):
+    """Digests of texts, which are encoded here, or of ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        decimal = [str(i) for i in range(len(c.bytes))]
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for raw in batch.column(1):
-                ids = np.frombuffer(raw.as_buffer(), "<u4").tolist()
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                if of_text:
+                    rows = [_digest(c, c.encode(t.as_py() or "").tolist()) for t in part.column(1)]
+                else:
+                    rows = [_digest(c, np.frombuffer(raw.as_buffer(), "<u4").tolist()) for raw in part.column(1)]
+                n, ids_sha, text_sha = zip(*rows)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
+                                                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Round trip of every text: count and digests of ids and decoded text."""
-    return encoded(docs, path).mapInArrow(
-        _digests(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """Round trip of every text: count and digests of ids and decoded text.
+    Short texts are encoded and decoded in one pass of one worker."""
+    short, long = _shapes(docs)
+    return short.mapInArrow(_digests(path, True), DIGESTS).unionByName(
+        _encoded_long(long, path).mapInArrow(_digests(path, False), DIGESTS))
 
 
 def default_vocabulary() -> str:
