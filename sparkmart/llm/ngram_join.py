@@ -165,11 +165,17 @@ LAST = (1 << 63) - 1
 NODES = "doc_id long, content long, n long, node long, sketch binary, keys binary"
 
 
+#: Bytes of text that become arrays at once (n-grams and keys take some 50 times as
+#: much), and rows of keys that are dealt at once.
+SLICE = 1 << 20
+DEALT = 2048
+
+
 def _node_rows(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = Bounds(percent)
         for batch in batches:
-            for s in text_slices(batch.column(2)):
+            for s in text_slices(batch.column(2), SLICE):
                 sets, of = shingles_of(words_of(s), k)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[s.rows], batch.column(1)[s.rows], pa.array(np.diff(of)), pa.array(set_name(sets, of).view(np.int64)),
@@ -186,7 +192,7 @@ ENTRY = np.dtype([("key", "<u4"), ("node", "<u8")])
 def _deal(buckets: int):
     """(node, keys) rows to one packed row per bucket and batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, DEALT) for b in batches for lo in range(0, b.num_rows, DEALT)):
             node = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
             if not keys:
@@ -310,7 +316,7 @@ def _cells(percent: int):
 def _vectors(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in text_slices(batch.column(0)):
+            for s in text_slices(batch.column(0), SLICE):
                 sets, of = shingles_of(words_of(s), k)
                 yield pa.RecordBatch.from_arrays([pa.array(set_name(sets, of).view(np.int64)), binary_list(sets, of)],
                                                  names=["node", "grams"])

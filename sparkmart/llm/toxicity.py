@@ -431,8 +431,10 @@ def op6_toxicity(spark, sf_dir: str) -> DataFrame:
 
 def screen(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The documents that the model doesn't call toxic, all columns kept."""
-    inner = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return model.score(inner).where("toxicity < 0.5").select("row.*")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    inner = docs.select("text", F.struct(F.lit(0).alias("none"), *others).alias("row"))         # the text goes once
+    return model.score(inner).where("toxicity < 0.5").select(
+        *[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
