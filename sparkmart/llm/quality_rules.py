@@ -8,9 +8,11 @@ text's posterior probability of being good replaces "all rules must pass".
 
 Counts per text (words are ``[^\\x20\\x09-\\x0D]+``): ``n_words``,
 ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``; the last
-covers 3-word windows found twice or more.  Windows are compared by a 64-bit
-hash in a sorted array inside the row (no shuffle); equal hashes are then
-confirmed on the words themselves.
+covers 3-word windows found twice or more.  Windows are sorted by two hashes
+and their place, in an array inside the row (no shuffle), so that equal windows
+are neighbours in texts of any length; neighbours are then confirmed on the
+words themselves.  The counts of all documents are stored once: the votes are
+estimated from them, and the verdicts read them again.
 
 Edge cases: null and empty texts count as no words and fail the base; null
 doc_ids and repeated rows are judged like any row; an empty table gives an
@@ -25,10 +27,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm._common import stored, workspace
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
-#: Bits of a packed window that hold its place in the text.
-PLACE = 26
 STOP_WORDS = ("the", "of", "and", "to", "in", "is", "that", "der", "die", "und", "das", "ist", "den", "le", "la",
               "les", "de", "et", "des", "el", "los", "que", "y", "en", "un", "une", "del", "se", "a", "with", "zu")
 EM_ROUNDS = 40
@@ -45,19 +47,16 @@ def counts(docs: DataFrame) -> DataFrame:
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     at = at.withColumn("words", F.filter(F.split("text", SPACE), lambda w: w != ""))
     at = at.withColumn("n_words", F.size("words").cast("long"))
-    windows = F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int") - 3), lambda i: F.shiftleft(
-        F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)), PLACE).bitwiseOR(i.cast("long")))
-    at = at.withColumn("packed", F.when(F.col("n_words") >= 4, F.sort_array(windows)))
-    # Places whose neighbour in sorted order has the same hash; the words decide.
-    place = lambda x: x.bitwiseAND(F.lit((1 << PLACE) - 1)).cast("int")
-    same = lambda x, y: (
-        (F.shiftright(x, PLACE) == F.shiftright(y, PLACE))
-        & (F.get("words", place(x)) == F.get("words", place(y)))
-        & (F.get("words", place(x) + 1) == F.get("words", place(y) + 1))
-        & (F.get("words", place(x) + 2) == F.get("words", place(y) + 2)))
-    hit = F.filter("packed", lambda x, i: F.coalesce(same(x, F.get("packed", i - 1)), F.lit(False))
-                   | F.coalesce(same(x, F.get("packed", i + 1)), F.lit(False)))
-    at = at.withColumn("again", F.sort_array(F.transform(hit, place)))
+    three = lambda i: (F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))
+    windows = F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int") - 3), lambda i: F.struct(
+        F.xxhash64(*three(i)).alias("name"), F.hash(*three(i)).alias("check"), i.alias("place")))
+    at = at.withColumn("sorted", F.when(F.col("n_words") >= 4, F.sort_array(windows)))
+    # Places whose neighbour in sorted order has the same hashes; the words decide.
+    same = lambda x, y: (x["name"] == y["name"]) & (x["check"] == y["check"]) & reduce(
+        Column.__and__, [p == q for p, q in zip(three(x["place"]), three(y["place"]))])
+    hit = F.filter("sorted", lambda x, i: F.coalesce(same(x, F.get("sorted", i - 1)), F.lit(False))
+                   | F.coalesce(same(x, F.get("sorted", i + 1)), F.lit(False)))
+    at = at.withColumn("again", F.sort_array(F.transform(hit, lambda x: x["place"])))
     # Each window covers three words, less what the next one covers.
     covered = F.aggregate(
         F.transform("again", lambda x, i: F.least(F.lit(3), F.coalesce(F.get("again", i + 1) - x, F.lit(3)))),
@@ -130,7 +129,7 @@ def estimate(votes: DataFrame, names: list[str]) -> tuple[float, dict[str, dict[
 
 def judged(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``counts`` with the posterior ``quality`` of every text and ``kept``."""
-    measured = counts(docs)
+    measured = stored(counts(docs), f"{workspace(docs.sparkSession, 'quality')}/counts")
     named = rules()
     names = list(named)
     share, rate = estimate(measured.select(*[named[x].alias(x) for x in names]), names)
