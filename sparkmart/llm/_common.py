@@ -128,8 +128,10 @@ class Words(NamedTuple):
     of: np.ndarray
 
 
-def words_of(s: Slice, lower: bool = True) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each text with 64-bit fingerprints."""
+def words_of(s: Slice, lower: bool = True, placed: bool = False) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each text with 64-bit fingerprints:
+    polynomials modulo 2^64 or, if ``placed``, sums of mixed (byte, place in the
+    word), which no pattern in a word makes equal for another one."""
     n = len(s.buf)
     white = WHITE[s.buf]
     breaks = np.empty(n + 1, bool)
@@ -142,10 +144,19 @@ def words_of(s: Slice, lower: bool = True) -> Words:
     after[n] = True
     after[s.start[1:]] = True
     end = np.flatnonzero(~white & after[1:]) + 1
-    t = BYTE[LOWER[s.buf] if lower else s.buf] * _power("up", BASE, n)
+    t = BYTE[LOWER[s.buf] if lower else s.buf]
+    if placed:
+        first = np.concatenate([[0], begin, [n]])
+        place = (np.arange(n) - np.repeat(first[:-1], np.diff(first))).astype(np.uint64)
+        t = mix(t + place * STEP[62])
+    else:
+        t = t * _power("up", BASE, n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(t, out=total[1:])
-    name = (total[end] - total[begin]) * _power("down", INVERSE, n + 1)[begin] + (end - begin).astype(np.uint64)
+    name = total[end] - total[begin]
+    if not placed:
+        name *= _power("down", INVERSE, n + 1)[begin]
+    name += (end - begin).astype(np.uint64)
     return Words(begin, end, mix(name), np.searchsorted(begin, s.start))
 
 

@@ -176,7 +176,7 @@ def _node_rows(k: int, percent: int):
         b = Bounds(percent)
         for batch in batches:
             for s in text_slices(batch.column(2), SLICE):
-                sets, of = shingles_of(words_of(s), k)
+                sets, of = shingles_of(words_of(s, placed=True), k)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[s.rows], batch.column(1)[s.rows], pa.array(np.diff(of)), pa.array(set_name(sets, of).view(np.int64)),
                      binary_list(*_sketches(sets, of, b)), binary_list(*_keys(sets, of, b))],
@@ -317,7 +317,7 @@ def _vectors(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in text_slices(batch.column(0), SLICE):
-                sets, of = shingles_of(words_of(s), k)
+                sets, of = shingles_of(words_of(s, placed=True), k)
                 yield pa.RecordBatch.from_arrays([pa.array(set_name(sets, of).view(np.int64)), binary_list(sets, of)],
                                                  names=["node", "grams"])
     return run

@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkmart.llm import ngram_join
+from sparkmart.llm._common import text_slices, words_of
 from tests.llm.conftest import links_by_brute_force
 
 
@@ -42,6 +44,34 @@ def test_chunks_of_a_hot_block_lose_no_link(spark, monkeypatch):
     assert got == links_by_brute_force({i: shingles(t, 3) for i, t in rows}, 90)
 
 
+def test_words_of_one_pattern_stay_apart(spark):
+    """Thue-Morse words: polynomials modulo 2^64 give both one fingerprint."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, word.upper()), (4, f"{word} x"), (5, f"x {word}"), (6, f"{other}\t x ")]
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5, 6: 6}
+
+
+def test_word_names_depend_on_the_word_alone():
+    texts = ["one two", " two  one", "", "\u00e9n one\x0btwo", "one", "ONE tw", "o"]
+    s, = text_slices(pa.array(texts))
+    w = words_of(s, placed=True)
+    found = [s.buf[a:b].tobytes().lower() for a, b in zip(w.begin, w.end)]
+    assert found == [x for t in texts for x in t.encode().lower().split()]
+    assert len(set(w.name.tolist())) == len(set(found)) == len(set(zip(found, w.name.tolist())))
+
+
+def test_query_over_the_whole_table(spark, tmp_path, docs, rows):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = ngram_join.op1_ngram_jaccard_join(spark, str(tmp_path))
+    assert out.columns[:3] == ["doc_id", "n_shingles", "component_id"]
+    want = links_by_brute_force({r[0]: shingles(r[1], 3) for r in rows if r[0] is not None}, 90)
+    assert sorted((r.doc_id, r.component_id) for r in out.where("doc_id is not null").collect()) == sorted(
+        (r[0], want[r[0]]) for r in rows if r[0] is not None)
+
+
 def test_empty_table(no_docs):
     out = ngram_join.near_duplicates(no_docs, 3, 90)
     assert out.columns == ["doc_id", "n_shingles", "component_id"] and out.count() == 0
