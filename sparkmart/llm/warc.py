@@ -10,7 +10,10 @@ Reader: archives are cut into byte ranges, one task each, without an index.  A
 task looks for gzip magic in its range, takes a candidate for a member only if
 it decodes and its text begins like a WARC record, and owns the records that
 start inside the range; from an owned record it goes on to the next member's
-first byte.  A record that crosses the range's end is read to its end.
+first byte.  A record that crosses the range's end is read to its end.  A member
+that doesn't decode is passed over, up to the next one that does; ``incomplete``
+compares the records found with the manifest, and the query raises an error if
+any file misses one.  A payload that differs from its digest raises one at once.
 
 Edge cases: null and empty payloads are empty; a null url is written as an
 empty target; white space and controls in a url are percent-encoded; a null
@@ -138,7 +141,7 @@ class Scan:
         """The whole member that starts at ``pos`` and where it ends; None if
         there's no gzip member there that begins like a WARC record."""
         unpack = zlib.decompressobj(31)
-        out, got, here, step = [], 0, pos, 1 << 12
+        out, got, known, here, step = [], 0, False, pos, 1 << 12
         try:
             while not unpack.eof:
                 self.f.seek(here)
@@ -149,13 +152,13 @@ class Scan:
                 here += len(raw)
                 out.append(unpack.decompress(raw))
                 got += len(out[-1])
-                if got >= 8 and not b"".join(out)[:5] == b"WARC/":
-                    return None
-                out = [b"".join(out)] if len(out) > 64 else out
+                if not known and got >= 5:
+                    if b"".join(out)[:5] != b"WARC/":
+                        return None
+                    known = True
         except zlib.error:
             return None
-        whole = b"".join(out)
-        return (whole, here - len(unpack.unused_data)) if whole[:5] == b"WARC/" else None
+        return (b"".join(out), here - len(unpack.unused_data)) if known else None
 
     def members(self, start: int, end: int) -> Iterator[bytes]:
         """Members that start in ``[start, end)``."""
@@ -200,9 +203,9 @@ def parse(raw: bytes) -> dict:
             "record_type": field["warc-type"], "refers_to": number(field["warc-refers-to"]) if "warc-refers-to" in field else None}
 
 
-ROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
+ROW = pa.schema([("file", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
                  ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-RECORD = ("page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, "
+RECORD = ("file string, page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, "
           "refers_to long")
 
 
@@ -214,7 +217,7 @@ def _read(folder: str, payloads: bool):
                 rows, held = [], 0
                 with fs.open_input_file(f"{base}/{name}") as f:
                     for raw in Scan(f, size).members(start, start + RANGE_BYTES):
-                        row = parse(raw)
+                        row = {"file": name} | parse(raw)
                         if not payloads:
                             row["payload"] = None
                         rows.append(row)
@@ -228,7 +231,8 @@ def _read(folder: str, payloads: bool):
 
 
 def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """Records of all archives in ``folder`` that the manifest names."""
+    """Records of all archives in ``folder`` that the manifest names, with the
+    ``file`` they are in; ``incomplete`` tells files whose members are damaged."""
     folder = qualified(manifest.sparkSession, folder)
     ranges = manifest.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(RANGE_BYTES))))
     n = ranges.count()
@@ -236,14 +240,22 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
         _read(folder, payloads), RECORD)
 
 
+def incomplete(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """Files that gave other than the manifest's number of records: ``file,
+    records, found``."""
+    found = records.groupBy("file").agg(F.count(F.lit(1)).alias("found"))
+    return manifest.select("file", "records").join(found, "file", "left").withColumn(
+        "found", F.coalesce("found", F.lit(0).cast("long"))).where("found <> records")
+
+
 def op2_warc(spark, sf_dir: str) -> DataFrame:
     """Write every page to archives and read them back."""
     folder = workspace(spark, "warc")
     manifest = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    return read_archives(manifest, folder, payloads=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
+    records = stored(read_archives(manifest, folder, payloads=False).drop("payload"), f"{qualified(spark, folder)}/records")
+    if short := incomplete(manifest, records).head(1):
+        raise ValueError(f"{short[0].file}: {short[0].found} records of {short[0].records}")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 #: The same as DuckDB SQL; five hexadecimal digits are four of base32.

@@ -65,6 +65,37 @@ def test_bytes_that_look_like_members_are_not_records():
         assert [warc.parse(m)["page_id"] for m in found] == [0, 1, 2]
 
 
+def test_damaged_members_are_counted(spark, scratch):
+    manifest = warc.write_archives(spark.createDataFrame(rows()[:40], PAGES).coalesce(1), f"{scratch}/w")
+    assert warc.incomplete(manifest, warc.read_archives(manifest, f"{scratch}/w", payloads=False)).count() == 0
+    name, = [r.file for r in manifest.collect()]
+    path = f"{scratch}/w/{name}".removeprefix("file:")
+    with open(path, "r+b") as f:
+        raw = f.read()
+        at = raw.index(warc.MAGIC, len(raw) // 2) + 20
+        f.seek(at)
+        f.write(bytes(x ^ 255 for x in raw[at:at + 8]))
+    records = warc.read_archives(manifest, f"{scratch}/w", payloads=False)
+    assert [tuple(r) for r in warc.incomplete(manifest, records).collect()] == [(name, 40, 39)]
+
+
+def test_blocks_of_a_long_member_are_looked_at_once():
+    import io
+    import time
+    raw = warc.member(warc.record("response", 1, "u", "d", b"0123456789abcdef" * (4 << 20), None))
+    took = time.perf_counter()
+    found, = warc.Scan(io.BytesIO(raw), len(raw), 1 << 10).members(0, 1)
+    assert len(found) > 64 << 20 and time.perf_counter() - took < 5
+
+
+def test_query_over_the_whole_table(spark, tmp_path):
+    pages = [r for r in rows() if r[0] != 5 or r[1] is None] + [(5, "http://h/5", "<p>5</p>")]
+    spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    out = warc.op2_warc(spark, str(tmp_path))
+    assert out.columns[:5] == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert {r.page_id: tuple(r)[1:5] for r in out.collect()} == expected(pages)
+
+
 def test_empty_table(spark, scratch):
     manifest = warc.write_archives(spark.createDataFrame([], PAGES), f"{scratch}/w")
     assert warc.read_archives(manifest, f"{scratch}/w").count() == 0
