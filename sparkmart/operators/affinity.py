@@ -6,7 +6,8 @@ the cut are broken by product_a, product_b ascending.
 
 One exact plan for baskets of any size, in which no basket is paired in full:
 
-1. Fact rows are collapsed to (customer, date, product, c) once and stored; a
+1. Fact rows are collapsed to (customer, date, product, c) once and stored as
+   Parquet in the shared folder, so that each later step reads its columns; a
    pair's count is the sum over baskets of ``c_a * c_b``.
 2. The ``HEADS`` products with most rows are paired with each other.  The k-th
    best of these exact counts, with its products, is a bound (tau, A, B):
@@ -24,6 +25,8 @@ One exact plan for baskets of any size, in which no basket is paired in full:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,8 +58,10 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
 
 def top_pairs(fact: DataFrame, k: int = 5, heads: int = HEADS) -> DataFrame:
     """Top-k pairs by (count desc, product_a, product_b), exact."""
-    checkpoint_root(fact.sparkSession)                        # names the checkpoint folder where unset
-    bp = basket_products(fact).checkpoint()
+    spark = fact.sparkSession
+    path = f"{checkpoint_root(spark)}/affinity-{uuid.uuid4().hex}"
+    basket_products(fact).write.parquet(f"{path}/baskets")
+    bp = spark.read.parquet(f"{path}/baskets")
     stats = bp.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
     some = stats.orderBy(F.desc("n"), "product_id").limit(heads).select("product_id")
     a, b = _sides(bp.join(F.broadcast(some), "product_id", "left_semi"))
@@ -71,7 +76,7 @@ def top_pairs(fact: DataFrame, k: int = 5, heads: int = HEADS) -> DataFrame:
             return bound >= least
         return (bound > tau) | ((bound == tau) & pair)
 
-    most = stats.agg(F.max("m")).first()[0] or 0
+    most = bp.agg(F.max("c")).first()[0] or 0
     rows = bp.join(stats, "product_id")
     a, b = _sides(rows, "n", "m")
     if full:
@@ -85,6 +90,11 @@ def top_pairs(fact: DataFrame, k: int = 5, heads: int = HEADS) -> DataFrame:
     high = _count(joined).where(F.col("together_count") >= least)
     if tau >= 2:
         return _best(high, k)
+    # The best k are stored; if they are fewer, they are all there are.
+    _best(high, k).write.parquet(f"{path}/high")
+    high = spark.read.parquet(f"{path}/high")
+    if high.count() == k:
+        return _best(high, k)
     smallest = Window.partitionBy(*BASKET).orderBy("product_id")
     firsts = bp.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= 2 * k)
     a, b = _sides(firsts)
