@@ -8,7 +8,13 @@
 2. *Retrieval.*  A code is cut into substrings of ``WIDTH`` bits, one hash table
    each.  A probe visits its own bucket and all at Hamming distance one, so two
    codes that differ in at most ``2 * tables - 1`` bits meet for certain, and
-   most that differ in a few more.
+   most that differ in a few more.  This may miss links (see ``linked``).
+   The *exact way* misses none.  Vectors with cosine >= c lie within
+   B = 2 - 2c (squared), so in one of T substrings they lie within B / T on its
+   axes.  Bits that differ there cost both together no more than that in squared
+   distances to the axes' zero, so one of the two pays at most B / 2T: it probes
+   every set of flips up to that sum.  Substrings are as wide as the number of
+   vectors has bits, so buckets stay small as the table grows.
 3. *Rerank.*  Pairs that meet are compared by cosine of the original vectors
    in double precision; only those at or above the threshold are links.
 
@@ -40,6 +46,8 @@ WIDTH = 16
 ROUNDS = 50
 #: Codes that differ in more bits than this are not reranked.
 RADIUS = 16
+#: Vectors whose exact probes a task makes at once.
+FLIPPED = 64
 
 
 class Itq:
@@ -63,9 +71,11 @@ class Itq:
             r = (left @ right).T
         return cls(mean, axes @ r)
 
+    def project(self, x: np.ndarray) -> np.ndarray:
+        return (x / np.linalg.norm(x, axis=1, keepdims=True) - self.mean) @ self.axes
+
     def code(self, x: np.ndarray) -> np.ndarray:
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        bits = ((x - self.mean) @ self.axes >= 0).astype(np.uint64)
+        bits = (self.project(x) >= 0).astype(np.uint64)
         return (bits << np.arange(bits.shape[1], dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64)
 
 
@@ -87,6 +97,49 @@ def _codes(model: dict[int, Itq]):
     return run
 
 
+def _tables(bits: int, count: int) -> list[tuple[int, int]]:
+    """Bit ranges of the substrings for ``count`` vectors, ``bits`` in all."""
+    edges = np.linspace(0, bits, max(1, bits // max(8, count.bit_length())) + 1).astype(int)
+    return list(zip(edges.tolist(), edges[1:].tolist()))
+
+
+def _flips(square: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and masks of all sets of bits whose squares sum up to the bound at most."""
+    row, mask, total = np.arange(len(square)), np.zeros(len(square), np.int64), np.zeros(len(square))
+    for i in range(square.shape[1]):
+        more = total + square[row, i]
+        fits = more <= bound
+        row, mask = np.append(row, row[fits]), np.append(mask, mask[fits] | (1 << i))
+        total = np.append(total, more[fits])
+    return row, mask
+
+
+MET = "label string, size int, t int, sub long, a long"
+
+
+def _probes(model: dict[int, Itq], count: int, least: float, flip: bool):
+    """Substrings of each vector, by table; with ``flip`` all that the exact way probes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, FLIPPED):
+                batch = whole.slice(at, FLIPPED)
+                size = batch.column("size").to_numpy()
+                for d in np.unique(size):
+                    some = np.flatnonzero(size == d)
+                    v = model[int(d)].project(_rows(batch.column("v").take(pa.array(some))))
+                    tables = _tables(v.shape[1], count)
+                    for t, (lo, hi) in enumerate(tables):
+                        part = v[:, lo:hi]
+                        sub = ((part >= 0).astype(np.int64) << np.arange(hi - lo)).sum(1)
+                        # a little above the bound, for rounding
+                        row, mask = _flips(part ** 2, (1 - least) / len(tables) + 1e-9) if flip else (np.arange(len(sub)), 0)
+                        of = pa.array(some[row])
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column("label").take(of), batch.column("size").take(of), pa.array(np.full(len(row), t, np.int32)),
+                             pa.array(sub[row] ^ mask), batch.column("cid").take(of)], names=["label", "size", "t", "sub", "a"])
+    return run
+
+
 def _rerank(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,8 +154,15 @@ def _rerank(least: float):
     return run
 
 
-def linked(vectors: DataFrame, least: float = 0.98) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of ``vectors (vec_id, embedding, label)``."""
+def linked(vectors: DataFrame, least: float = 0.98, exact: bool | None = None) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` of ``vectors (vec_id, embedding, label)``.
+
+    ``exact`` retrieves by the exact way, which costs more probes (some 90 for
+    each substring at up to ``BITS`` dimensions, far more beyond); if false,
+    pairs whose codes differ in more than ``RADIUS`` bits, or in two bits of
+    every substring, are missed.  By default vectors of fewer than ``BITS``
+    dimensions, whose codes are too short for that, go the exact way.
+    """
     spark = vectors.sparkSession
     path = workspace(spark, "embedding_dedup")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
@@ -120,7 +180,11 @@ def linked(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     codes = stored(classes.select("cid", "label", "size", "v").mapInArrow(
         _codes(model), "cid long, label string, size int, code long"), f"{path}/codes")
 
-    tables = [(t, t * WIDTH) for t in range(max([1, *[-(-min(BITS, d) // WIDTH) for d in model]]))]
+    strict = [d for d in model if exact or (exact is None and d < BITS)]
+    every = codes
+    codes = codes.where(~F.col("size").isin(strict)) if strict else codes
+
+    tables = [(t, t * WIDTH) for t in range(max([1, *[-(-min(BITS, d) // WIDTH) for d in model if d not in strict]]))]
     part = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.shiftrightunsigned("code", s).bitwiseAND(
         F.lit((1 << WIDTH) - 1)).alias("sub")) for t, s in tables]))
     index = codes.withColumn("p", part).select("label", "size", "p.t", "p.sub", "cid", "code")
@@ -131,7 +195,15 @@ def linked(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     met = probes.join(index.select("label", "size", "t", "sub", F.col("cid").alias("b"), F.col("code").alias("code_b")),
                       ["label", "size", "t", "sub"])
     met = met.where((F.col("a") < F.col("b")) & (F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= RADIUS))
-    pairs = stored(met.select("a", "b").distinct(), f"{path}/pairs")
+    met = met.select("a", "b")
+    if strict:
+        long_way = classes.where(F.col("size").isin(strict)).select("cid", "label", "size", "v")
+        count = every.count()
+        own = long_way.mapInArrow(_probes(model, count, least, False), MET).withColumnRenamed("a", "b")
+        flipped = long_way.mapInArrow(_probes(model, count, least, True), MET)
+        met = met.unionAll(flipped.join(own, ["label", "size", "t", "sub"]).where("a <> b")
+                           .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    pairs = stored(met.distinct(), f"{path}/pairs")
     x = classes.select(F.col("cid").alias("a"), F.col("v").alias("x"), "size")
     y = classes.select(F.col("cid").alias("b"), F.col("v").alias("y"))
     links = stored(pairs.join(x, "a").join(y, "b").mapInArrow(_rerank(least), "a long, b long"), f"{path}/links")
