@@ -16,6 +16,7 @@ does not hide a valid later one.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from sparkmart.functions.calendar import year_of_date_id
 from sparkmart.operators import dims
 from sparkmart.operators.dedupe import insert_ignore
 from sparkmart.operators.joins import enrich_date, enrich_product, with_revenue
+from sparkmart.session import checkpoint_root
 from sparkmart.sources.calendar import dim_date as make_calendar
 from sparkmart.sources.csv import POS
 
@@ -72,8 +74,12 @@ class Inputs:
     calendar: tuple[str, str]
 
 
-def build_facts(inputs: Inputs, dim_date: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate fact rows (before duplicate removal) and rejected transactions."""
+def build_facts(inputs: Inputs, dim_date: DataFrame, work: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candidate fact rows (before duplicate removal) and rejected transactions.
+
+    With ``work``, a folder that isn't there yet, the joined transactions are
+    stored in it, and both results read them instead of joining twice.
+    """
     tx = inputs.transactions
     lookup = dims.product_lookup(inputs.products)
     cust = inputs.customers.select("customer_id")
@@ -85,23 +91,27 @@ def build_facts(inputs: Inputs, dim_date: DataFrame) -> tuple[DataFrame, DataFra
               .when(F.col("price").isNull(), F.lit("unknown_product"))
               .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))
               .when(F.col("revenue").isNull(), F.lit("revenue_overflow")))
-    tagged = tagged.withColumn("reason", reason)
+    rejected = ["order_id", "customer_id", "product_id", "quantity", "sale_date", POS, "reason"]
+    tagged = tagged.withColumn("reason", reason).select(*dict.fromkeys([*FACT_COLS, *rejected]))
+    if work:
+        tagged.write.parquet(work)
+        tagged = tagged.sparkSession.read.schema(tagged.schema).parquet(work)
     good = tagged.where(F.col("reason").isNull()).select(*FACT_COLS, POS)
-    rejects = tagged.where(F.col("reason").isNotNull()).select(
-        "order_id", "customer_id", "product_id", "quantity", "sale_date", POS, "reason")
+    rejects = tagged.where(F.col("reason").isNotNull()).select(*rejected)
     return good, rejects
 
 
-def new_rows(spark: SparkSession, inputs: Inputs, existing: Star | None = None) -> tuple[Star, DataFrame]:
+def new_rows(spark: SparkSession, inputs: Inputs, existing: Star | None = None,
+             work: str | None = None) -> tuple[Star, DataFrame]:
     """Rows each table gains from ``inputs`` (insert-if-absent on every key),
-    and the rejected transactions.
+    and the rejected transactions; ``work`` as in ``build_facts``.
 
     With ``existing`` = None this is a first load.  ``dim_date`` is generated
     for ``inputs.calendar`` and only gains days not yet stored.
     """
     ex = existing
     cal = make_calendar(spark, *inputs.calendar)
-    facts, rejects = build_facts(inputs, cal)
+    facts, rejects = build_facts(inputs, cal, work)
 
     def ignore(df, name, order=POS):
         keys = schema.PRIMARY_KEYS[name]
@@ -141,15 +151,21 @@ def load_warehouse(spark: SparkSession, inputs: Inputs, root: str,
 
     Rejected transactions (reason per row) and any cleaning rejects passed in
     ``quarantine`` are added to ``root/rejects/<source>`` unless they are
-    there.  Returns the rows added per table.
+    there.  The joined transactions are stored in the shared checkpoint folder
+    for the time of the load, so the joins run once.  Returns the rows added
+    per table.
     """
     from sparkmart.sources import warehouse as wh  # storage helpers
 
-    fresh, rejects = new_rows(spark, inputs, existing=wh.read_star(spark, root))
-    added = wh.write_star(fresh, root, mode="append")
-    for source, df in {"transactions_load": rejects, **(quarantine or {})}.items():
-        path = f"{root.rstrip('/')}/rejects/{source}/epoch=-1"     # streams write other epochs beside it
-        if wh.path_exists(spark, path):               # a reject that is there stays one row
-            df = df.subtract(spark.read.schema(df.schema).parquet(path))
-        df.write.mode("append").parquet(path)
-    return added
+    work = f"{checkpoint_root(spark)}/load-{uuid.uuid4().hex}"
+    try:
+        fresh, rejects = new_rows(spark, inputs, existing=wh.read_star(spark, root), work=work)
+        added = wh.write_star(fresh, root, mode="append")
+        for source, df in {"transactions_load": rejects, **(quarantine or {})}.items():
+            path = f"{root.rstrip('/')}/rejects/{source}/epoch=-1"     # streams write other epochs beside it
+            if wh.path_exists(spark, path):               # a reject that is there stays one row
+                df = df.subtract(spark.read.schema(df.schema).parquet(path))
+            df.write.mode("append").parquet(path)
+        return added
+    finally:
+        wh.remove(spark, work)

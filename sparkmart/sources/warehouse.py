@@ -54,6 +54,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

@@ -93,6 +93,23 @@ def test_load_warehouse_twice_with_rejects(spark, scratch):
     assert [(r.order_id, r.reason) for r in rej] == [(2, "unknown_customer")]     # once, after two loads
 
 
+def test_facts_and_rejects_read_the_joins_once(spark, scratch):
+    inp = fx.inputs(spark, [fx.cust_row(1)], [fx.prod_row("P1", 2.0, 0)], [
+        (1, 1, "P1", 1, fx.d("2016-04-02"), 0), (2, 9, "P1", 1, fx.d("2016-04-02"), 1), (3, 1, "P9", 1, fx.d("2016-04-02"), 2)])
+    cal = dim_date(spark, *inp.calendar)
+    want = [_rows(x, "order_id") for x in build_facts(inp, cal)]
+    good, rejects = build_facts(inp, cal, f"{scratch}/joined")
+    assert [_rows(x, "order_id") for x in (good, rejects)] == want == [[(1,)], [(2,), (3,)]]
+    for df in (good, rejects):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    import glob
+    from sparkmart.plans.etl import load_warehouse
+    from sparkmart.session import checkpoint_root
+    load_warehouse(spark, inp, f"{scratch}/wh_once")
+    assert not glob.glob(checkpoint_root(spark).removeprefix("file:") + "/load-*")      # nothing is left behind
+
+
 def test_a_table_that_is_missing_or_streamed_is_no_first_load(spark, scratch):
     """Facts that another loader wrote stay, whatever else the root lacks."""
     from sparkmart.plans.etl import load_warehouse
