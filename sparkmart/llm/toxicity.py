@@ -17,7 +17,9 @@
   is the logistic function of the weights of the distinct features found.
 
 Fitted on at most ``sample`` labelled rows (by hash of doc_id; the only bounded
-input); the language model and the scores cover all texts, whole.
+input).  Of their features those found in four rows or more are ranked by how well
+they tell the labels apart, and at most ``FEATURES`` get a weight.  The language
+model and the scores cover all texts, whole.
 
 Edge cases: null and empty texts have no features and get the model's
 intercept; null doc_ids are scored like others, and their held_out is false;
