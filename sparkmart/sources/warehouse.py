@@ -65,6 +65,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder; 0 if it isn't there."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 #: Bucketed tables: the keys, and the order inside a file.
 BUCKETED = {"fact_sales": (schema.PRIMARY_KEYS["fact_sales"], "date_id"),
             "dim_customer": (schema.PRIMARY_KEYS["dim_customer"], "customer_id"),

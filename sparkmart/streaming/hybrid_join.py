@@ -35,6 +35,8 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +48,9 @@ from sparkmart.operators.clean import clean_customers, clean_products, clean_tra
 from sparkmart.operators.dedupe import first_by, insert_ignore_batch
 from sparkmart.operators.joins import enrich_date, enrich_product_as_of, with_revenue
 from sparkmart.plans.etl import FACT_COLS
+from sparkmart.session import checkpoint_root
 from sparkmart.sources.csv import POS, batch_position
-from sparkmart.sources.warehouse import make_folder, path_exists, read_table, rename, table_path, write_table
+from sparkmart.sources.warehouse import make_folder, path_exists, read_table, remove, rename, table_path, write_table
 
 DEFAULT_TTL = "24 hours"
 DEFAULT_DISORDER = "1 second"
@@ -103,6 +106,21 @@ def stored_rows(spark: SparkSession, root: str, name: str, rows: T.StructType) -
     return spark.read.schema(sch).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], sch)
 
 
+@contextmanager
+def kept(df: DataFrame):
+    """``df`` stored in the shared checkpoint folder while it is used.  A write to a
+    table (or a refresh of it) drops every cached plan that reads the table, so a
+    cache of rows that were joined with a dimension would not outlive the inserts
+    into that dimension."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/batch-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 # ------------------------------------------------------------------ waiting
 
 def hybrid_join_stream(misses: DataFrame, customers: DataFrame, ttl: str = DEFAULT_TTL,
@@ -195,9 +213,17 @@ class WarehouseLoader:
         self.root, self.tag, self.lock = root.rstrip("/"), tag, lock or threading.Lock()
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
+        # The stateful plan runs once, though the rows are read twice below.
         batch = batch.persist()
-        batch.count()                       # the stateful plan runs once, though the rows are read twice below
+        try:
+            if batch.count():
+                self.load(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def load(self, batch: DataFrame, epoch_id: int) -> None:
+        """Load joined rows that are cheap to read again."""
+        spark = batch.sparkSession
         versions = stored_rows(spark, self.root, PRODUCTS, PRODUCT_ROWS)
         versions = versions.join(batch.select("product_id").distinct(), "product_id", "left_semi")
         cal = read_table(spark, self.root, "dim_date")
@@ -206,13 +232,8 @@ class WarehouseLoader:
                   .when(F.col("price").isNull(), F.lit("unknown_product"))
                   .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))
                   .when(F.col("revenue").isNull(), F.lit("revenue_overflow")))
-        tagged = tagged.withColumn("reason", reason).persist()
-        try:
-            with self.lock:
-                self._load(spark, tagged, epoch_id)
-        finally:
-            tagged.unpersist()
-            batch.unpersist()
+        with kept(tagged.withColumn("reason", reason)) as stored, self.lock:
+            self._load(spark, stored, epoch_id)
 
     def _insert(self, spark, rows: DataFrame, name: str, key_range) -> None:
         """First row per key, then insert-if-absent against the stored table."""
@@ -343,14 +364,11 @@ class Probe:
         known = self.known(spark, good.select("customer_id"), epoch_id)
         in_time = F.col(C_ARRIVAL) <= F.col("arrival_ts") + self.ttl
         probed = good.join(known, (F.col("customer_id") == F.col("c_customer_id")) & in_time, "left")
-        probed = probed.withColumn("matched", F.col("c_customer_id").isNotNull()).persist()
-        try:
-            self.loader(probed.where("matched"), epoch_id)
+        with kept(probed.withColumn("matched", F.col("c_customer_id").isNotNull())) as probed:
+            self.loader.load(probed.where("matched"), epoch_id)
             misses = probed.where(~F.col("matched")).withColumn("tick", F.lit(False))
             misses = misses.withColumn("wait_ts", F.greatest("arrival_ts", floor))
             write_once(out.unionByName(misses.select(*MISS_ROWS.names)), path)
-        finally:
-            probed.unpersist()
 
 
 def ensure_dim_date(spark: SparkSession, root: str, calendar: DataFrame) -> None:

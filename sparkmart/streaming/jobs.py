@@ -33,6 +33,8 @@ from sparkmart.streaming.hybrid_join import (
 FILES_PER_TRIGGER = 8
 #: Rows of one file of the replayed feed.
 FEED_ROWS = 20_000
+#: Stored bytes of a feed for one partition of its state and one bucket of its tables.
+PARTITION_BYTES = 16 << 20
 
 
 def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
@@ -52,6 +54,19 @@ def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     csv_src.write_text_parquet(testdata.transactions_as_csv(feed), f"{inbox}/transactions")
 
 
+def feed_session(spark: SparkSession, inbox: str) -> SparkSession:
+    """A session whose shuffle partitions fit a stored feed: one for each
+    ``PARTITION_BYTES`` and one for each core at least, and no more than the caller's
+    session has.  Every micro-batch visits all partitions of the state and all
+    buckets of the tables, however few rows it has, so their number follows the
+    feed; it holds for the warehouse and the checkpoint that are laid out here."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fit = max(spark.sparkContext.defaultParallelism, warehouse.folder_bytes(spark, inbox) // PARTITION_BYTES + 1)
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(min(most, fit)))
+    return session
+
+
 def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: str,
                       ttl: str = DEFAULT_TTL, files_per_trigger: int = FILES_PER_TRIGGER,
                       available_now: bool = True, processing_time: str | None = None,
@@ -147,8 +162,9 @@ def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None
     root = f"{base}/warehouse"
     if not warehouse.exists(spark, base):
         write_arrivals(spark, sf_dir, f"{base}/inbox")
-        ensure_dim_date(spark, root, make_calendar(spark, *testdata.calendar_range(spark, sf_dir)))
-        q = start_hybrid_load(spark, f"{base}/inbox", root, f"{base}/checkpoints/load")
+        session = feed_session(spark, f"{base}/inbox")
+        ensure_dim_date(session, root, make_calendar(session, *testdata.calendar_range(session, sf_dir)))
+        q = start_hybrid_load(session, f"{base}/inbox", root, f"{base}/checkpoints/load")
         q.awaitTermination()
         warehouse.complete(spark, base)
     return warehouse.read_table(spark, root, "fact_sales").select(*FACT_COLS)
@@ -201,8 +217,9 @@ def replayed(spark: SparkSession, sf_dir: str) -> str:
     root = f"{base}/warehouse"
     if not warehouse.exists(spark, base):
         write_replay(spark, sf_dir, f"{base}/inbox")
-        ensure_dim_date(spark, root, make_calendar(spark, *testdata.calendar_range(spark, sf_dir)))
-        q = start_hybrid_load(spark, f"{base}/inbox", root, f"{base}/checkpoints/load", ttl=REPLAY_TTL,
+        session = feed_session(spark, f"{base}/inbox")
+        ensure_dim_date(session, root, make_calendar(session, *testdata.calendar_range(session, sf_dir)))
+        q = start_hybrid_load(session, f"{base}/inbox", root, f"{base}/checkpoints/load", ttl=REPLAY_TTL,
                               arrival="arrived", disorder=REPLAY_DISORDER)
         q.awaitTermination()
         warehouse.complete(spark, base)
@@ -325,9 +342,10 @@ def stream_store_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not warehouse.exists(spark, out + "_done"):
         fact_schema = T.StructType(schema.FACT_SALES.fields
                                    + [T.StructField(schema.FACT_PARTITION, T.IntegerType())])
-        facts = (spark.readStream.schema(fact_schema).option("maxFilesPerTrigger", 16)
+        session = feed_session(spark, f"{base}/inbox")
+        facts = (session.readStream.schema(fact_schema).option("maxFilesPerTrigger", 16)
                  .parquet(warehouse.table_path(root, "fact_sales")))
-        dims = {n: warehouse.read_table(spark, root, n) for n in ("dim_date", "dim_store")}
+        dims = {n: warehouse.read_table(session, root, n) for n in ("dim_date", "dim_store")}
         start_live_view(facts, dims["dim_date"], dims["dim_store"], out, f"{base}/checkpoints/store_quarterly").awaitTermination()
         warehouse.complete(spark, out + "_done")
     return read_live_view(spark, out)

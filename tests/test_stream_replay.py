@@ -3,15 +3,17 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from sparkmart import schema
 from sparkmart.operators.joins import enrich_product_as_of
 from sparkmart.plans.etl import load_warehouse
 from sparkmart.sources import csv as csv_src
+from sparkmart.sources import warehouse as wh
 from sparkmart.sources.calendar import dim_date
 from sparkmart.sources.warehouse import read_table
 from sparkmart.streaming import jobs
-from sparkmart.streaming.hybrid_join import ensure_dim_date
+from sparkmart.streaming.hybrid_join import WarehouseLoader, ensure_dim_date, preload_products
 from tests import fixtures as fx
 
 TX = "orderID string, Customer_ID string, Product_ID string, quantity string, date string, arrived string"
@@ -227,3 +229,42 @@ def test_live_view_writes_what_changed(spark, scratch):
     put([(102, 20160710, 4, "1.00")])
     run()
     assert view() == {**before, ("S4", 3): "1.00"}
+
+
+def test_partitions_follow_the_feed(spark, scratch):
+    """A small feed isn't dealt over all the partitions that the session has."""
+    spark.range(100).write.parquet(f"{scratch}/inbox/transactions")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        session = jobs.feed_session(spark, f"{scratch}/inbox")
+        assert int(session.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
+        assert wh.buckets(session, f"{scratch}/wh") == spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        assert jobs.feed_session(spark, f"{scratch}/inbox").conf.get("spark.sql.shuffle.partitions") == "2"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_inserts_do_not_compute_a_micro_batch_again(spark, scratch):
+    """Rows joined with a dimension are computed once, though the load writes that dimension."""
+    root, seen = f"{scratch}/wh", spark.sparkContext.accumulator(0)
+    wh.write_table(spark, root, "dim_customer", fx.inputs(spark, [fx.cust_row(1)], [], []).customers)
+    stored = wh.read_table(spark, root, "dim_customer").withColumnRenamed("customer_id", "c_customer_id")
+
+    @F.udf("int")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(1, 4).select(
+        F.col("id").alias("order_id"), F.lit(1).cast("long").alias("customer_id"), F.lit("P1").alias("product_id"),
+        counted.asNondeterministic()(F.lit(2)).alias("quantity"), F.lit(fx.d("2016-04-12")).alias("sale_date"),
+        F.struct(F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("id").alias("row")).alias("src_pos"),
+        F.current_timestamp().alias("arrival_ts"), F.lit(True).alias("matched"))
+    rows = rows.join(stored, F.col("customer_id") == F.col("c_customer_id")).withColumn("c_pos", F.col("src_pos"))
+    ensure_dim_date(spark, root, dim_date(spark, "2016-01-01", "2016-12-31"))
+    preload_products(spark, root, fx.inputs(spark, [], [fx.prod_row("P1", 2.0, 0)], []).products)
+    WarehouseLoader(root)(rows, 0)
+    assert wh.read_table(spark, root, "fact_sales").count() == 3 and seen.value == 3
