@@ -268,3 +268,11 @@ def test_inserts_do_not_compute_a_micro_batch_again(spark, scratch):
     preload_products(spark, root, fx.inputs(spark, [], [fx.prod_row("P1", 2.0, 0)], []).products)
     WarehouseLoader(root)(rows, 0)
     assert wh.read_table(spark, root, "fact_sales").count() == 3 and seen.value == 3
+
+
+def test_facts_are_sent_twice_in_one_file_without_a_shuffle(spark, scratch):
+    rows = spark.range(40, numPartitions=4)
+    jobs.write_twice(rows, f"{scratch}/twice")
+    back = spark.read.parquet(f"{scratch}/twice").withColumn("file", F.input_file_name())
+    assert {r["count"] for r in back.groupBy("id", "file").count().collect()} == {2} and back.count() == 80
+    assert back.select("file").distinct().count() == 4
