@@ -68,10 +68,16 @@ def duplicate_master_keys(masters: dict[str, tuple[DataFrame, list[str]]]) -> Da
 
     Duplicated product ids matter: the product dimension keeps the first row
     while revenue uses the last row's price.
+
+    The keys are dealt out over all shuffle partitions before they are counted.
+    Else a source that comes from a join on a part of the key is counted inside the
+    join's tasks, which hold the join's rows and every key at once, in as few
+    partitions as the join's small rows were coalesced to.
     """
     parts = []
     for source, (df, keys) in masters.items():
-        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        g = df.select(*keys).repartition(n, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         parts.append(g.agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
                            F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
                            .cast("bigint").alias("rows_with_duplicate_keys"))
