@@ -62,10 +62,12 @@ def parse_price(col) -> Column:
 
 
 def parse_date(col) -> Column:
-    """Strict ``yyyy-MM-dd`` first, then the ISO date cast (which accepts
-    ``2016-4-2`` and a trailing time), then the fallback layouts."""
+    """The ISO date cast first (it reads ``yyyy-MM-dd``, and accepts ``2016-4-2``
+    and a trailing time), then ``yyyy-MM-dd`` by the formatter and the fallback
+    layouts.  The cast and the formatter agree wherever both read a date, and the
+    cast is several times cheaper."""
     raw = F.trim(_c(col).cast("string"))
-    tries = [F.try_to_date(raw, "yyyy-MM-dd"), raw.try_cast("date")]
+    tries = [raw.try_cast("date"), F.try_to_date(raw, "yyyy-MM-dd")]
     tries += [F.try_to_date(raw, fmt) for fmt in DATE_FALLBACK_FORMATS]
     return F.coalesce(*tries)
 
