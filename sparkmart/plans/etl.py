@@ -78,11 +78,17 @@ def build_facts(inputs: Inputs, dim_date: DataFrame, work: str | None = None) ->
     """Candidate fact rows (before duplicate removal) and rejected transactions.
 
     With ``work``, a folder that isn't there yet, the joined transactions are
-    stored in it, and both results read them instead of joining twice.
+    stored in it, and both results read them instead of joining twice.  Without
+    it the facts have a plan of their own, which a load without rejects runs alone:
+    a semi join, which Catalyst moves to the table that the customer key comes from,
+    so transactions aren't dealt by customer.
     """
     tx = inputs.transactions
     lookup = dims.product_lookup(inputs.products)
     cust = inputs.customers.select("customer_id")
+    if not work:
+        known = with_revenue(enrich_date(enrich_product(tx.join(cust, "customer_id", "left_semi"), lookup), dim_date))
+        known = known.where(F.col("price").isNotNull() & F.col("date_id").isNotNull() & F.col("revenue").isNotNull())
     # One pass tags every transaction; the left joins keep the unmatched rows
     # so good rows and rejects come from the same plan.
     tagged = tx.join(cust.distinct().withColumn("__known", F.lit(True)), "customer_id", "left")
@@ -96,7 +102,7 @@ def build_facts(inputs: Inputs, dim_date: DataFrame, work: str | None = None) ->
     if work:
         tagged.write.parquet(work)
         tagged = tagged.sparkSession.read.schema(tagged.schema).parquet(work)
-    good = tagged.where(F.col("reason").isNull()).select(*FACT_COLS, POS)
+    good = (tagged.where(F.col("reason").isNull()) if work else known).select(*FACT_COLS, POS)
     rejects = tagged.where(F.col("reason").isNotNull()).select(*rejected)
     return good, rejects
 

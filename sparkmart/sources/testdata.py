@@ -81,19 +81,18 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per line item; the source position orders line items
     of one (order, part) by line number, then the remaining line columns."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity",
-        "l_shipdate", "l_extendedprice")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-            .select(
-                F.col("l_orderkey").cast("bigint").alias("order_id"),
-                F.col("o_custkey").cast("bigint").alias("customer_id"),
-                product_key("l_partkey").alias("product_id"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                F.to_date("o_orderdate").alias("sale_date"),
-                F.struct("l_linenumber", "l_suppkey", "l_quantity", "l_shipdate",
-                         "l_extendedprice").alias(POS),
-            ))
+        F.col("l_orderkey").cast("bigint").alias("order_id"),
+        product_key("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.struct("l_linenumber", "l_suppkey", "l_quantity", "l_shipdate", "l_extendedprice").alias(POS))
+    od = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("__order_id"),
+        F.col("o_custkey").cast("bigint").alias("customer_id"),
+        F.to_date("o_orderdate").alias("sale_date"))
+    # Values are computed below the join: above it they would keep Catalyst from
+    # moving a semi join by customer down to the orders.
+    return (li.join(od, li.order_id == od["__order_id"], "inner")
+            .select("order_id", "customer_id", "product_id", "quantity", "sale_date", POS))
 
 
 # ---- reference CSV text layout --------------------------------------------

@@ -118,7 +118,8 @@ def define_table(spark: SparkSession, root: str, name: str, database: str | None
         before = spark.conf.get(tracked)
         spark.conf.set(tracked, "false")
         try:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet {partition} {keyed} LOCATION '{where}'")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet OPTIONS (compression 'zstd') "
+                      f"{partition} {keyed} LOCATION '{where}'")
         finally:
             spark.conf.set(tracked, before)
     return full
@@ -140,16 +141,18 @@ def write_table(spark: SparkSession, root: str, name: str, rows: DataFrame, mode
     """Append (or write anew) rows of a star table; returns how many, counted as
     they are written."""
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.STAR_TABLES[name].fields])
-    if name == "fact_sales":
-        rows = with_partition_column(rows)
     n, written = buckets(spark, root), Observation()
     if not n:
+        if name == "fact_sales":
+            rows = with_partition_column(rows)
         out = rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode(mode)
         (out.partitionBy(schema.FACT_PARTITION) if name == "fact_sales" else out).parquet(table_path(root, name))
         return written.get["n"]
     full = define_table(spark, root, name)
     if name in BUCKETED:
         rows = rows.repartition(n, *BUCKETED[name][0])       # a task has one bucket
+    if name == "fact_sales":
+        rows = with_partition_column(rows)
     rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(full, overwrite=mode == "overwrite")
     return written.get["n"]
 
