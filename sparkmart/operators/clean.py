@@ -26,7 +26,7 @@ def _first_reason(checks) -> F.Column:
     return expr
 
 
-def _split(raw: DataFrame, typed: dict[str, F.Column], checks, keep=()) -> tuple[DataFrame, DataFrame]:
+def _split(raw: DataFrame, typed: dict[str, F.Column], checks, keep=(), hold=None) -> tuple[DataFrame, DataFrame]:
     # The raw text travels as one struct: its names may differ from the typed
     # ones only by case, which Spark's resolver would find ambiguous.
     raw_cols = [c for c in raw.columns if c != POS and c not in keep]
@@ -38,12 +38,13 @@ def _split(raw: DataFrame, typed: dict[str, F.Column], checks, keep=()) -> tuple
     tagged = tagged.withColumn(REASON, _first_reason([
         (F.col(c[0]).isNull() & (F.trim(F.col(f"__raw.`{c[2]}`")) != "") if len(c) > 2 else F.col(c[0]).isNull(), c[1])
         for c in checks]))
+    tagged = hold(tagged) if hold else tagged
     good = tagged.where(F.col(REASON).isNull()).select(*typed, *keep, POS)
     bad = tagged.where(F.col(REASON).isNotNull()).select("__raw.*", POS, REASON)
     return good, bad
 
 
-def clean_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def clean_transactions(raw: DataFrame, hold=None) -> tuple[DataFrame, DataFrame]:
     """orderID, Customer_ID, quantity -> integers; Product_ID -> text;
     date -> date.  A row failing any of them is rejected."""
     keep = [c for c in ("arrival_ts",) if c in raw.columns]
@@ -57,10 +58,10 @@ def clean_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     checks = [("order_id", "bad_order_id"), ("customer_id", "bad_customer_id"),
               ("product_id", "missing_product_id"), ("quantity", "bad_quantity"),
               ("sale_date", "bad_date")]
-    return _split(raw, typed, checks, keep)
+    return _split(raw, typed, checks, keep, hold)
 
 
-def clean_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def clean_customers(raw: DataFrame, hold=None) -> tuple[DataFrame, DataFrame]:
     """Customer_ID -> integer key (row rejected if unreadable); the text
     attributes are trimmed (missing -> NULL); Marital_Status -> boolean
     (missing -> NULL, unreadable -> rejected)."""
@@ -75,10 +76,10 @@ def clean_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "marital_status": parse_flag("Marital_Status"),
     }
     checks = [("customer_id", "bad_customer_id"), ("marital_status", "bad_marital_status", "Marital_Status")]
-    return _split(raw, typed, checks, keep)
+    return _split(raw, typed, checks, keep, hold)
 
 
-def clean_products(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def clean_products(raw: DataFrame, hold=None) -> tuple[DataFrame, DataFrame]:
     """Product_ID text key, ``price$`` parsed (``$1,234.50`` form), store and
     supplier ids as integers.  Missing/NaN/inf price, or an unreadable key,
     rejects the row."""
@@ -94,4 +95,4 @@ def clean_products(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     }
     checks = [("product_id", "missing_product_id"), ("price", "missing_price"),
               ("store_id", "bad_store_id"), ("supplier_id", "bad_supplier_id")]
-    return _split(raw, typed, checks, keep)
+    return _split(raw, typed, checks, keep, hold)

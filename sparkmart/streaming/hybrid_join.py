@@ -37,6 +37,7 @@ import hashlib
 import threading
 import uuid
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -223,17 +224,28 @@ class WarehouseLoader:
 
     def load(self, batch: DataFrame, epoch_id: int) -> None:
         """Load joined rows that are cheap to read again."""
+        with self.enriched(batch, batch) as stored:
+            self.insert(stored, epoch_id)
+
+    def enriched(self, batch: DataFrame, products: DataFrame):
+        """Joined rows with price, store, supplier, date, revenue and the reason why a
+        row is no fact, kept while they are used; ``batch`` is read once.  ``products``
+        has the batch's ``product_id`` s and is cheap to read."""
         spark = batch.sparkSession
         versions = stored_rows(spark, self.root, PRODUCTS, PRODUCT_ROWS)
-        versions = versions.join(batch.select("product_id").distinct(), "product_id", "left_semi")
+        versions = versions.join(products.select("product_id").distinct(), "product_id", "left_semi")
         cal = read_table(spark, self.root, "dim_date")
         tagged = with_revenue(enrich_date(enrich_product_as_of(batch, versions), cal, how="left"))
         reason = (F.when(~F.col("matched"), F.lit("customer_not_seen_within_ttl"))
                   .when(F.col("price").isNull(), F.lit("unknown_product"))
                   .when(F.col("date_id").isNull(), F.lit("date_outside_calendar"))
                   .when(F.col("revenue").isNull(), F.lit("revenue_overflow")))
-        with kept(tagged.withColumn("reason", reason)) as stored, self.lock:
-            self._load(spark, stored, epoch_id)
+        return kept(tagged.withColumn("reason", reason))
+
+    def insert(self, stored: DataFrame, epoch_id: int) -> None:
+        """Write ``enriched`` rows to their tables."""
+        with self.lock:
+            self._load(stored.sparkSession, stored, epoch_id)
 
     def _insert(self, spark, rows: DataFrame, name: str, key_range) -> None:
         """First row per key, then insert-if-absent against the stored table."""
@@ -274,36 +286,55 @@ def tagged_rows(stream: DataFrame, kind: str) -> DataFrame:
     return stream.select(F.lit(kind).alias("kind"), F.struct(*[F.col(f"`{c}`") for c in raw]).alias(kind), POS, "arrival_ts")
 
 
+def tick_row(spark: SparkSession, rows: T.StructType, **values) -> DataFrame:
+    """One row of ``rows`` with these values, the rest null, in one partition."""
+    return spark.range(0, 1, 1, 1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.fields])
+
+
 class Probe:
-    """``foreachBatch`` sink of the first query: raw rows of all sources."""
+    """``foreachBatch`` sink of the first query: raw rows of all sources.  What the
+    cleaners reject is written by epoch if there is any."""
 
     CLEAN = {"transactions": clean_transactions, "customers": clean_customers, "products": clean_products}
 
     def __init__(self, root: str, feed: str, ttl: str, disorder: str, loader: WarehouseLoader):
         self.root, self.feed, self.loader = root.rstrip("/"), feed, loader
         self.ttl, self.disorder = F.expr(f"INTERVAL {ttl}"), F.expr(f"INTERVAL {disorder}")
+        self.last = None                                     # (epoch, clock) of the epoch that this object has ended
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch_position(batch).persist()
+        held, good = [rows], {}
+
+        def hold(tagged: DataFrame) -> DataFrame:
+            held.append(tagged.persist())
+            return held[-1]
+
         try:
             seen = {r["kind"]: r["top"] for r in rows.groupBy("kind").agg(F.max("arrival_ts").alias("top")).collect()}
-            before = self._clock(spark, epoch_id)
+            before = self.last[1] if self.last and self.last[0] == epoch_id - 1 else self._clock(spark, epoch_id)
             now = max([t for t in [before, *seen.values()] if t is not None], default=None)
             if now is None:
                 return
-            good = {}
+            # Rows are parsed once; a source without rejects writes none.
+            bad = {}
             for kind, clean in self.CLEAN.items():
                 if kind in seen:
-                    good[kind], bad = clean(rows.where(F.col("kind") == kind).select(f"{kind}.*", POS, "arrival_ts"))
-                    EpochWriter(self.root, f"rejects/{kind}", self.loader.tag)(bad, epoch_id)
+                    good[kind], bad[kind] = clean(rows.where(F.col("kind") == kind).select(f"{kind}.*", POS, "arrival_ts"), hold)
+            counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, df in bad.items()]
+            for r in reduce(DataFrame.unionByName, counts).collect() if counts else []:
+                if r["n"]:
+                    EpochWriter(self.root, f"rejects/{r['kind']}", self.loader.tag)(bad[r["kind"]], epoch_id)
             floor = F.lit(before).cast("timestamp") - self.disorder + F.expr("INTERVAL 1 millisecond")
             if "products" in good:
                 add_products(spark, self.root, good["products"].withColumnRenamed("arrival_ts", "since"), self.feed, epoch_id)
             self._customers(spark, good.get("customers"), floor, now, epoch_id)
             self._transactions(spark, good.get("transactions"), floor, now, epoch_id)
+            self.last = (epoch_id, now)
         finally:
-            rows.unpersist()
+            for df in held:
+                df.unpersist()
 
     def _clock(self, spark: SparkSession, epoch_id: int):
         """The latest arrival up to the epoch before."""
@@ -323,9 +354,7 @@ class Probe:
         if path_exists(spark, path):
             return
         # The join's null checks run below the watermark: a tick has a key.
-        tick = (spark.createDataFrame([(-1, now)], f"c_customer_id long, {C_ARRIVAL} timestamp")
-                .withColumn("c_ts", F.col(C_ARRIVAL)).withColumn("c_tick", F.lit(True)))
-        out = spark.createDataFrame([], CUSTOMER_ROWS).unionByName(tick, allowMissingColumns=True)
+        out = tick_row(spark, CUSTOMER_ROWS, c_customer_id=-1, **{C_ARRIVAL: now}, c_ts=now, c_tick=True)
         if good is not None:
             first = first_by(good.withColumn("__order", F.struct("arrival_ts", POS)).withColumnRenamed(POS, "c_pos")
                              .withColumnRenamed("arrival_ts", C_ARRIVAL).withColumnRenamed("customer_id", "c_customer_id"),
@@ -355,17 +384,16 @@ class Probe:
         return mine.unionByName(dim.select(*mine.columns))
 
     def _transactions(self, spark: SparkSession, good: DataFrame | None, floor, now, epoch_id: int) -> None:
-        tick = (spark.createDataFrame([(-1, now)], "customer_id long, arrival_ts timestamp")
-                .withColumn("wait_ts", F.col("arrival_ts")).withColumn("tick", F.lit(True)))
-        out = spark.createDataFrame([], MISS_ROWS).unionByName(tick, allowMissingColumns=True)
+        out = tick_row(spark, MISS_ROWS, customer_id=-1, arrival_ts=now, wait_ts=now, tick=True)
         path = folder(self.root, MISSES, self.feed, epoch_id)
         if good is None:
             return write_once(out, path)
         known = self.known(spark, good.select("customer_id"), epoch_id)
         in_time = F.col(C_ARRIVAL) <= F.col("arrival_ts") + self.ttl
         probed = good.join(known, (F.col("customer_id") == F.col("c_customer_id")) & in_time, "left")
-        with kept(probed.withColumn("matched", F.col("c_customer_id").isNotNull())) as probed:
-            self.loader.load(probed.where("matched"), epoch_id)
+        probed = probed.withColumn("matched", F.col("c_customer_id").isNotNull())
+        with self.loader.enriched(probed, good) as probed:               # stored once, for the load and for the misses
+            self.loader.insert(probed.where("matched"), epoch_id)
             misses = probed.where(~F.col("matched")).withColumn("tick", F.lit(False))
             misses = misses.withColumn("wait_ts", F.greatest("arrival_ts", floor))
             write_once(out.unionByName(misses.select(*MISS_ROWS.names)), path)

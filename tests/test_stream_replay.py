@@ -12,7 +12,7 @@ from sparkmart.sources import csv as csv_src
 from sparkmart.sources import warehouse as wh
 from sparkmart.sources.calendar import dim_date
 from sparkmart.sources.warehouse import read_table
-from sparkmart.streaming import jobs
+from sparkmart.streaming import hybrid_join, jobs
 from sparkmart.streaming.hybrid_join import WarehouseLoader, ensure_dim_date, preload_products
 from tests import fixtures as fx
 
@@ -276,3 +276,27 @@ def test_facts_are_sent_twice_in_one_file_without_a_shuffle(spark, scratch):
     back = spark.read.parquet(f"{scratch}/twice").withColumn("file", F.input_file_name())
     assert {r["count"] for r in back.groupBy("id", "file").count().collect()} == {2} and back.count() == 80
     assert back.select("file").distinct().count() == 4
+
+
+def test_a_micro_batch_is_parsed_and_stored_once(spark, scratch, monkeypatch):
+    """Hits and misses come from one stored join, good and bad rows from one parse; a source without rejects writes none."""
+    kept, clean = hybrid_join.kept, hybrid_join.Probe.CLEAN
+    stored, parsed = [], spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(hybrid_join, "kept", lambda df: stored.append(1) or kept(df))
+
+    @F.udf("string")
+    def counted(x):
+        parsed.add(1)
+        return x
+
+    counting = lambda raw, *a: clean["transactions"](raw.withColumn("orderID", counted.asNondeterministic()("orderID")), *a)
+    monkeypatch.setattr(hybrid_join.Probe, "CLEAN", {**clean, "transactions": counting})
+    feed = Feed(spark, scratch)
+    feed.preload()
+    feed.put("customers", [cust(1, "2016-01-01"), ("2", "M", "26-35", "x", "A", "1", "maybe", "2016-01-01")], CUST)
+    feed.put("transactions", [tx(1, 1, "2016-01-01"), tx(2, 1, "2016-01-01", "PX"), tx(3, 9, "2016-01-01")], TX)
+    feed.run()
+    assert feed.facts() == [(1, "2.00")] and len(stored) == 1 and parsed.value == 3
+    assert [r.order_id for r in spark.read.parquet(f"{feed.root}/rejects/transactions_load").collect()] == [2]
+    assert [r.Customer_ID for r in spark.read.parquet(f"{feed.root}/rejects/customers").collect()] == ["2"]
+    assert not wh.path_exists(spark, f"{feed.root}/rejects/transactions")
