@@ -3,7 +3,7 @@
 ``stream_hybrid_join`` replays the transaction feed as files (the reference's
 text columns, stored as Parquet) in date order, joins it to the customer master stream with the
 waiting TTL, and loads the star through ``WarehouseLoader`` with an
-``availableNow`` trigger (bounded by ``maxFilesPerTrigger``).
+``availableNow`` trigger (bounded by ``maxBytesPerTrigger``).
 ``stream_store_quarterly`` keeps the store/quarter revenue view current by
 streaming the loaded fact files through a stateful aggregation.
 """
@@ -35,6 +35,8 @@ FILES_PER_TRIGGER = 8
 FEED_ROWS = 20_000
 #: Stored bytes of a feed for one partition of its state and one bucket of its tables.
 PARTITION_BYTES = 16 << 20
+#: Stored bytes of a feed that a micro-batch takes for each core.
+BATCH_BYTES = 4 << 20
 #: Stored bytes of one file of the facts that are sent again; a micro-batch takes ``FILES_PER_TRIGGER``.
 FILE_BYTES = 64 << 20
 
@@ -69,6 +71,13 @@ def feed_session(spark: SparkSession, inbox: str) -> SparkSession:
     return session
 
 
+def intake(spark: SparkSession) -> str:
+    """Bytes of a feed that a micro-batch takes: ``BATCH_BYTES`` for each core.  A
+    micro-batch costs seconds before its first row, so a bound by files, however
+    small they are, spends the time of a load on that."""
+    return str(spark.sparkContext.defaultParallelism * BATCH_BYTES)
+
+
 def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: str,
                       ttl: str = DEFAULT_TTL, files_per_trigger: int = FILES_PER_TRIGGER,
                       available_now: bool = True, processing_time: str | None = None,
@@ -166,7 +175,7 @@ def stream_hybrid_join(spark: SparkSession, sf_dir: str, base: str | None = None
         write_arrivals(spark, sf_dir, f"{base}/inbox")
         session = feed_session(spark, f"{base}/inbox")
         ensure_dim_date(session, root, make_calendar(session, *testdata.calendar_range(session, sf_dir)))
-        q = start_hybrid_load(session, f"{base}/inbox", root, f"{base}/checkpoints/load")
+        q = start_hybrid_load(session, f"{base}/inbox", root, f"{base}/checkpoints/load", bytes_per_trigger=intake(session))
         q.awaitTermination()
         warehouse.complete(spark, base)
     return warehouse.read_table(spark, root, "fact_sales").select(*FACT_COLS)
@@ -192,9 +201,7 @@ def write_replay(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     cust = testdata.customers_as_csv(testdata.customers(spark, sf_dir)).where(key % 10 != 9)
     first = cust.withColumn("arrived", came.cast("string"))
     again = cust.withColumn("Gender", F.lit("X")).withColumn("arrived", F.date_add(came, RESENT_DAYS).cast("string"))
-    tick = first.limit(1).select(F.lit("-5").alias("Customer_ID"), *[F.lit("0").alias(c) for c in first.columns[1:-1]],
-                                 F.lit(REPLAY_END).alias("arrived"))
-    csv_src.write_text_parquet(first.unionByName(again).unionByName(tick), f"{inbox}/customers")
+    csv_src.write_text_parquet(first.unionByName(again), f"{inbox}/customers")
 
     prod = testdata.products(spark, sf_dir)
     part = F.substring("product_id", 2, 8).cast("int")
@@ -211,6 +218,11 @@ def write_replay(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     hour = F.make_interval(hours=(F.col("orderID").cast("long") % 24).cast("int"))
     csv_src.write_text_parquet(testdata.transactions_as_csv(feed).withColumn(
         "arrived", (F.col("date").cast("timestamp") + hour).cast("string")), f"{inbox}/transactions")
+    # The clock moves to the end with the last file: an unreadable row.  Any earlier,
+    # what comes after it would wait from the watermark on, and never expire.
+    tick = spark.range(0, 1, 1, 1).select(*[F.lit("end of feed").alias(f.name) for f in schema.TRANSACTION_CSV.fields],
+                                          F.lit(REPLAY_END).alias("arrived"))
+    csv_src.write_text_parquet(tick, f"{inbox}/transactions", mode="append")
 
 
 def replayed(spark: SparkSession, sf_dir: str) -> str:
@@ -222,7 +234,7 @@ def replayed(spark: SparkSession, sf_dir: str) -> str:
         session = feed_session(spark, f"{base}/inbox")
         ensure_dim_date(session, root, make_calendar(session, *testdata.calendar_range(session, sf_dir)))
         q = start_hybrid_load(session, f"{base}/inbox", root, f"{base}/checkpoints/load", ttl=REPLAY_TTL,
-                              arrival="arrived", disorder=REPLAY_DISORDER)
+                              arrival="arrived", disorder=REPLAY_DISORDER, bytes_per_trigger=intake(session))
         q.awaitTermination()
         warehouse.complete(spark, base)
     return root

@@ -300,3 +300,35 @@ def test_a_micro_batch_is_parsed_and_stored_once(spark, scratch, monkeypatch):
     assert [r.order_id for r in spark.read.parquet(f"{feed.root}/rejects/transactions_load").collect()] == [2]
     assert [r.Customer_ID for r in spark.read.parquet(f"{feed.root}/rejects/customers").collect()] == ["2"]
     assert not wh.path_exists(spark, f"{feed.root}/rejects/transactions")
+
+
+def test_a_replay_of_many_micro_batches_ends_every_transaction(spark, scratch, monkeypatch):
+    """The clock reaches the feed's end with its last file, so what waits in later micro-batches expires too."""
+    put = lambda name, rows, columns: spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{scratch}/{name}.parquet")
+    put("nation", [(0, "N", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    put("supplier", [(0, "S", 0)], "s_suppkey long, s_name string, s_nationkey long")
+    put("part", [(1, "T", 2.0), (7, "T", 3.0)], "p_partkey long, p_type string, p_retailprice double")
+    put("customer", [(k, 0, "M") for k in (1, 9, 18)], "c_custkey long, c_nationkey long, c_mktsegment string")
+    orders = [(i, (1, 9, 18)[i % 3], f"1996-{1 + i // 2:02d}-1{i % 2}") for i in range(24)]
+    put("orders", orders, "o_orderkey long, o_custkey long, o_orderdate string")
+    put("lineitem", [(i, 7 if i == 21 else 1, 1.0, 1, 0, "1996-01-01", 1.0) for i in range(24)],
+        "l_orderkey long, l_partkey long, l_quantity double, l_linenumber int, l_suppkey long, l_shipdate string, l_extendedprice double")
+    monkeypatch.setattr(jobs, "FEED_ROWS", 1)
+    monkeypatch.setattr(jobs, "BATCH_BYTES", 4000, raising=False)
+    ended = {r.outcome: r.transactions for r in jobs.stream_replay_balance(spark, scratch).collect()}
+    root = jobs.replayed(spark, scratch)
+    epochs = spark.read.parquet(f"{root}/_misses").select("epoch").distinct().count()
+    # Customer 1 comes in July 1996, 9 never, 18 after the year's end.
+    early = sum(d < "1996-06-19" for _, c, d in orders if c == 1)
+    assert epochs > 1 and ended == {"expired": 16 + early, "fact": 8 - early - 1, "rejected": 1}
+
+
+def test_a_micro_batch_is_bounded_by_bytes_for_each_core(spark, scratch):
+    """Nine small files of a feed are one micro-batch, not two of eight."""
+    feed = Feed(spark, scratch, bytes_per_trigger=jobs.intake(spark))
+    feed.preload()
+    feed.put("customers", [cust(1, "2016-01-01")], CUST)
+    for i in range(9):
+        feed.put("transactions", [tx(i, 1, "2016-01-02")], TX)
+    load = feed.run()
+    assert len([p for p in load.queries[0].recentProgress if p["numInputRows"]]) == 1 and len(feed.facts()) == 9
