@@ -15,7 +15,8 @@ One exact plan for baskets of any size, in which no basket is paired in full:
    comes before (A, B).
 3. A pair's count is at most ``min(n_a * m_b, n_b * m_a)`` (n = rows of a
    product, m = most of it in one basket).  Products, then pairs, whose bound
-   can't matter are dropped before and inside the basket join.
+   can't matter are dropped before and inside the basket join.  If all can,
+   as the least sold product's n is above tau, baskets aren't dealt by product.
 4. If fewer than k pairs with a count of two or more exist, pairs counted once
    fill up: such a pair has at most 2k - 2 smaller pairs in its basket, so the
    2k smallest products of every basket are enough (``row_number() <= 2k``, a
@@ -62,7 +63,8 @@ def top_pairs(fact: DataFrame, k: int = 5, heads: int = HEADS) -> DataFrame:
     path = f"{checkpoint_root(spark)}/affinity-{uuid.uuid4().hex}"
     basket_products(fact).write.parquet(f"{path}/baskets")
     bp = spark.read.parquet(f"{path}/baskets")
-    stats = bp.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m"))
+    bp.groupBy("product_id").agg(F.sum("c").alias("n"), F.max("c").alias("m")).write.parquet(f"{path}/products")
+    stats = spark.read.parquet(f"{path}/products")
     some = stats.orderBy(F.desc("n"), "product_id").limit(heads).select("product_id")
     a, b = _sides(bp.join(F.broadcast(some), "product_id", "left_semi"))
     known = _best(_count(a.join(b, BASKET).where("product_a < product_b")), k).collect()    # k rows
@@ -76,17 +78,22 @@ def top_pairs(fact: DataFrame, k: int = 5, heads: int = HEADS) -> DataFrame:
             return bound >= least
         return (bound > tau) | ((bound == tau) & pair)
 
-    most = bp.agg(F.max("c")).first()[0] or 0
-    rows = bp.join(stats, "product_id")
-    a, b = _sides(rows, "n", "m")
-    if full:
-        a = a.where(matters(F.col("n_a") * most, F.col("product_a") <= last[0]))
+    fewest, most = stats.agg(F.min("n"), F.coalesce(F.max("m"), F.lit(0))).first()
+    if fewest is None or fewest > max(tau, 1):
+        # Every bound is above the k-th count: no product and no pair would be dropped.
+        a, b = _sides(bp)
+        joined = a.join(b, BASKET).where("product_a < product_b")
     else:
-        a = a.where(matters(F.col("n_a") * most))
-    b = b.where(F.col("n_b") * most >= least)
-    bound = F.least(F.col("n_a") * F.col("m_b"), F.col("n_b") * F.col("m_a"))
-    before = F.struct("product_a", "product_b") <= F.struct(*[F.lit(x) for x in last]) if full else None
-    joined = a.join(b, BASKET).where((F.col("product_a") < F.col("product_b")) & matters(bound, before))
+        rows = bp.join(stats, "product_id")
+        a, b = _sides(rows, "n", "m")
+        if full:
+            a = a.where(matters(F.col("n_a") * most, F.col("product_a") <= last[0]))
+        else:
+            a = a.where(matters(F.col("n_a") * most))
+        b = b.where(F.col("n_b") * most >= least)
+        bound = F.least(F.col("n_a") * F.col("m_b"), F.col("n_b") * F.col("m_a"))
+        before = F.struct("product_a", "product_b") <= F.struct(*[F.lit(x) for x in last]) if full else None
+        joined = a.join(b, BASKET).where((F.col("product_a") < F.col("product_b")) & matters(bound, before))
     high = _count(joined).where(F.col("together_count") >= least)
     if tau >= 2:
         return _best(high, k)

@@ -48,3 +48,22 @@ def test_report_plans(spark, scratch):
             assert read <= FACT_COLUMNS and len(read) <= 5, (name, read)
         if name in YEAR_FILTERED:
             assert re.search(r"PartitionFilters: \[[^\]]*sale_year", plan), name
+
+
+def test_affinity_deals_no_baskets_by_product_if_no_bound_drops_any(spark):
+    """Every product sells oftener than the k-th pair: the pairs are all counted, without a join by product."""
+    from collections import Counter
+    from itertools import combinations
+
+    from sparkmart.operators.affinity import top_pairs
+    baskets = [[(i + j * s) % 13 for j in range(4)] for i in range(13) for s in range(1, 7)]
+    rows = [(n, 20160101, f"P{p:02d}") for n, items in enumerate(baskets) for p in items]
+    want = Counter()
+    for items in baskets:
+        c = Counter(f"P{p:02d}" for p in items)
+        want.update({(a, b): c[a] * c[b] for a, b in combinations(sorted(c), 2)})
+    best = sorted((-n, *pair) for pair, n in want.items())[:5]
+    assert min(Counter(r[2] for r in rows).values()) > -best[-1][0] >= 2
+    pairs = top_pairs(spark.createDataFrame(rows, "customer_id long, date_id int, product_id string"))
+    assert [(-r.together_count, r.product_a, r.product_b) for r in pairs.collect()] == best
+    assert not re.search(r"keys \[1\]: \[product_id|hashpartitioning\(product_id", _plan(pairs))
