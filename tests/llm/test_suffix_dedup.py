@@ -109,3 +109,20 @@ def test_hot_and_periodic_texts_equal_brute_force(spark):
     rows += [(100, "=" * 400), (101, "-" + "=" * 300), (101, line * 9), (50, "x" + line * 40), (None, "=" * 90 + line * 20)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     assert sorted(digests(df), key=repr) == sorted(brute(rows), key=repr)
+
+
+def test_names_and_sums_need_little_beyond_their_results():
+    """A worker holds two arrays as long as its slice at most, whatever it computes on the way."""
+    import tracemalloc
+
+    import numpy as np
+
+    from sparkmart.llm import suffix_dedup
+    buf = np.random.default_rng(5).integers(0, 256, 1 << 20).astype(np.uint8)
+    suffix_dedup.sums(buf[:10])                              # powers are made once
+    for made, most in ((lambda: suffix_dedup.whole_names(buf, 50), 2.5), (lambda: suffix_dedup.sums(buf), 1.5)):
+        tracemalloc.start()
+        out = made()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * out.nbytes, peak / out.nbytes
