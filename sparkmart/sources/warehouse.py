@@ -71,6 +71,12 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
+def empty_table(spark: SparkSession, rows: T.StructType) -> DataFrame:
+    """No rows of this schema: a plan that Catalyst sees to be empty, where
+    ``createDataFrame`` would start Python workers on the executors."""
+    return spark.range(0).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.fields])
+
+
 #: Bucketed tables: the keys, and the order inside a file.
 BUCKETED = {"fact_sales": (schema.PRIMARY_KEYS["fact_sales"], "date_id"),
             "dim_customer": (schema.PRIMARY_KEYS["dim_customer"], "customer_id"),
@@ -133,7 +139,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
         return spark.table(full)
     sch = T.StructType(_columns(name))
     if not path_exists(spark, table_path(root, name)):
-        return spark.createDataFrame([], sch)
+        return empty_table(spark, sch)
     return spark.read.schema(sch).parquet(table_path(root, name))
 
 

@@ -51,7 +51,7 @@ from sparkmart.operators.joins import enrich_date, enrich_product_as_of, with_re
 from sparkmart.plans.etl import FACT_COLS
 from sparkmart.session import checkpoint_root
 from sparkmart.sources.csv import POS, batch_position
-from sparkmart.sources.warehouse import make_folder, path_exists, read_table, remove, rename, table_path, write_table
+from sparkmart.sources.warehouse import empty_table, make_folder, path_exists, read_table, remove, rename, table_path, write_table
 
 DEFAULT_TTL = "24 hours"
 DEFAULT_DISORDER = "1 second"
@@ -104,7 +104,7 @@ def stored_rows(spark: SparkSession, root: str, name: str, rows: T.StructType) -
     """A stored master with ``feed`` and ``epoch``; empty while there is none."""
     sch = T.StructType([*rows.fields, *_PART])
     path = table_path(root, name)
-    return spark.read.schema(sch).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], sch)
+    return spark.read.schema(sch).parquet(path) if path_exists(spark, path) else empty_table(spark, sch)
 
 
 @contextmanager

@@ -32,11 +32,11 @@ from sparkmart.streaming.hybrid_join import (
 
 FILES_PER_TRIGGER = 8
 #: Rows of one file of the replayed feed.
-FEED_ROWS = 20_000
+FEED_ROWS = 50_000
 #: Stored bytes of a feed for one partition of its state and one bucket of its tables.
 PARTITION_BYTES = 16 << 20
-#: Stored bytes of a feed that a micro-batch takes for each core.
-BATCH_BYTES = 4 << 20
+#: Stored bytes of a feed that a micro-batch takes for each core: as many as a partition of its state.
+BATCH_BYTES = 16 << 20
 #: Stored bytes of one file of the facts that are sent again; a micro-batch takes ``FILES_PER_TRIGGER``.
 FILE_BYTES = 64 << 20
 
@@ -44,20 +44,25 @@ FILE_BYTES = 64 << 20
 def write_arrivals(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     """Customer master, product master and the transaction feed (text
     columns in Parquet files).  The feed is range-partitioned by date into
-    files of about ``FEED_ROWS`` rows, so files arrive roughly in date order; all rows of
+    ``feed_files`` files, so files arrive roughly in date order; all rows of
     one (order, product) share a date and land in one file, in
     source-position order."""
     cust = testdata.customers(spark, sf_dir)
     csv_src.write_text_parquet(testdata.customers_as_csv(cust), f"{inbox}/customers")
     testdata.products(spark, sf_dir).write.mode("overwrite").parquet(f"{inbox}/products")
     transactions = testdata.transactions(spark, sf_dir)
-    files = transactions.count() // FEED_ROWS + 1
     feed = (transactions
-            .repartitionByRange(files, "sale_date", "order_id", "product_id")
+            .repartitionByRange(feed_files(spark, sf_dir), "sale_date", "order_id", "product_id")
             .sortWithinPartitions("sale_date", "order_id", "product_id", "src_pos"))
     csv_src.write_text_parquet(testdata.transactions_as_csv(feed), f"{inbox}/transactions")
 
 
+def feed_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of the transaction feed, of about ``FEED_ROWS`` rows.  Line items are
+    counted, from their files' footers, and not their join with the orders."""
+    return testdata.table(spark, sf_dir, "lineitem").count() // FEED_ROWS + 1
+
+
 def feed_session(spark: SparkSession, inbox: str) -> SparkSession:
     """A session whose shuffle partitions fit a stored feed: one for each
     ``PARTITION_BYTES`` and one for each core at least, and no more than the caller's
@@ -212,8 +217,7 @@ def write_replay(spark: SparkSession, sf_dir: str, inbox: str) -> None:
     csv_src.write_text_parquet(updates, f"{inbox}/product_updates")
 
     transactions = testdata.transactions(spark, sf_dir)
-    files = transactions.count() // FEED_ROWS + 1
-    feed = (transactions.repartitionByRange(files, "sale_date", "order_id", "product_id")
+    feed = (transactions.repartitionByRange(feed_files(spark, sf_dir), "sale_date", "order_id", "product_id")
             .sortWithinPartitions("sale_date", "order_id", "product_id", "src_pos"))
     hour = F.make_interval(hours=(F.col("orderID").cast("long") % 24).cast("int"))
     csv_src.write_text_parquet(testdata.transactions_as_csv(feed).withColumn(

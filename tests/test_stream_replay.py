@@ -332,3 +332,19 @@ def test_a_micro_batch_is_bounded_by_bytes_for_each_core(spark, scratch):
         feed.put("transactions", [tx(i, 1, "2016-01-02")], TX)
     load = feed.run()
     assert len([p for p in load.queries[0].recentProgress if p["numInputRows"]]) == 1 and len(feed.facts()) == 9
+
+
+def test_no_python_worker_starts_for_a_master_without_rows(spark, scratch):
+    """A master that isn't there yet is an empty plan; an executor started a Python worker a core for it before."""
+    for name, rows in ((hybrid_join.CUSTOMERS, hybrid_join.CUSTOMER_ROWS), (hybrid_join.PRODUCTS, hybrid_join.PRODUCT_ROWS)):
+        empty = hybrid_join.stored_rows(spark, scratch, name, rows)
+        plan = empty._jdf.queryExecution().executedPlan().toString()
+        assert "LocalTableScan <empty>" in plan and empty.count() == 0
+        assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in [*rows, *hybrid_join._PART]]
+
+
+def test_a_micro_batch_takes_a_partition_of_the_feed_for_each_core(spark, scratch):
+    """A feed of six times sf0.1 (47 MB) is one micro-batch; its files are counted without a join with the orders."""
+    assert int(jobs.intake(spark)) >= spark.sparkContext.defaultParallelism * jobs.PARTITION_BYTES
+    spark.range(100_000).withColumnRenamed("id", "l_orderkey").write.parquet(f"{scratch}/lineitem.parquet")
+    assert jobs.feed_files(spark, scratch) == 100_000 // jobs.FEED_ROWS + 1
