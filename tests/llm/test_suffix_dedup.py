@@ -126,3 +126,32 @@ def test_names_and_sums_need_little_beyond_their_results():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < most * out.nbytes, peak / out.nbytes
+
+
+def test_shares_name_every_string_once():
+    """The shares of a buffer are all its strings, with their names; positions that are asked for have the same names."""
+    buf = np.random.default_rng(7).integers(97, 101, 3 * suffix_dedup.CHUNK + 17).astype(np.uint8)
+    at, name = (np.concatenate(x) for x in zip(*[suffix_dedup.share_names(buf, 50, k) for k in range(suffix_dedup.ROUNDS)]))
+    order = np.argsort(at)
+    assert (at[order] == np.arange(len(buf) - 49)).all() and (name[order] == suffix_dedup.whole_names(buf, 50)).all()
+    some = np.flatnonzero(np.random.default_rng(8).random(len(buf) - 26) < 0.2)
+    assert (suffix_dedup.names(buf, some) == suffix_dedup.names(buf)[some]).all()
+    assert not len(suffix_dedup.share_names(buf[:49], 50, 0)[0])
+
+
+def test_spans_of_a_group_need_no_python_objects():
+    import tracemalloc
+    n = 100_000
+    pos = np.arange(n) * 60
+    raw = [suffix_dedup.pack(np.repeat([3, 8], [n // 4, n - n // 4]), pos),
+           suffix_dedup.pack(np.array([8, 8, 9]), np.array([pos[-1] + 50, 7, 1]), np.array([pos[-1], 5, 1], np.uint64))]
+    table = pa.table({"bucket": pa.array([0, 0], pa.int32()), "entries": pa.array(raw, pa.binary())})
+    tracemalloc.start()
+    out = suffix_dedup._spans(50)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 * n, peak / n
+    assert out.column("rid").to_pylist() == [3, 8]
+    got = [[(x["start"], x["end"]) for x in r] for r in out.column("spans").to_pylist()]
+    want = [(int(p), int(p) + 50) for p in pos]
+    assert got == [want[:n // 4], want[n // 4:-1] + [(want[-1][0], want[-1][1] + 50)]]
