@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm._common import FORGET
+
 #: Texts of more bytes than this are encoded in parallel pieces.
 LONG = 1 << 20
 PIECE = 1 << 18
@@ -216,6 +218,7 @@ class Codec:
 
 _LETTERS = _byte_letters()
 _codecs: dict[str, Codec] = {}
+FORGET.append(_codecs.clear)
 
 
 def codec(path: str) -> Codec:

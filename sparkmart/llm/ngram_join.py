@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm._common import (U, STEP, binary_list, bucketed, components, mix, release, remove,
-                                   shingles_of, stored, text_slices, words_of, workspace)
+                                   shingles_of, stored, text_slices, trimmed, words_of, workspace)
 
 #: Members of a block that one task compares with as many others at once.
 CHUNK = 512
@@ -365,11 +365,11 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     path = workspace(spark, "ngram_join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _place()[1], F.col("text").cast("string").alias("text"))
 
-    nodes = stored(docs.mapInArrow(_node_rows(k, percent), NODES), f"{path}/nodes")
+    nodes = stored(docs.mapInArrow(trimmed(_node_rows(k, percent)), NODES), f"{path}/nodes")
     entries = nodes.agg(F.sum(F.octet_length("keys")) / 8).first()[0] or 0
     buckets = int(max(16, entries // BUCKET_ENTRIES + 1))
     dealt = nodes.where(F.octet_length("keys") > 0).select("node", "keys").mapInArrow(
-        _deal(buckets), "bucket int, entries binary")
+        trimmed(_deal(buckets)), "bucket int, entries binary")
     runs = stored(dealt.groupBy("bucket").applyInArrow(_runs, RUNS), f"{path}/runs")
     release(spark)
     sets = stored(nodes.where("n > 0").groupBy("node").agg(
@@ -383,16 +383,16 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def discard(pairs: DataFrame) -> DataFrame:
         a = members.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         b = members.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        return pairs.join(a, "a").join(b, "b").mapInArrow(_discard(percent), PAIR)
+        return pairs.join(a, "a").join(b, "b").mapInArrow(trimmed(_discard(percent)), PAIR)
 
     def links_of(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
         some = sets.join(ends, "node", "left_semi").select("at.place", "at.content").distinct()
         grams = stored(docs.select(*_place(), "text").join(some, ["place", "content"], "left_semi").select("text").mapInArrow(
-            _vectors(k), "node long, grams binary").dropDuplicates(["node"]), f"{path}/grams_{name}")
+            trimmed(_vectors(k)), "node long, grams binary").dropDuplicates(["node"]), f"{path}/grams_{name}")
         a = grams.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
         b = grams.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-        out = stored(pairs.join(a, "a").join(b, "b").mapInArrow(_accumulate(percent), PAIR), f"{path}/links_{name}")
+        out = stored(pairs.join(a, "a").join(b, "b").mapInArrow(trimmed(_accumulate(percent)), PAIR), f"{path}/links_{name}")
         remove(spark, f"{path}/grams_{name}")
         return out
 

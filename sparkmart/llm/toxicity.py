@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.llm._common import (BASE, BYTE, INVERSE, LOWER, STEP, U, Slice, WHITE, Words, _power, mix, text_slices,
-                                   words_of)
+                                   trimmed, words_of)
 
 #: Most labelled rows that the regression is fitted on.
 SAMPLE = 20_000
@@ -93,7 +93,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def language_model(docs: DataFrame) -> np.ndarray:
     """Log probability of a character class after two others."""
-    rows = docs.select("text").mapInArrow(_trigrams, "gram long, n long").groupBy("gram").agg(F.sum("n")).collect()
+    rows = docs.select("text").mapInArrow(trimmed(_trigrams), "gram long, n long").groupBy("gram").agg(F.sum("n")).collect()
     count = np.full(CLASSES ** 3, 0.1)
     for gram, n in rows:                                 # at most 28 ** 3 of them
         count[gram] += n
@@ -383,12 +383,12 @@ class ToxicityModel:
         # Log-likelihood ratio of "has the feature" against the label.
         p, q = (F.col("toxic") + 0.5) / (ones + 1.0), (F.col("n") - F.col("toxic") + 0.5) / (n - ones + 1.0)
         gain = ones * p * F.log(p / q) - (n - ones) * q * F.log(p / q)
-        counts = train.mapInArrow(_counts(model), "feature long, n long, toxic long").groupBy("feature").agg(
+        counts = train.mapInArrow(trimmed(_counts(model)), "feature long, n long, toxic long").groupBy("feature").agg(
             F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
         top = counts.where("n >= 4").withColumn("gain", gain).where(p > q).orderBy(
             F.desc("gain"), "feature").limit(FEATURES).select("feature").collect()
         known = np.sort(np.array([r[0] for r in top] or [0], np.int64).view(np.uint64))
-        rows = train.mapInArrow(_rows(model, known), "label int, places array<long>").collect()
+        rows = train.mapInArrow(trimmed(_rows(model, known)), "label int, places array<long>").collect()
         label = np.array([r[0] for r in rows], float)
         order = np.lexsort([[len(r[1]) for r in rows], [hash(tuple(r[1])) for r in rows], label])
         w, b = _regression(label[order], [np.array(rows[i][1], np.int64) for i in order], len(known))
@@ -412,7 +412,7 @@ class ToxicityModel:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)],
                                                  names=[*batch.schema.names, "toxicity"])
 
-        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+        return docs.mapInArrow(trimmed(run), T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())]))
 
 
 FOLDS = 5

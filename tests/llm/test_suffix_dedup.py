@@ -155,3 +155,23 @@ def test_spans_of_a_group_need_no_python_objects():
     got = [[(x["start"], x["end"]) for x in r] for r in out.column("spans").to_pylist()]
     want = [(int(p), int(p) + 50) for p in pos]
     assert got == [want[:n // 4], want[n // 4:-1] + [(want[-1][0], want[-1][1] + 50)]]
+
+
+def test_workers_give_back_what_a_task_took():
+    """After a task a worker keeps neither its powers nor another operator's codec, nor the memory of either."""
+    import re
+
+    from sparkmart.llm import _common, bpe
+
+    def held():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+
+    bpe._codecs["some"] = [bytes(1000) for _ in range(60_000)]
+    rng, n = np.random.default_rng(11), 400
+    texts = pa.array([bytes(rng.integers(97, 123, 30_000).astype(np.uint8)) for _ in range(n)], pa.binary())
+    batch = pa.record_batch({"rid": pa.array(range(n)), "order": pa.array(range(n)), "start": pa.array([0] * n), "bytes": texts})
+    before = held()
+    for _ in suffix_dedup.trimmed(suffix_dedup._windows(8, 4, 0, 50))([batch]):
+        most = held()
+    assert not bpe._codecs and not _common._powers
+    assert held() < before - 40 < most - 80, (before, most, held())
