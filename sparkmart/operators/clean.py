@@ -38,7 +38,8 @@ def _split(raw: DataFrame, typed: dict[str, F.Column], checks, keep=(), hold=Non
     tagged = tagged.withColumn(REASON, _first_reason([
         (F.col(c[0]).isNull() & (F.trim(F.col(f"__raw.`{c[2]}`")) != "") if len(c) > 2 else F.col(c[0]).isNull(), c[1])
         for c in checks]))
-    tagged = hold(tagged) if hold else tagged
+    if hold:                                                 # what is stored has the raw text of rejects only
+        tagged = hold(tagged.withColumn("__raw", F.when(F.col(REASON).isNotNull(), F.col("__raw"))))
     good = tagged.where(F.col(REASON).isNull()).select(*typed, *keep, POS)
     bad = tagged.where(F.col(REASON).isNotNull()).select("__raw.*", POS, REASON)
     return good, bad

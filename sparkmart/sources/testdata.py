@@ -126,5 +126,7 @@ def transactions_as_csv(df: DataFrame) -> DataFrame:
         F.col("customer_id").cast("string").alias("Customer_ID"),
         F.col("product_id").alias("Product_ID"),
         F.col("quantity").cast("string").alias("quantity"),
-        F.date_format("sale_date", "yyyy-MM-dd").alias("date"),
+        # The cast gives the same text for these years, without a formatter.
+        F.when(F.col("sale_date").between("0001-01-01", "9999-12-31"), F.col("sale_date").cast("string"))
+        .otherwise(F.date_format("sale_date", "yyyy-MM-dd")).alias("date"),
     )

@@ -32,11 +32,19 @@ from sparkmart.streaming.hybrid_join import (
 
 FILES_PER_TRIGGER = 8
 #: Rows of one file of the replayed feed.
-FEED_ROWS = 50_000
+FEED_ROWS = 250_000
 #: Stored bytes of a feed for one partition of its state and one bucket of its tables.
 PARTITION_BYTES = 16 << 20
-#: Stored bytes of a feed that a micro-batch takes for each core: as many as a partition of its state.
-BATCH_BYTES = 16 << 20
+#: Stored bytes of a feed that a micro-batch takes for each core.
+BATCH_BYTES = 128 << 20
+#: What waits is kept in RocksDB, within bounded memory, unless the session says otherwise:
+#: Spark's default holds every waiting row on the executors' heap.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+               "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+               # Else every row put is looked up first, to count those that are new.
+               "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 #: Stored bytes of one file of the facts that are sent again; a micro-batch takes ``FILES_PER_TRIGGER``.
 FILE_BYTES = 64 << 20
 
@@ -111,6 +119,12 @@ def start_hybrid_load(spark: SparkSession, inbox: str, root: str, checkpoint: st
     spark = spark.newSession()
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    # The JVM interprets methods over 8,000 bytes; the parse and the load make such ones if
+    # a whole stage becomes one.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None:
+        for key, value in STATE_STORE.items():
+            spark.conf.set(key, value)
     if fmt == "csv":
         base = csv_path(spark, inbox, "products")
         base = base if warehouse.path_exists(spark, base) else f"{inbox}/products"

@@ -348,3 +348,60 @@ def test_a_micro_batch_takes_a_partition_of_the_feed_for_each_core(spark, scratc
     assert int(jobs.intake(spark)) >= spark.sparkContext.defaultParallelism * jobs.PARTITION_BYTES
     spark.range(100_000).withColumnRenamed("id", "l_orderkey").write.parquet(f"{scratch}/lineitem.parquet")
     assert jobs.feed_files(spark, scratch) == 100_000 // jobs.FEED_ROWS + 1
+
+
+def test_lines_that_arrive_together_wait_as_one_row(spark, scratch):
+    """Three lines of one order are one row of the state, a line that arrived later another; each ends by itself."""
+    feed = Feed(spark, scratch)
+    feed.preload()
+    feed.put("customers", [cust(99, "2016-01-01")], CUST)
+    feed.put("transactions", [tx(1, 5, "2016-01-01", p) for p in ("P1", "P2", "P1")] + [tx(2, 5, "2016-01-01 02:00:00"), tx(3, 6, "2016-01-01")], TX)
+    assert state_rows(feed.run())[-1] == 3 + 1            # and customer 99
+    feed.put("customers", [cust(5, "2016-01-01 12:00:00")], CUST)
+    feed.run()
+    assert feed.facts() == [(1, "2.00"), (2, "2.00")]
+    assert [(r.order_id, r.product_id) for r in spark.read.parquet(f"{feed.root}/rejects/transactions_load").collect()] == [(1, "P2")]
+    feed.put("transactions", [tx(4, 5, "2016-01-09")], TX)
+    feed.run()
+    assert feed.dead() == [3] and [o for o, _ in feed.facts()] == [1, 2, 4]
+
+
+def test_waiting_rows_are_bounded(spark, monkeypatch):
+    """Rows that arrive together wait in lists of LINES at most, and none gets lost."""
+    monkeypatch.setattr(hybrid_join, "LINES", 10)
+    at = F.lit("2016-01-01").cast("timestamp")
+    rows = spark.range(95).select(
+        F.col("id").alias("order_id"), F.lit(1).cast("long").alias("customer_id"), F.lit("P").alias("product_id"), F.lit(1).alias("quantity"),
+        F.lit(fx.d("2016-01-01")).alias("sale_date"), at.alias("arrival_ts"), at.alias("wait_ts"),
+        F.struct(F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("id").alias("row")).alias("src_pos"))
+    packed = hybrid_join.waiting_rows(rows).collect()
+    assert max(len(r.lines) for r in packed) == 10 and sorted(x.order_id for r in packed for x in r.lines) == [*range(95)]
+
+
+def test_a_large_micro_batch_is_dealt_like_the_buckets(spark, scratch, monkeypatch):
+    """More rows than are looked up: first row per key, and keys that are stored stay as they are."""
+    monkeypatch.setattr(hybrid_join, "FEW_ROWS", 0)
+    feed = Feed(spark, scratch)
+    feed.preload()
+    feed.put("customers", [cust(i, "2016-01-01", "F") for i in (1, 2)], CUST)
+    feed.put("transactions", [tx(1, 1, "2016-01-02", quantity=3), tx(1, 1, "2016-01-02", quantity=5), tx(2, 1, "2016-01-02")], TX)
+    feed.run()
+    feed.put("transactions", [tx(2, 1, "2016-01-03", quantity=7), tx(3, 2, "2016-01-03"), tx(4, 1, "2016-01-03")], TX)
+    feed.run()
+    assert feed.facts() == [(1, "6.00"), (2, "2.00"), (3, "2.00"), (4, "2.00")]
+    assert sorted((r.customer_id, r.gender) for r in read_table(spark, feed.root, "dim_customer").collect()) == [(1, "F"), (2, "F")]
+
+
+def test_no_row_of_a_micro_batch_is_cached(spark, scratch, monkeypatch):
+    """What a batch needs again is stored with its columns packed; the executors held every raw and typed row before."""
+    frame, cached = type(spark.range(1)), []
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: cached.append(df.columns) or persist(df, *a))
+    feed = Feed(spark, scratch)
+    feed.preload()
+    feed.put("customers", [cust(1, "2016-01-01")], CUST)
+    feed.put("transactions", [tx(1, 1, "2016-01-01"), tx(2, 9, "2016-01-01")], TX)
+    feed.put("transactions", [tx(3, 1, "2016-01-09")], TX)
+    feed.run()
+    assert [o for o, _ in feed.facts()] == [1, 3] and feed.dead() == [2]
+    assert not [c for c in cached if "src_pos" in c or "c_pos" in c]
