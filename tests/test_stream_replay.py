@@ -405,3 +405,22 @@ def test_no_row_of_a_micro_batch_is_cached(spark, scratch, monkeypatch):
     feed.run()
     assert [o for o, _ in feed.facts()] == [1, 3] and feed.dead() == [2]
     assert not [c for c in cached if "src_pos" in c or "c_pos" in c]
+
+
+def test_the_live_view_takes_many_small_files_at_once(spark, scratch):
+    """The loaded facts have a file for each bucket and year; a micro-batch took sixteen of them."""
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    put = lambda name, rows, columns: spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{scratch}/{name}.parquet")
+    put("nation", [(0, "N", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    put("supplier", [(0, "S", 0)], "s_suppkey long, s_name string, s_nationkey long")
+    put("part", [(1, "T", 2.0)], "p_partkey long, p_type string, p_retailprice double")
+    put("customer", [(1, 0, "M")], "c_custkey long, c_nationkey long, c_mktsegment string")
+    put("orders", [(i, 1, f"{1990 + i % 8}-03-01") for i in range(160)], "o_orderkey long, o_custkey long, o_orderdate string")
+    put("lineitem", [(i, 1, 1.0, 1, 0, "1996-01-01", 1.0) for i in range(160)],
+        "l_orderkey long, l_partkey long, l_quantity double, l_linenumber int, l_suppkey long, l_shipdate string, l_extendedprice double")
+    view = {(r.year, r.quarter): str(r.total_quarterly_sales) for r in jobs.stream_store_quarterly(spark, scratch).collect()}
+    assert view == {(1990 + y, 1): "40.00" for y in range(8)}
+    base = wh.warehouse_root(spark, scratch, tag="stream")
+    facts = read_table(spark, f"{base}/warehouse", "fact_sales")
+    assert facts.select(F.input_file_name()).distinct().count() > 16
+    assert spark.read.parquet(f"{base}/store_quarterly/changes").select("epoch").distinct().count() == 1
