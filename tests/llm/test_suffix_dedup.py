@@ -175,3 +175,14 @@ def test_workers_give_back_what_a_task_took():
         most = held()
     assert not bpe._codecs and not _common._powers
     assert held() < before - 40 < most - 80, (before, most, held())
+
+
+def test_rounds_follow_what_is_suspect():
+    """A round names a sixth of the text at most, and no round is spent on less; any number of shares has each string once."""
+    assert suffix_dedup.rounds_for(0, 0) == 1 and suffix_dedup.rounds_for(10, 600) == 1
+    assert suffix_dedup.rounds_for(29, 100) == 2 and suffix_dedup.rounds_for(100, 100) == suffix_dedup.ROUNDS
+    buf = np.random.default_rng(3).integers(97, 101, 5000).astype(np.uint8)
+    want = np.sort(suffix_dedup.whole_names(buf, 50))
+    for rounds in (1, 2, 5):
+        at, name = (np.concatenate(x) for x in zip(*[suffix_dedup.share_names(buf, 50, k, rounds) for k in range(rounds)]))
+        assert sorted(at) == [*range(5000 - 49)] and (np.sort(name) == want).all()
